@@ -215,12 +215,13 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.when(F.col("o_orderkey") % 53 == 0, cut).otherwise(F.col("value")))
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer records with contact data; every second customer comes twice."""
+def raw_customers(spark: SparkSession, sf_dir: str, repeats: bool = True) -> DataFrame:
+    """Customer records with contact data; with ``repeats`` odd customers come twice."""
     c = customers(spark, sf_dir)
     k = F.col("c_custkey")
     code = F.concat(F.lpad((k * 7 % 100000).cast("string"), 5, "0"), F.lit("-"), (k % 10).cast("string"))
-    twice = c.withColumn("copy", F.explode(F.expr("sequence(0, cast(c_custkey % 2 as int))")))
+    twice = c.withColumn("copy", 
+        F.explode(F.expr("sequence(0, cast(c_custkey % 2 as int))")) if repeats else F.lit(0))
     return twice.withColumns({
         "email": F.concat(F.lit("Shopper."), F.col("customer_id"), F.lit("@mail.example")),
         "first_name": F.concat(F.lit("First"), F.col("customer_id")),

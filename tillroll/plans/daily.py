@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import vocabulary as V
+from tillroll.functions.expressions import day
 from tillroll.plans import silver as S
 from tillroll.sources import readers
 from tillroll.sources.writers import write_dlq, write_partitioned
@@ -29,24 +30,26 @@ _BUILD = {
 
 
 def build_silver(
-    spark: SparkSession, entity: str, bronze: str, silver: str, date: str, now_ts
+    spark: SparkSession, entity: str, bronze: str, silver: str, now_ts, date: str | None = None
 ) -> dict[str, int]:
-    """Read one date of one entity, write its silver partitions, return the row counts.
+    """Build the silver partitions of one landed date (or of all), return the row counts.
 
-    Counts are observed while the table is written, so there is no extra scan.  Bad order
-    lines are re-read and kept as dead letters only when the write has met some.
+    The date is a partition filter, so other dates are not listed or read.  Counts are
+    observed while the table is written, so there is no extra scan.  Bad order lines are
+    read again and kept as dead letters only when the write has met some.
     """
-    raw = _READ[entity](spark, f"{bronze}/{entity}/date={date}")
+    raw = _READ[entity](spark, f"{bronze}/{entity}")
+    if date is not None:
+        raw = raw.filter(F.col("date") == day(date))
+    can_break = readers.CORRUPT in raw.columns
+    broken = F.col(readers.CORRUPT).isNotNull() if can_break else F.lit(False)
     seen_in, seen_out = Observation(f"{entity}-in"), Observation(f"{entity}-out")
-    broken = F.lit(False)
-    if readers.CORRUPT in raw.columns:
-        broken = F.col(readers.CORRUPT).isNotNull()
     counted = raw.observe(seen_in, F.count("*").alias("rows"), F.count_if(broken).alias("bad"))
-    good = readers.split_corrupt(counted)[0] if readers.CORRUPT in raw.columns else counted
-    table = _BUILD[entity](good, now_ts).observe(seen_out, F.count("*").alias("rows"))
+    good = readers.split_corrupt(counted)[0] if can_break else counted
+    table = _BUILD[entity](good.drop("date"), now_ts).observe(seen_out, F.count("*").alias("rows"))
     write_partitioned(table, f"{silver}/{entity}", S.PARTITIONS[entity])
     if seen_in.get["bad"]:
-        write_dlq(readers.split_corrupt(raw)[1], silver, entity, date)
+        write_dlq(readers.split_corrupt(raw)[1], silver, entity)
     return {"rows_in": seen_in.get["rows"], "rows_out": seen_out.get["rows"],
             "bad": seen_in.get["bad"]}
 
@@ -60,8 +63,8 @@ def pass_rate(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFra
 
 
 def run_silver(
-    spark: SparkSession, bronze: str, silver: str, date: str, now_ts,
+    spark: SparkSession, bronze: str, silver: str, now_ts, date: str | None = None,
     entities: Sequence[str] = V.ENTITIES,
 ) -> DataFrame:
-    counts = {e: build_silver(spark, e, bronze, silver, date, now_ts) for e in entities}
+    counts = {e: build_silver(spark, e, bronze, silver, now_ts, date) for e in entities}
     return pass_rate(spark, counts)

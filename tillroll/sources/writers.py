@@ -27,6 +27,6 @@ def write_partitioned(
     )
 
 
-def write_dlq(bad: DataFrame, root: str, entity: str, date: str) -> None:
-    """Append bad rows as JSON under _dlq/{entity}/date=."""
-    bad.write.mode("append").json(f"{root}/_dlq/{entity}/date={date}")
+def write_dlq(bad: DataFrame, root: str, entity: str) -> None:
+    """Append bad rows as JSON under _dlq/{entity}/date=, by the date they landed on."""
+    bad.write.mode("append").partitionBy("date").json(f"{root}/_dlq/{entity}")

@@ -108,7 +108,7 @@ def landed_lines(stream: DataFrame, consumed_at: Column | None = None) -> DataFr
         *_envelope(at)))
     open_text = F.regexp_replace(text, r"\}\s*$", "")
     comma = F.when(F.trim(open_text) == "{", "").otherwise(",")
-    merged = F.concat(open_text, comma, F.substring(meta, 2, 1_000_000))
+    merged = F.concat(open_text, comma, F.substr(meta, F.lit(2)))
     return stream.select(
         F.col("topic"),
         F.when(ok, event_date(text, at)).otherwise(at.cast("date")).alias("date"),
