@@ -108,16 +108,24 @@ def _measures(spark, d):
     return gold.order_measures(_orders(spark, d))
 
 
+def _customers(spark, d, changed: bool = False):
+    """The customer table of the first run; ``changed`` gives that of the second.
+
+    By the second run accounts in debt are gone and every 'vip' has become platinum.
+    """
+    masked = silver.mask_customers(T.raw_customers(spark, d, repeats=False))
+    if changed:
+        promoted = F.when(F.col("segment") == "vip", "platinum").otherwise(F.col("loyalty_tier"))
+        masked = masked.filter("ltv_usd >= 0").withColumn("loyalty_tier", promoted)
+    return silver.customer_scd_meta(masked, HISTORY_START)
+
+
 def _customers_day1(spark, d):
-    return silver.customer_scd_meta(
-        silver.mask_customers(T.raw_customers(spark, d, repeats=False)), HISTORY_START)
+    return _customers(spark, d)
 
 
 def _customers_day2(spark, d):
-    """Accounts in debt are gone and every 'vip' has become platinum."""
-    kept = _customers_day1(spark, d).filter("ltv_usd >= 0")
-    vip = F.col("segment") == "vip"
-    return kept.withColumn("loyalty_tier", F.when(vip, "platinum").otherwise(F.col("loyalty_tier")))
+    return _customers(spark, d, changed=True)
 
 
 def _history(spark, d):
@@ -135,7 +143,8 @@ def _promos(spark, d):
 
 def _fact(spark, d):
     return gold.fact_orders(
-        _orders(spark, d), _dim(spark, d), C.dim_date(spark), _promos(spark, d), T.NOW)
+        _orders(spark, d), _gold(spark, d, "dim_customers"), C.dim_date(spark),
+        _gold(spark, d, "dim_promotions"), T.NOW)
 
 
 def _clicks(spark, d):
@@ -143,14 +152,32 @@ def _clicks(spark, d):
 
 
 def _features(spark, d):
-    """The order table has one row per order (checked by its quality suite)."""
+    """The order fact has one row per order (its merge key, checked by its quality suite)."""
     return features.customer_ml_features(
-        _measures(spark, d), _dim(spark, d), _clicks(spark, d), T.AS_OF, T.NOW,
-        one_row_per_order=True)
+        _gold(spark, d, "fact_orders"), _gold(spark, d, "dim_customers"), _clicks(spark, d),
+        T.AS_OF, T.NOW, one_row_per_order=True)
+
+
+# name -> (how it is built, what it is clustered by)
+_GOLD = {
+    "dim_customers": (_dim, ("customer_id", "_valid_from")),
+    "dim_promotions": (_promos, ("campaign_id",)),
+    "fact_orders": (_fact, ("order_date_day", "customer_id")),
+    "customer_ml_features": (_features, ("snapshot_date", "customer_id")),
+}
+
+
+def _gold(spark, d, name):
+    """A gold table as the daily run leaves it: built and stored once, then read."""
+    build, by = _GOLD[name]
+    path = _staged(
+        spark, d, name, lambda p: writers.write_clustered(build(spark, d), p, by))
+    return spark.read.parquet(path)
 
 
 def _order_browse(spark, d):
-    orders = features.order_features(_measures(spark, d), T.AS_OF, one_row_per_order=True)
+    fact = _gold(spark, d, "fact_orders")
+    orders = features.order_features(fact, T.AS_OF, one_row_per_order=True)
     return orders.join(features.browse_features(_clicks(spark, d), T.AS_OF), "customer_id", "left")
 
 
@@ -468,7 +495,7 @@ def churn_risk(spark, d):
 
 @query
 def profile_text(spark, d):
-    return _features(spark, d).select("customer_id", "customer_profile_text")
+    return _gold(spark, d, "customer_ml_features").select("customer_id", "customer_profile_text")
 
 
 @query
@@ -510,7 +537,7 @@ def valid_reviews(spark, d):
 
 @query
 def current_rows(spark, d):
-    return W.current_rows(_dim(spark, d)).select("customer_id", "loyalty_tier", "_valid_from")
+    return W.current_rows(_gold(spark, d, "dim_customers")).select("customer_id", "loyalty_tier", "_valid_from")
 
 
 @query
@@ -530,7 +557,7 @@ def incremental_lookback(spark, d):
 
 @query
 def date_range(spark, d):
-    return W.date_range(_measures(spark, d), "order_date_day", T.START, T.END).select(
+    return W.date_range(_gold(spark, d, "fact_orders"), "order_date_day", T.START, T.END).select(
         "order_id", "order_date_day")
 
 
@@ -544,7 +571,7 @@ def optional_eq(spark, d):
 
 @query
 def segment_match(spark, d):
-    f = _features(spark, d)
+    f = _gold(spark, d, "customer_ml_features")
     cols = ("customer_id", "segment", "churn_risk_tier")
     parts = [W.segment_match(f, w).select(*cols, F.lit(w).alias("wanted"))
              for w in ("all", "medium", "at_risk")]
@@ -563,8 +590,8 @@ def fact_orders(spark, d):
 def fact_orders_spread(spark, d):
     """The lookups as shuffle joins with hot keys split, whatever the size of the lookup side."""
     o = _measures(spark, d)
-    known = gold.join_customers(o, _dim(spark, d), small_rows=0, min_rows=1, profile=o)
-    full = gold.join_promotions(known, _promos(spark, d), small_rows=0, min_rows=1, profile=o)
+    known = gold.join_customers(o, _gold(spark, d, "dim_customers"), small_rows=0, min_rows=1, profile=o)
+    full = gold.join_promotions(known, _gold(spark, d, "dim_promotions"), small_rows=0, min_rows=1, profile=o)
     return full.select("order_id", "customer_id", "customer_sk", "customer_segment", "utm_campaign",
                        "campaign_type", "channel")
 
@@ -577,13 +604,13 @@ def join_dates(spark, d):
 
 @query
 def fact_customer_asof(spark, d):
-    return gold.join_customers_asof(_measures(spark, d), _dim(spark, d)).select(
+    return gold.join_customers_asof(_measures(spark, d), _gold(spark, d, "dim_customers")).select(
         "order_id", "customer_id", "order_date", "customer_sk", "customer_loyalty_tier")
 
 
 @query
 def customer_360(spark, d):
-    return kpis.customer_360(_features(spark, d), _dim(spark, d), T.AS_OF)
+    return kpis.customer_360(_gold(spark, d, "customer_ml_features"), _gold(spark, d, "dim_customers"), T.AS_OF)
 
 
 @query
@@ -596,7 +623,7 @@ def explode_items(spark, d):
 @query
 def fk_integrity(spark, d):
     o = T.orders(spark, d)
-    return J.fk_integrity(o, "customer_id", W.current_rows(_dim(spark, d)), "customer_id",
+    return J.fk_integrity(o, "customer_id", W.current_rows(_gold(spark, d, "dim_customers")), "customer_id",
                           unknown=V.UNKNOWN_KEY)
 
 
@@ -615,7 +642,7 @@ def campaign_channel_mode(spark, d):
 
 @query
 def order_features(spark, d):
-    return features.order_features(_measures(spark, d), T.AS_OF)
+    return features.order_features(_gold(spark, d, "fact_orders"), T.AS_OF)
 
 
 @query
@@ -652,12 +679,12 @@ def click_modes(spark, d):
 
 @query
 def daily_revenue(spark, d):
-    return kpis.daily_revenue(_measures(spark, d), T.START, T.END)
+    return kpis.daily_revenue(_gold(spark, d, "fact_orders"), T.START, T.END)
 
 
 @query
 def revenue_summary(spark, d):
-    return kpis.revenue_summary(_measures(spark, d), T.AS_OF)
+    return kpis.revenue_summary(_gold(spark, d, "fact_orders"), T.AS_OF)
 
 
 @query
@@ -672,8 +699,7 @@ def product_performance_category(spark, d):
 
 @query
 def channel_attribution(spark, d):
-    promoted = gold.join_promotions(_measures(spark, d), _promos(spark, d))
-    return kpis.channel_attribution(promoted, T.START, T.END)
+    return kpis.channel_attribution(_gold(spark, d, "fact_orders"), T.START, T.END)
 
 
 @query
@@ -684,14 +710,14 @@ def revenue_share(spark, d):
 
 @query
 def load_health(spark, d):
-    fact = _measures(spark, d).withColumn("_processed_ts", F.col("_ingestion_ts"))
+    fact = _gold(spark, d, "fact_orders").withColumn("_processed_ts", F.col("_ingestion_ts"))
     return kpis.load_health(fact, T.NOW)
 
 
 @query
 def dup_current_customers(spark, d):
     """Current rows of the history as it is, and of one that was appended twice."""
-    once = W.current_rows(_dim(spark, d))
+    once = W.current_rows(_gold(spark, d, "dim_customers"))
     twice = once.unionByName(once.filter(F.col("segment") == "vip"))
     a = A.duplicated(once, "customer_id").withColumn("case", F.lit("once"))
     return a.unionByName(A.duplicated(twice, "customer_id").withColumn("case", F.lit("twice")))
@@ -728,7 +754,7 @@ def row_number(spark, d):
 
 @query
 def top_customers(spark, d):
-    f = _features(spark, d)
+    f = _gold(spark, d, "customer_ml_features")
     parts = [kpis.top_customers(f, T.AS_OF, by).withColumn("by", F.lit(by))
              for by in ("revenue", "orders", "rfm")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -736,7 +762,7 @@ def top_customers(spark, d):
 
 @query
 def segment_customers(spark, d):
-    return kpis.segment_customers(_features(spark, d), "medium", T.AS_OF)
+    return kpis.segment_customers(_gold(spark, d, "customer_ml_features"), "medium", T.AS_OF)
 
 
 @query
@@ -876,7 +902,7 @@ def dq_length_equals(spark, d):
 
 @query
 def dq_relationships(spark, d):
-    known = W.current_rows(_dim(spark, d))
+    known = W.current_rows(_gold(spark, d, "dim_customers"))
     return _checked(T.orders(spark, d), Q.relationships("customer_id", known, "customer_id", Q.WARN))
 
 
@@ -895,20 +921,20 @@ def dq_unique_combo(spark, d):
 
 @query
 def dq_one_current(spark, d):
-    return _checked(_dim(spark, d), Q.one_current("customer_id"))
+    return _checked(_gold(spark, d, "dim_customers"), Q.one_current("customer_id"))
 
 
 @query
 def dq_failing_rows(spark, d):
     """The stored failures of one check."""
-    return Q.failing_rows(_measures(spark, d), Q.between("total_amount", high=500)).select(
+    return Q.failing_rows(_gold(spark, d, "fact_orders"), Q.between("total_amount", high=500)).select(
         "order_id", "total_amount")
 
 
 @query
 def dq_suite(spark, d):
     """All suites over their tables."""
-    dim = _dim(spark, d)
+    dim = _gold(spark, d, "dim_customers")
     parts = [
         Q.run_suite(_orders(spark, d), "silver_orders", suites.silver_orders_suite()),
         Q.run_suite(_customers_day1(spark, d), "silver_customers", suites.silver_customers_suite()),
@@ -916,9 +942,9 @@ def dq_suite(spark, d):
         Q.run_suite(T.reviews(spark, d), "silver_reviews", suites.silver_reviews_suite()),
         Q.run_suite(silver.cast_inventory(T.raw_inventory(spark, d)), "silver_inventory",
                     suites.silver_inventory_suite()),
-        Q.run_suite(_fact(spark, d), "fact_orders", suites.fact_orders_suite(dim, T.NOW)),
+        Q.run_suite(_gold(spark, d, "fact_orders"), "fact_orders", suites.fact_orders_suite(dim, T.NOW)),
         Q.run_suite(dim, "dim_customers", suites.dim_customers_suite()),
-        Q.run_suite(_promos(spark, d), "dim_promotions", suites.dim_promotions_suite()),
+        Q.run_suite(_gold(spark, d, "dim_promotions"), "dim_promotions", suites.dim_promotions_suite()),
         Q.run_suite(gold.fact_reviews(T.reviews(spark, d)), "fact_reviews",
                     suites.fact_reviews_suite()),
     ]
@@ -930,7 +956,7 @@ def dq_suite(spark, d):
 
 @query
 def dq_features_suite(spark, d):
-    return Q.run_suite(_features(spark, d), "customer_ml_features",
+    return Q.run_suite(_gold(spark, d, "customer_ml_features"), "customer_ml_features",
                        suites.customer_ml_features_suite())
 
 
@@ -981,9 +1007,10 @@ def _finish(query):
 def stream_land(spark, d):
     """Landed lines per topic and event date, read back."""
     out, mark = scratch_path(spark, "landed"), scratch_path(spark, "mark")
-    _finish(L.land_stream(_read_messages(spark, d), out, mark, _NOW_ONLY, X.instant(_CONSUMED)))
-    lines = spark.read.schema("value string, topic string, date date").text(out)
-    return lines.groupBy("topic", "date").agg(
+    _finish(L.land_stream(
+        _read_messages(spark, d), out, mark, _NOW_ONLY, X.instant(_CONSUMED), files_per_date=1))
+    lines = spark.read.schema("value string, topic string, date string").text(out)
+    return lines.groupBy("topic", F.col("date").cast("date").alias("date")).agg(
         F.count("*").alias("lines"),
         F.count_if(F.get_json_object("value", "$._error") == L.PARSE_FAILED).alias("errors"),
         F.count_distinct(F.get_json_object("value", "$._kafka_offset")).alias("offsets"))
@@ -1016,7 +1043,7 @@ def stream_event_date(spark, d):
     good, _ = L.split_bad(_parsed(spark, d))
     dated = L.partition_by_event_date(good, "order_date")
     out, mark = scratch_path(spark, "dated"), scratch_path(spark, "mark")
-    _finish(L.land_table(dated, out, mark, _NOW_ONLY, ["date"]))
+    _finish(L.land_table(dated, out, mark, _NOW_ONLY, ["date"], files_per_partition=1))
     rows = spark.read.schema(dated.schema).parquet(out)
     return rows.groupBy("date", "arrival_date").agg(F.count("*").alias("rows"))
 

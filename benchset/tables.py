@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 AS_OF = "2024-01-31"
 NOW = "2024-01-31 12:00:00"
@@ -120,8 +121,15 @@ from {documents} d left join {labels} l on d.doc_id = l.doc_id
 _SPARK = {"sha256": "sha2", "bits": ", 256"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _view(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:

@@ -47,19 +47,12 @@ def merge_into_table(
     write_partitioned(materialize(merged, "merge-result"), path, parts)
 
 
-def _differs(old: str, new: str, cols: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a | b, [~F.col(f"{old}.{c}").eqNullSafe(F.col(f"{new}.{c}")) for c in cols]
-    )
-
-
-def _versioned(row: str, attrs: Sequence[str], start: Column, end: Column, current: bool) -> Column:
-    return F.struct(
-        *[F.col(f"{row}.{c}").alias(c) for c in attrs],
-        start.alias("_valid_from"),
-        end.cast("timestamp").alias("_valid_to"),
-        F.lit(current).alias("_is_current"),
-    )
+def _opened(rows: DataFrame, now: Column) -> DataFrame:
+    return rows.withColumns({
+        "_valid_from": now,
+        "_valid_to": F.lit(None).cast("timestamp"),
+        "_is_current": F.lit(True),
+    })
 
 
 def scd2_merge(
@@ -75,32 +68,46 @@ def scd2_merge(
     A current row whose checked columns differ (NULL-safe) is closed at ``now_ts`` and a
     new version opens; a new key opens; an unchanged key is left alone.  A key that is
     gone from the source is left open, or closed with ``invalidate_hard_deletes``.  The
-    source holds one row per key.  Closed versions are passed through without a join,
-    and one full outer join of the current rows decides everything else.
+    source holds one row per key.
+
+    One full outer join of the current rows tells what happens to each key; the outcome
+    is a short list of roles (keep, close, open), and each role becomes one row.  Closed
+    versions are passed through without a join.
     """
     now = instant(now_ts)
-    never = F.lit(None)
     attrs = [c for c in src.columns if c not in SCD_COLUMNS]
-    new = src.select(F.col(key).alias("_key"), F.struct(*attrs).alias("new"))
+    new = src.select(*attrs)
     if target is None:
-        return new.select(_versioned("new", attrs, now, never, True).alias("row")).select("row.*")
+        return _opened(new, now)
 
     columns = [*attrs, *SCD_COLUMNS]
     current = target.filter(F.col("_is_current")).select(*columns)
     past = target.filter(~F.col("_is_current")).select(*columns)
-    old = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
-
-    pairs = old.join(new, "_key", "full_outer")
-    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
-    changed = has_old & has_new & _differs("old", "new", check_cols)
-    ended = changed | (has_old & ~has_new) if invalidate_hard_deletes else changed
-    kept = F.when(ended, _versioned("old", attrs, F.col("old._valid_from"), now, False)).when(
-        has_old,
-        _versioned("old", attrs, F.col("old._valid_from"), F.col("old._valid_to"), True),
+    old = current.select(*[F.col(c).alias(f"old_{c}") for c in columns], F.lit(1).alias("_had"))
+    new = new.select(*[F.col(c).alias(f"new_{c}") for c in attrs], F.lit(1).alias("_has"))
+
+    pairs = old.join(new, F.col(f"old_{key}") == F.col(f"new_{key}"), "full_outer")
+    changed = reduce(
+        lambda a, b: a | b,
+        [~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in check_cols],
+    )
+    gone = "close" if invalidate_hard_deletes else "keep"
+    roles = (
+        F.when(F.col("_had").isNull(), F.array(F.lit("open")))
+        .when(F.col("_has").isNull(), F.array(F.lit(gone)))
+        .when(changed, F.array(F.lit("close"), F.lit("open")))
+        .otherwise(F.array(F.lit("keep")))
+    )
+    acted = pairs.withColumn("_role", F.explode(roles))
+    opens, closes = F.col("_role") == "open", F.col("_role") == "close"
+    out = [F.when(opens, F.col(f"new_{c}")).otherwise(F.col(f"old_{c}")).alias(c) for c in attrs]
+    result = acted.select(
+        *out,
+        F.when(opens, now).otherwise(F.col("old__valid_from")).alias("_valid_from"),
+        F.when(closes, now).when(~opens, F.col("old__valid_to")).alias("_valid_to"),
+        (~closes).alias("_is_current"),
     )
-    opened = F.when(changed | ~has_old, _versioned("new", attrs, now, never, True))
-    rows = F.filter(F.array(kept, opened), lambda r: r.isNotNull())
-    return pairs.select(F.inline(rows)).unionByName(past)
+    return result.unionByName(past)
 
 
 def snapshot_customers(target: DataFrame | None, customers: DataFrame, now_ts) -> DataFrame:

@@ -1,7 +1,8 @@
 """Declarative data checks.
 
-A suite is a list of checks.  All row checks of a table are one aggregate over one scan;
-checks that need a shuffle of their own (uniqueness, references) run beside it.
+A suite is a list of checks.  All row checks of a table are one aggregate over one scan,
+all uniqueness checks are one grouped count over a second, and each reference check is an
+anti join of its distinct values.
 Result rows: table, check, column, severity, failed_rows, passed.
 """
 
@@ -106,12 +107,25 @@ def _one_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return df.agg(*counts).select(F.inline(F.array(*lines)))
 
 
-def _uniqueness(df: DataFrame, table: str, check: Check) -> DataFrame:
-    rows = df if check.only is None else df.filter(check.only)
-    repeated = duplicated(rows.dropna(subset=list(check.unique)), check.unique)
-    return repeated.agg(F.sum("n").alias("_failed")).select(
-        F.inline(F.array(_line(table, check, F.col("_failed"))))
-    )
+def _uniqueness(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """All uniqueness checks of a table in one scan: rows that share a key, per check.
+
+    Every row gives one (check, key) pair per check; counting combines on the map side,
+    so a value that fills a large part of the table travels as one row per task.
+    """
+    keys = []
+    for i, c in enumerate(checks):
+        present = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c.unique])
+        wanted = present if c.only is None else present & c.only
+        text = F.col(c.unique[0]).cast("string") if len(c.unique) == 1 else F.to_json(
+            F.struct(*c.unique))
+        keys.append(F.struct(F.lit(i).alias("_check"), F.when(wanted, text).alias("_key")))
+    pairs = df.select(F.inline(F.array(*keys))).filter(F.col("_key").isNotNull())
+    repeated = duplicated(pairs, ("_check", "_key"))
+    totals = repeated.agg(
+        *[F.sum(F.when(F.col("_check") == i, F.col("n"))).alias(f"_f{i}") for i in range(len(checks))])
+    return totals.select(
+        F.inline(F.array(*[_line(table, c, F.col(f"_f{i}")) for i, c in enumerate(checks)])))
 
 
 def _reference(df: DataFrame, table: str, check: Check) -> DataFrame:
@@ -124,7 +138,8 @@ def _reference(df: DataFrame, table: str, check: Check) -> DataFrame:
 def run_suite(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     plain = [c for c in checks if c.failing is not None or c.at_least is not None]
     parts = [_one_pass(df, table, plain)] if plain else []
-    parts += [_uniqueness(df, table, c) for c in checks if c.unique]
+    distinct = [c for c in checks if c.unique]
+    parts += [_uniqueness(df, table, distinct)] if distinct else []
     parts += [_reference(df, table, c) for c in checks if c.parent is not None]
     return reduce(DataFrame.unionByName, parts)
 

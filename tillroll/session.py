@@ -19,6 +19,12 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Settings that only a new session takes.
+STATIC_CONF = {
+    # capturing the Python call site of every column costs more than building the plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that results depend on (UTC clock, dynamic overwrite, AQE)."""
@@ -31,7 +37,7 @@ def build_session(app: str = "tillroll", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in conf.items():
+    for name, value in (STATIC_CONF | conf).items():
         builder = builder.config(name, value)
     return configure(builder.getOrCreate())
 

@@ -20,6 +20,7 @@ MESSAGE_DDL = (
     "topic string, partition int, offset bigint, key string, value string, timestamp timestamp"
 )
 PARSE_FAILED = "parse_failed"
+FILES_PER_DATE = 4
 
 
 def read_topics(
@@ -95,7 +96,7 @@ def partition_by_event_date(df: DataFrame, ts_col: str, arrived: str = "_consume
 
 
 def landed_lines(stream: DataFrame, consumed_at: Column | None = None) -> DataFrame:
-    """(topic, date, value): one JSON line per message with the envelope inside.
+    """(topic, date, value, offset): one JSON line per message with the envelope inside.
 
     The payload text is kept as it came, so fields outside any layout survive.
     """
@@ -113,34 +114,45 @@ def landed_lines(stream: DataFrame, consumed_at: Column | None = None) -> DataFr
         F.col("topic"),
         F.when(ok, event_date(text, at)).otherwise(at.cast("date")).alias("date"),
         F.when(ok, merged).otherwise(wrapped).alias("value"),
+        F.col("offset"),
     )
 
 
-def start(writer, trigger: dict) -> StreamingQuery:
-    return writer.trigger(**trigger).start()
+def gathered(rows: DataFrame, cols: Sequence[str], offset: str, files: int) -> DataFrame:
+    """Bring the rows of each partition value of a micro-batch into at most ``files`` tasks.
+
+    Without it every task writes a file for every date it meets; with a single task per
+    date a busy date would be one task.  The offset decides the task, so a retry repeats it.
+    """
+    return rows.repartition(*cols, F.pmod(F.col(offset), F.lit(files)))
 
 
 def land_stream(
     stream: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-    consumed_at: Column | None = None,
+    consumed_at: Column | None = None, files_per_date: int = FILES_PER_DATE,
 ) -> StreamingQuery:
     """Write the messages as JSON lines under topic=/date=, one flush per micro-batch."""
-    writer = (
-        landed_lines(stream, consumed_at).writeStream.format("text").outputMode("append")
-        .partitionBy("topic", "date").option("path", out).option("checkpointLocation", checkpoint)
-    )
-    return start(writer, trigger or {"processingTime": f"{V.FLUSH_SECONDS} seconds"})
+    lines = gathered(landed_lines(stream, consumed_at), ("topic", "date"), "offset", files_per_date)
+    writer = lines.drop("offset").writeStream.format("text").partitionBy("topic", "date")
+    return _start(writer, out, checkpoint, trigger)
 
 
 def land_table(
-    rows: DataFrame, out: str, checkpoint: str, trigger: dict, partition_cols: Sequence[str] = ()
+    rows: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+    partition_cols: Sequence[str] = (), files_per_partition: int = FILES_PER_DATE,
 ) -> StreamingQuery:
     """Write a typed stream as Parquet files."""
-    writer = (
-        rows.writeStream.format("parquet").outputMode("append")
-        .option("path", out).option("checkpointLocation", checkpoint)
-    )
-    return start(writer.partitionBy(*partition_cols) if partition_cols else writer, trigger)
+    if not partition_cols:
+        return _start(rows.writeStream.format("parquet"), out, checkpoint, trigger)
+    whole = gathered(rows, partition_cols, "_kafka_offset", files_per_partition)
+    writer = whole.writeStream.format("parquet").partitionBy(*partition_cols)
+    return _start(writer, out, checkpoint, trigger)
+
+
+def _start(writer, out: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    when = trigger or {"processingTime": f"{V.FLUSH_SECONDS} seconds"}
+    placed = writer.option("path", out).option("checkpointLocation", checkpoint)
+    return placed.outputMode("append").trigger(**when).start()
 
 
 def observe_stream(parsed: DataFrame, name: str) -> DataFrame:
