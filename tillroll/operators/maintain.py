@@ -12,6 +12,7 @@ from tillroll.functions.expressions import instant
 from tillroll.session import materialize
 from tillroll.sources.writers import write_partitioned
 
+MAX_LISTED_PARTITIONS = 500
 SCD_COLUMNS = ("_valid_from", "_valid_to", "_is_current")
 
 
@@ -21,29 +22,48 @@ def merge_upsert(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(src.select(*target.columns))
 
 
+def _partition_filter(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Target rows in the touched partitions.
+
+    Partition values are table metadata, at most one row per folder.  Up to
+    MAX_LISTED_PARTITIONS of them become a literal filter, which skips the other folders
+    without listing their files; beyond that a semi join selects the rows.
+    """
+    values = touched.take(MAX_LISTED_PARTITIONS + 1)
+    if len(values) > MAX_LISTED_PARTITIONS:
+        same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(touched[c]) for c in parts])
+        return target.join(touched, same, "left_semi")
+    tests = [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in parts])
+        for v in values
+    ]
+    return target.filter(reduce(lambda a, b: a | b, tests)) if tests else target.limit(0)
+
+
 def merge_into_table(
-    spark: SparkSession, path: str, src: DataFrame, key: str, partition_cols: Sequence[str]
+    spark: SparkSession, path: str, src: DataFrame, key: str, partition_cols: Sequence[str],
+    check_moves: bool = True,
 ) -> None:
     """Merge ``src`` into a partitioned Parquet table, rewriting only the partitions it meets.
 
     The partition of a key must not change (an order keeps its order date); a source row
     that would move its key is refused, because the old partition would keep a stale row.
-    The result is staged in the shared folder first: a path is never overwritten while
-    it is being read.
+    That check reads the key column of the whole table; ``check_moves=False`` leaves it out
+    where the partition is known to be a function of the key.  The result is staged in the
+    shared folder first: a path is never overwritten while it is being read.
     """
     parts = list(partition_cols)
-    staged_src = materialize(src, "merge-source")
+    staged = materialize(src, "merge-source")
     target = spark.read.parquet(path)
-    moved = (
-        target.select(key, *[F.col(c).alias(f"_old_{c}") for c in parts])
-        .join(staged_src.select(key, *parts), key)
-        .filter(reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in parts]))
-    )
-    if not moved.isEmpty():
-        raise ValueError(f"source rows move a {key} to another partition of {path}")
-    touched = staged_src.select(*parts).distinct()
-    same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(touched[c]) for c in parts])
-    merged = merge_upsert(target.join(touched, same, "left_semi"), staged_src, key)
+    if check_moves:
+        moved = target.select(key, *[F.col(c).alias(f"_old_{c}") for c in parts]).join(
+            staged.select(key, *parts), key
+        ).filter(reduce(
+            lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in parts]))
+        if not moved.isEmpty():
+            raise ValueError(f"source rows move a {key} to another partition of {path}")
+    touched = _partition_filter(target, staged.select(*parts).distinct(), parts)
+    merged = merge_upsert(touched, staged, key)
     write_partitioned(materialize(merged, "merge-result"), path, parts)
 
 

@@ -1,17 +1,28 @@
-"""The daily jobs: land-to-silver per entity, then gold tables, each step one table write."""
+"""The daily jobs: landed files to silver tables, silver to gold tables, quality results.
+
+Every step is one table write, so a lost executor costs the tasks it ran and a failed step
+can be run again on its own.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import vocabulary as V
 from tillroll.functions.expressions import day
+from tillroll.operators import quality as Q
+from tillroll.operators.calendar import dim_date
+from tillroll.operators.filters import incremental_rows
+from tillroll.operators.maintain import merge_into_table, snapshot_customers
+from tillroll.plans import features, gold, suites
 from tillroll.plans import silver as S
+from tillroll.session import materialize
 from tillroll.sources import readers
-from tillroll.sources.writers import write_dlq, write_partitioned
+from tillroll.sources.writers import write_clustered, write_dlq, write_partitioned
 
 _READ = {
     "orders": readers.read_orders,
@@ -68,3 +79,101 @@ def run_silver(
 ) -> DataFrame:
     counts = {e: build_silver(spark, e, bronze, silver, now_ts, date) for e in entities}
     return pass_rate(spark, counts)
+
+
+# --- gold -----------------------------------------------------------------------
+
+FACT_PARTITIONS = ("order_year", "order_month")
+FACT_SORT = ("order_date", "customer_sk")
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold a table already?"""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _tables(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
+    return [spark.read.parquet(f"{root}/{n}") for n in names]
+
+
+def build_customer_history(spark: SparkSession, silver: str, gold_root: str, now_ts) -> None:
+    """Merge the silver customers into the stored history."""
+    path = f"{gold_root}/snapshot_customers"
+    known = spark.read.parquet(path) if has_table(spark, path) else None
+    (customers,) = _tables(spark, silver, "customers")
+    history = materialize(snapshot_customers(known, customers, now_ts), "history")
+    write_clustered(history, path, ("customer_id", "_valid_from"))
+
+
+def build_dimensions(spark: SparkSession, silver: str, gold_root: str, as_of, now_ts) -> None:
+    history = spark.read.parquet(f"{gold_root}/snapshot_customers")
+    write_clustered(gold.dim_customers(history, as_of, now_ts), f"{gold_root}/dim_customers",
+                    ("customer_id", "_valid_from"))
+    (orders,) = _tables(spark, silver, "orders")
+    write_clustered(gold.dim_promotions(orders, now_ts), f"{gold_root}/dim_promotions",
+                    ("campaign_id",))
+    write_clustered(dim_date(spark), f"{gold_root}/dim_date", ("full_date",))
+
+
+def build_facts(spark: SparkSession, silver: str, gold_root: str, now_ts) -> None:
+    """Add or replace the orders processed since the last run; rebuild the review fact."""
+    orders, reviews = _tables(spark, silver, "orders", "reviews")
+    dims = _tables(spark, gold_root, "dim_customers", "dim_date", "dim_promotions")
+    path = f"{gold_root}/fact_orders"
+    if has_table(spark, path):
+        fresh = incremental_rows(orders, spark.read.parquet(path))
+        merge_into_table(
+            spark, path, gold.fact_orders(fresh, *dims, now_ts), "order_sk", FACT_PARTITIONS)
+    else:
+        write_partitioned(
+            gold.fact_orders(orders, *dims, now_ts), path, FACT_PARTITIONS, FACT_SORT)
+    write_clustered(gold.fact_reviews(S.silver_reviews(reviews)), f"{gold_root}/fact_reviews",
+                    ("product_sku", "review_id"))
+
+
+def build_features(
+    spark: SparkSession, silver: str, gold_root: str, as_of, now_ts, environment: str = "dev"
+) -> None:
+    fact, dim = _tables(spark, gold_root, "fact_orders", "dim_customers")
+    (clicks,) = _tables(spark, silver, "clickstream")
+    table = features.customer_ml_features(
+        fact, dim, clicks, as_of, now_ts, environment, one_row_per_order=True)
+    write_partitioned(table, f"{gold_root}/customer_ml_features", ("snapshot_date",))
+
+
+def check_tables(spark: SparkSession, silver: str, gold_root: str, now_ts) -> DataFrame:
+    """Results of all suites over the stored tables."""
+    dim = spark.read.parquet(f"{gold_root}/dim_customers")
+    wanted = [
+        (silver, "orders", "silver_orders", suites.silver_orders_suite()),
+        (silver, "customers", "silver_customers", suites.silver_customers_suite()),
+        (silver, "clickstream", "silver_clickstream", suites.silver_clickstream_suite()),
+        (silver, "inventory", "silver_inventory", suites.silver_inventory_suite()),
+        (silver, "reviews", "silver_reviews", suites.silver_reviews_suite()),
+        (gold_root, "fact_orders", "fact_orders", suites.fact_orders_suite(dim, now_ts)),
+        (gold_root, "dim_customers", "dim_customers", suites.dim_customers_suite()),
+        (gold_root, "dim_promotions", "dim_promotions", suites.dim_promotions_suite()),
+        (gold_root, "customer_ml_features", "customer_ml_features",
+         suites.customer_ml_features_suite()),
+        (gold_root, "fact_reviews", "fact_reviews", suites.fact_reviews_suite()),
+    ]
+    results = [
+        Q.run_suite(spark.read.parquet(f"{root}/{folder}"), name, checks)
+        for root, folder, name, checks in wanted
+    ]
+    return reduce(DataFrame.unionByName, results)
+
+
+def run_gold(
+    spark: SparkSession, silver: str, gold_root: str, as_of, now_ts, environment: str = "dev"
+) -> DataFrame:
+    """History, dimensions, facts, features, checks; returns the stored check results."""
+    build_customer_history(spark, silver, gold_root, now_ts)
+    build_dimensions(spark, silver, gold_root, as_of, now_ts)
+    build_facts(spark, silver, gold_root, now_ts)
+    build_features(spark, silver, gold_root, as_of, now_ts, environment)
+    results = check_tables(spark, silver, gold_root, now_ts).withColumn("checked_at", F.lit(str(now_ts)))
+    write_partitioned(results, f"{gold_root}/quality_results", ("checked_at",))
+    return spark.read.parquet(f"{gold_root}/quality_results").filter(
+        F.col("checked_at") == F.lit(str(now_ts)))

@@ -39,11 +39,14 @@ def revenue_summary(fact: DataFrame, as_of) -> DataFrame:
     """One row: completed revenue of today, 7 days, 30 days, this month, this year.
 
     Windows are open to the right: a row after the as-of date counts in 7d and 30d.
+    No window reaches back beyond the start of the year or 30 days, so older days are
+    filtered out at the scan; without any such row the sums are 0.
     """
     placed, today = F.col("order_date_day"), day(as_of)
+    fact = fact.filter(placed >= F.least(F.trunc(today, "year"), F.date_sub(today, 30)))
 
     def revenue(when):
-        return sum_if(_done() & when, "total_amount")
+        return F.coalesce(sum_if(_done() & when, "total_amount"), F.lit(0))
 
     def same(unit):
         return F.trunc(placed, unit) == F.trunc(today, unit)

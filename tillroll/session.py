@@ -33,6 +33,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sizing(shuffled_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Settings for a job by the bytes its widest shuffle moves.
+
+    About 256 MB per reduce task, never fewer tasks than two rounds of the cores nor more
+    than 20,000 (the driver keeps one status per map and reduce task).  Adaptive execution
+    merges what turns out small and splits what turns out skewed.
+    """
+    tasks = max(2 * executor_cores, min(20_000, -(-shuffled_bytes // (256 << 20))))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m" if shuffled_bytes < 1 << 40 else "512m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(app: str = "tillroll", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

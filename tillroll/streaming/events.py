@@ -23,27 +23,23 @@ def sessionize_stream(
     ).select(key, "started", "last_event", "events")
 
 
-def sessionize(
-    df: DataFrame, key: str, ts: str, gap_minutes: int = 30, bucket_minutes: int = 60
-) -> DataFrame:
+def sessionize(df: DataFrame, key: str, ts: str, gap_minutes: int = 30) -> DataFrame:
     """The same sessions over a table, safe for a key with very many events.
 
-    First the events of each (key, time bucket) are drawn together into pieces, with
-    partial aggregation; a hot key is spread over its buckets.  A bucket holds only a few
-    pieces, since two pieces of it lie at least a gap apart, so joining the pieces of one
-    key in time order is light however many events it has.
+    Time is cut into slots as long as the gap.  Events of one key and slot are less than a
+    gap apart, so they belong together and plain partial aggregation turns them into one
+    piece before the shuffle.  A key then has at most one piece per slot of its history,
+    however many events it has, and joining pieces in time order is light.
     """
     gap = F.expr(f"INTERVAL {gap_minutes} MINUTES")
     known = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    bucket = F.floor(F.unix_micros(ts) / F.lit(bucket_minutes * 60_000_000))
-    pieces = known.groupBy(
-        key, bucket.alias("_bucket"), F.session_window(ts, f"{gap_minutes} minutes").alias("_s")
-    ).agg(F.count("*").alias("events"), F.min(ts).alias("started"), F.max(ts).alias("last_event"))
-
-    in_order = Window.partitionBy(key).orderBy("started", "last_event")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max("last_event").over(before)
-    opens = F.when(reach.isNull() | (F.col("started") > reach + gap), 1).otherwise(0)
+    slot = F.floor(F.unix_micros(ts) / F.lit(gap_minutes * 60_000_000))
+    pieces = known.groupBy(key, slot.alias("_slot")).agg(
+        F.count("*").alias("events"), F.min(ts).alias("started"), F.max(ts).alias("last_event"))
+
+    in_order = Window.partitionBy(key).orderBy("_slot")
+    previous = F.lag("last_event").over(in_order)
+    opens = F.when(previous.isNull() | (F.col("started") > previous + gap), 1).otherwise(0)
     numbered = pieces.withColumn("_opens", opens).withColumn(
         "_session", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
     return numbered.groupBy(key, "_session").agg(
