@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_partitioned(
     df: DataFrame, path: str, cols: Sequence[str], sort_by: Sequence[str] = ()
-) -> None:
+) -> int:
     """Snappy Parquet by partition columns; only the partitions in ``df`` are replaced.
 
     The rebalance hint gathers each partition into few files and lets adaptive execution
-    split a partition that holds a large part of the rows.
+    split a partition that holds a large part of the rows.  Returns the rows written; they
+    are counted in the writing tasks, whose counts Spark applies once even after a retry.
     """
+    written = Observation("written")
     rows = df.hint("rebalance", *cols)
     if sort_by:
         rows = rows.sortWithinPartitions(*cols, *sort_by)
+    rows = rows.observe(written, F.count("*").alias("rows"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -25,6 +29,7 @@ def write_partitioned(
         .partitionBy(*cols)
         .parquet(path)
     )
+    return written.get["rows"]
 
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -37,6 +42,9 @@ def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
     rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_dlq(bad: DataFrame, root: str, entity: str) -> None:
+def write_dlq(bad: DataFrame, root: str, entity: str) -> int:
     """Append bad rows as JSON under _dlq/{entity}/date=, by the date they landed on."""
-    bad.write.mode("append").partitionBy("date").json(f"{root}/_dlq/{entity}")
+    written = Observation("dlq")
+    rows = bad.observe(written, F.count("*").alias("rows"))
+    rows.write.mode("append").partitionBy("date").json(f"{root}/_dlq/{entity}")
+    return written.get["rows"]
