@@ -100,8 +100,22 @@ def readers_columns(ddl: str) -> list[str]:
     return [part.split()[0] for part in ddl.split(",")]
 
 
+def _stored(spark, d, name, build):
+    """A frame kept as a table, in as many files as the cluster has cores."""
+    cores = spark.sparkContext.defaultParallelism
+    path = _staged(spark, d, name, lambda p: build().repartition(cores).write.parquet(p))
+    return spark.read.parquet(path)
+
+
+def _raw_orders(spark, d):
+    """The order messages as a landed table."""
+    return _stored(spark, d, "raw_orders", lambda: T.raw_orders(spark, d))
+
+
 def _orders(spark, d):
-    return silver.enrich_orders(T.orders(spark, d), T.NOW)
+    """The silver order table."""
+    return _stored(
+        spark, d, "silver_orders", lambda: silver.enrich_orders(T.orders(spark, d), T.NOW))
 
 
 def _measures(spark, d):
@@ -304,14 +318,14 @@ def bronze_complete(spark, d):
 
 @query
 def cast_orders(spark, d):
-    return silver.cast_orders(T.raw_orders(spark, d)).select(
+    return silver.cast_orders(_raw_orders(spark, d)).select(
         "order_id", "order_date", "updated_at", "_ingestion_ts", "estimated_delivery_date",
         "actual_delivery_date", "total_amount", "subtotal")
 
 
 @query
 def enrich_orders(spark, d):
-    return _orders(spark, d).select(
+    return silver.enrich_orders(T.orders(spark, d), T.NOW).select(
         "order_id", "order_year", "order_month", "order_day", "order_hour", "order_dayofweek",
         "is_weekend", "item_count", "has_discount", "_processed_ts", "_pipeline_version")
 
@@ -518,7 +532,7 @@ def freshness_status(spark, d):
 
 @query
 def valid_orders(spark, d):
-    return silver.silver_orders(T.raw_orders(spark, d), T.NOW).select(
+    return silver.silver_orders(_raw_orders(spark, d), T.NOW).select(
         "order_id", "customer_id", "order_status", "order_date", "updated_at", "total_amount",
         "item_count", "order_hour")
 
@@ -689,12 +703,12 @@ def revenue_summary(spark, d):
 
 @query
 def product_performance(spark, d):
-    return kpis.product_performance(T.orders(spark, d), T.START, T.END)
+    return kpis.product_performance(_orders(spark, d), T.START, T.END)
 
 
 @query
 def product_performance_category(spark, d):
-    return kpis.product_performance(T.orders(spark, d), T.START, T.END, category="cat_3", limit=500)
+    return kpis.product_performance(_orders(spark, d), T.START, T.END, category="cat_3", limit=500)
 
 
 @query
@@ -728,7 +742,7 @@ def dup_current_customers(spark, d):
 
 @query
 def dedup_orders(spark, d):
-    return D.dedup_latest(T.raw_orders(spark, d), "order_id", "updated_at").select(
+    return D.dedup_latest(_raw_orders(spark, d), "order_id", "updated_at").select(
         "order_id", "customer_id", "order_status", "updated_at", "total_amount", "order_date")
 
 
@@ -879,7 +893,7 @@ def dq_not_null(spark, d):
 
 @query
 def dq_unique(spark, d):
-    return _checked(T.raw_orders(spark, d), Q.unique("order_id"), Q.unique("updated_at", Q.WARN))
+    return _checked(_raw_orders(spark, d), Q.unique("order_id"), Q.unique("updated_at", Q.WARN))
 
 
 @query
