@@ -289,7 +289,8 @@ def _landed(spark, d):
 
 @query
 def landing_report(spark, d):
-    return _landed(spark, d)
+    files = [landing.landed_files(spark, _bronze(spark, d, e)) for e in V.REQUIRED_ENTITIES]
+    return landing.landing_report(files[0].unionByName(files[1]), V.ENTITIES)
 
 
 @query

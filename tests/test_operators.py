@@ -209,8 +209,33 @@ def test_merge_into_table(spark, tmp_path):
         got = rows(spark.read.parquet(path).select("k", "v", "p"))
         assert got == [("a", 1, 1), ("b", 9, 1), ("c", 3, 2), ("d", 8, 3)]
     assert sorted(f.name for f in (tmp_path / "t" / "p=2").glob("*.parquet")) == untouched
-    with pytest.raises(ValueError, match="another partition"):
-        M.merge_into_table(spark, path, spark.createDataFrame([("a", 1, 2)], "k string, v int, p int"), "k", ["p"])
+
+
+def test_merge_follows_a_key_to_another_partition(spark, tmp_path):
+    path, cols = str(tmp_path / "t"), "k string, v int, p int"
+    write_partitioned(spark.createDataFrame([("a", 1, 1), ("b", 2, 1), ("c", 3, 2)], cols), path, ["p"])
+    M.merge_into_table(spark, path, spark.createDataFrame([("a", 5, 2), ("c", 6, 3)], cols), "k", ["p"])
+    assert rows(spark.read.parquet(path).select("k", "v", "p")) == [("a", 5, 2), ("b", 2, 1), ("c", 6, 3)]
+    M.merge_into_table(spark, path, spark.createDataFrame([("b", 7, None)], cols), "k", ["p"])
+    assert rows(spark.read.parquet(path).select("k", "v", "p")) == [("a", 5, 2), ("b", 7, None), ("c", 6, 3)]
+    assert not (tmp_path / "t" / "p=1").exists()
+
+
+def test_merge_keeps_the_newest_version(spark, tmp_path):
+    path, cols = str(tmp_path / "t"), "k string, v int, p int"
+    write_partitioned(spark.createDataFrame([("a", 5, 1), ("b", 2, 1)], cols), path, ["p"])
+    late = spark.createDataFrame([("a", 1, 1), ("b", 9, 1)], cols)
+    newest = [F.col("v").desc()]
+    assert M.merge_into_table(spark, path, late, "k", ["p"], newest, follow_moves=False) == 2
+    assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 5), ("b", 9)]
+
+
+def test_merge_over_many_partitions_uses_a_semi_join(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "MAX_LISTED_PARTITIONS", 1)
+    path, cols = str(tmp_path / "t"), "k string, v int, p int"
+    write_partitioned(spark.createDataFrame([("a", 1, 1), ("b", 2, 2), ("c", 3, 3)], cols), path, ["p"])
+    M.merge_into_table(spark, path, spark.createDataFrame([("a", 5, 1), ("b", 6, 2)], cols), "k", ["p"])
+    assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 5), ("b", 6), ("c", 3)]
 
 
 def test_quality(spark):

@@ -67,6 +67,24 @@ def test_silver_rewrites_only_the_dates_it_meets(spark, orders_dir):
     assert spark.read.parquet(f"{out}/orders").count() == 5
 
 
+def test_a_late_update_joins_the_partition_of_its_order(spark, orders_dir):
+    bronze, out = str(orders_dir / "bronze"), str(orders_dir / "silver")
+    daily.build_silver(spark, "orders", bronze, out, NOW, "2024-01-31")
+    later = orders_dir / "bronze" / "orders" / "date=2024-02-01"
+    later.mkdir()
+    rows = [order("plain", order_status="refunded", updated_at="2024-02-01T00:00:00"),
+            order("two", order_status="pending", updated_at="2024-01-06T00:00:00")]
+    (later / "b.json").write_text("\n".join(json.dumps(r) for r in rows))
+    for _ in range(2):
+        counts = daily.build_silver(spark, "orders", bronze, out, "2024-02-01 12:00:00", "2024-02-01")
+        assert counts == {"rows_in": 2, "rows_out": 2, "bad": 0}
+        got = {r.order_id: r.order_status for r in spark.read.parquet(f"{out}/orders").collect()}
+        assert got == {"plain": "refunded", "two": "shipped", "empty": "delivered", "tie": "pending"}
+    daily.build_silver(spark, "orders", bronze, out, "2024-02-02 12:00:00", "2024-01-31")
+    again = {r.order_id: r.order_status for r in spark.read.parquet(f"{out}/orders").collect()}
+    assert again == got
+
+
 def test_customers(spark):
     rows = [
         {"customer_id": "a", "email": "x@y.z", "postal_code": "12345-6789", "date_of_birth": "1980-05-01",
@@ -145,6 +163,11 @@ def test_landing_report(spark, tmp_path):
     assert got[("orders", "2024-01-30")] == (1, 10, True) and len(got) == 3
     assert str(landing.latest_partition(report, "orders").first()[0]) == "2024-01-31"
     assert landing.latest_partition(report, "reviews").first()[0] is None
+    wanted = landing.landing_report(
+        landing.landed_files(spark, str(tmp_path)), ("orders", "reviews")).collect()
+    assert [(r.files, r.bytes, r.has_data, r.date) for r in wanted if r.entity == "reviews"] == [
+        (0, 0, False, None)]
+    assert len(wanted) == 4
     assert landing.bronze_complete(report, "2024-01-31").first()[0]
     assert not landing.bronze_complete(report, "2024-01-30").first()[0]
     assert not landing.bronze_complete(report, "2024-02-01").first()[0]

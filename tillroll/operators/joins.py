@@ -114,18 +114,16 @@ def fk_integrity(
     parent: DataFrame,
     ref: str,
     unknown: str | None = None,
-    limit: int | None = 100,
+    limit: int = 100,
 ) -> DataFrame:
     """Report of broken references, one line per child row, at most ``limit`` lines.
 
-    A value that breaks many rows is repeated only up to the limit of the report.
+    The limit is that of the report; ``orphans`` gives every broken value with its rows.
     """
     broken = orphans(child, col, parent, ref, unknown)
-    times = F.col("rows") if limit is None else F.least(F.col("rows"), F.lit(limit))
-    lines = broken.select(
-        F.col("value").alias(col), F.explode(F.sequence(F.lit(1), times.cast("int")))
-    ).select(col)
-    return lines if limit is None else lines.orderBy(col).limit(limit)
+    times = F.least(F.col("rows"), F.lit(limit)).cast("int")
+    lines = broken.select(F.col("value").alias(col), F.explode(F.sequence(F.lit(1), times)))
+    return lines.select(col).orderBy(col).limit(limit)
 
 
 def join_versions(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.expressions import instant
+from tillroll.operators.dedup import top1_by
 from tillroll.session import materialize
 from tillroll.sources.writers import write_partitioned
 
@@ -42,29 +43,49 @@ def _partition_filter(target: DataFrame, touched: DataFrame, parts: Sequence[str
 
 def merge_into_table(
     spark: SparkSession, path: str, src: DataFrame, key: str, partition_cols: Sequence[str],
-    check_moves: bool = True,
-) -> None:
+    order: Sequence[Column] | None = None, follow_moves: bool = True,
+) -> int:
     """Merge ``src`` into a partitioned Parquet table, rewriting only the partitions it meets.
 
-    The partition of a key must not change (an order keeps its order date); a source row
-    that would move its key is refused, because the old partition would keep a stale row.
-    That check reads the key column of the whole table; ``check_moves=False`` leaves it out
-    where the partition is known to be a function of the key.  The result is staged in the
-    shared folder first: a path is never overwritten while it is being read.
+    Without ``order`` source rows replace stored rows of the same key; with it the first row
+    per key under that order stays, so a late or repeated run cannot bring back an older
+    version.  A key may turn up in another partition than before: its old partition is then
+    rewritten too, which takes a look at the key column of the whole table.  Leave that out
+    with ``follow_moves=False`` where the partition is a function of the key.
+
+    The result is staged in the shared folder first: a path is never overwritten while it
+    is being read.  Returns the number of source rows.
     """
     parts = list(partition_cols)
     staged = materialize(src, "merge-source")
     target = spark.read.parquet(path)
-    if check_moves:
-        moved = target.select(key, *[F.col(c).alias(f"_old_{c}") for c in parts]).join(
-            staged.select(key, *parts), key
-        ).filter(reduce(
-            lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in parts]))
-        if not moved.isEmpty():
-            raise ValueError(f"source rows move a {key} to another partition of {path}")
-    touched = _partition_filter(target, staged.select(*parts).distinct(), parts)
-    merged = merge_upsert(touched, staged, key)
-    write_partitioned(materialize(merged, "merge-result"), path, parts)
+    touched = staged.select(*parts)
+    if follow_moves:
+        touched = touched.unionByName(
+            target.select(key, *parts).join(staged.select(key), key, "left_semi").select(*parts))
+    touched = materialize(touched.distinct(), "merge-partitions")
+    stored = _partition_filter(target, touched, parts)
+    if order is None:
+        merged = merge_upsert(stored, staged, key)
+    else:
+        merged = top1_by(stored.unionByName(staged.select(*stored.columns)), key, order)
+    result = materialize(merged, "merge-result")
+    write_partitioned(result, path, parts)
+    if follow_moves:
+        _drop_partitions(spark, path, touched.exceptAll(result.select(*parts).distinct()), parts)
+    return staged.count()
+
+
+def _drop_partitions(
+    spark: SparkSession, path: str, emptied: DataFrame, parts: Sequence[str]
+) -> None:
+    """Remove the folders of partitions that have lost their last row; one row per folder."""
+    for row in emptied.toLocalIterator():
+        names = [
+            f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in parts
+        ]
+        folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *names]))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _opened(rows: DataFrame, now: Column) -> DataFrame:

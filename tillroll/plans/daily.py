@@ -40,11 +40,32 @@ _BUILD = {
 }
 
 
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold a table already?"""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+# entity -> (key, which version stays, may a key change its partition)
+def _merge_rules() -> dict[str, tuple[str, list, bool]]:
+    last = F.col("_processed_ts").desc()
+    return {
+        "orders": ("order_id", [F.col("updated_at").desc_nulls_last(), last], True),
+        "customers": ("customer_id", [F.col("registration_date").desc_nulls_last(), last], True),
+        "clickstream": ("event_id", [F.col("_ingestion_ts").asc_nulls_last(), last], False),
+        "reviews": ("review_id", [F.col("review_date").asc_nulls_last(), last], True),
+    }
+
+
 def build_silver(
     spark: SparkSession, entity: str, bronze: str, silver: str, now_ts, date: str | None = None
 ) -> dict[str, int]:
     """Build the silver partitions of one landed date (or of all), return the row counts.
 
+    Rows of a date may belong to partitions that hold rows of other dates (an order is
+    updated days after it was placed), so they are merged into the stored table by key.
+    A stock snapshot has no key and replaces its own day.
+
     The date is a partition filter, so other dates are not listed or read.  Whether there
     are bad lines is observed while the table is written; only then are they read again
     and kept as dead letters.  The observation sits before a shuffle, where a re-run task
@@ -61,7 +82,13 @@ def build_silver(
     else:
         met, good = None, raw
     table = _BUILD[entity](good.drop("date"), now_ts)
-    rows_out = write_partitioned(table, f"{silver}/{entity}", S.PARTITIONS[entity])
+    path, parts = f"{silver}/{entity}", S.PARTITIONS[entity]
+    rule = _merge_rules().get(entity)
+    if rule is not None and has_table(spark, path):
+        key, order, moves = rule
+        rows_out = merge_into_table(spark, path, table, key, parts, order, moves)
+    else:
+        rows_out = write_partitioned(table, path, parts)
     bad = 0
     if met is not None and met.get["bad"]:
         bad = write_dlq(readers.split_corrupt(raw)[1], silver, entity)
@@ -90,12 +117,6 @@ FACT_PARTITIONS = ("order_year", "order_month")
 FACT_SORT = ("order_date", "customer_sk")
 
 
-def has_table(spark: SparkSession, path: str) -> bool:
-    """Does the folder hold a table already?"""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def _tables(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{root}/{n}") for n in names]
 

@@ -26,14 +26,16 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
     ).filter(F.col("date").isNotNull())
 
 
-def landing_report(files: DataFrame) -> DataFrame:
-    mb = F.round(F.sum("length") / F.lit(1024 * 1024), 2)
-    return files.groupBy("entity", "date").agg(
-        F.count("*").alias("files"),
-        F.sum("length").alias("bytes"),
-        mb.alias("mb"),
-        (F.count("*") > 0).alias("has_data"),
-    )
+def landing_report(files: DataFrame, expected: Sequence[str] = ()) -> DataFrame:
+    """Files and bytes per entity and date; an expected entity without files has one empty line."""
+    found = files.groupBy("entity", "date").agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    if expected:
+        names = F.explode(F.array(*[F.lit(e) for e in expected])).alias("entity")
+        wanted = files.sparkSession.range(1).select(names)
+        found = found.join(wanted, "entity", "full_outer").fillna(0, ["files", "bytes"])
+    mb = F.round(F.col("bytes") / F.lit(1024 * 1024), 2)
+    return found.withColumns({"mb": mb, "has_data": F.col("files") > 0})
 
 
 def date_partitions(report: DataFrame, entity: str) -> DataFrame:

@@ -86,7 +86,6 @@ HOLIDAY_MONTHS = (11, 12, 1, 2)
 CALENDAR_START = "2023-01-01"
 CALENDAR_END = "2030-12-31"
 FLUSH_SECONDS = 30
-FLUSH_ROWS = 1000
 
 # --- fixed values: raw record layouts (DDL)
 
