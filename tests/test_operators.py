@@ -268,3 +268,16 @@ def test_quality_of_an_empty_table(spark):
                                 Q.relationships("k", df, "k")]).collect()
     assert [(r.check, r.failed_rows, r.passed) for r in got] == [
         ("row_count", 1, False), ("not_null", 0, True), ("unique", 0, True), ("relationships", 0, True)]
+
+
+def test_scratch_is_dropped_but_nothing_else(spark):
+    from tillroll import session
+
+    other = session.materialize(spark.range(1), "other")
+    with session.scratch_scope(spark):
+        mine = session.scratch_path(spark, "mine")
+        spark.range(3).write.parquet(mine)
+        assert spark.read.parquet(mine).count() == 3
+    assert other.count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(mine)

@@ -11,7 +11,7 @@ import argparse
 from tillroll import vocabulary as V
 from tillroll.operators.quality import verdict
 from tillroll.plans import daily
-from tillroll.session import build_session
+from tillroll.session import build_session, scratch_scope
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,14 +32,15 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     spark = build_session(f"tillroll-{args.job}")
-    if args.job == "silver":
-        daily.run_silver(
-            spark, args.bronze, args.silver, args.now, args.date, args.entities).show()
-        return 0
-    results = daily.run_gold(
-        spark, args.silver, args.gold, args.as_of, args.now, args.environment)
-    results.filter("not passed").show(100, truncate=False)
-    return 0 if verdict(results).first()["passed"] else 1
+    with scratch_scope(spark):
+        if args.job == "silver":
+            daily.run_silver(
+                spark, args.bronze, args.silver, args.now, args.date, args.entities).show()
+            return 0
+        results = daily.run_gold(
+            spark, args.silver, args.gold, args.as_of, args.now, args.environment)
+        results.filter("not passed").show(100, truncate=False)
+        return 0 if verdict(results).first()["passed"] else 1
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,9 +75,28 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_MADE: dict[str, list[str]] = {}     # application -> scratch paths it has handed out
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete at the end what is staged inside; tables a job has written elsewhere stay."""
+    made = _MADE.setdefault(spark.sparkContext.applicationId, [])
+    start = len(made)
+    try:
+        yield
+    finally:
+        for path in made[start:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del made[start:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
