@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from benchset.oracle import ORACLE
+from benchset.queries import QUERIES
 from compare import differences, duck, duck_rows, spark_rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,13 +20,13 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) - set(oracle_sql()) == NO_TWIN
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == NO_TWIN
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_query_equals_its_twin(spark, con, name):
-    assert differences(spark_rows(queries()[name](spark, SF)), duck_rows(con, oracle_sql()[name])) == []
+    assert differences(spark_rows(QUERIES[name](spark, SF)), duck_rows(con, ORACLE[name])) == []
 
 
 @pytest.mark.parametrize("name", sorted(SLOW))
@@ -43,24 +45,24 @@ HEAVY = ("fact_orders customer_ml_features order_features browse_features valid_
 
 @pytest.mark.parametrize("name", HEAVY)
 def test_no_cross_joins_and_no_python_rows(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert bad not in text
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(queries()["daily_revenue"](spark, SF))
+    text = plan(QUERIES["daily_revenue"](spark, SF))
     assert "PushedFilters: [IsNotNull(order_date_day), GreaterThanOrEqual(order_date_day" in text
     assert "payment_method" not in text
 
 
 def test_top_lists_do_not_sort_everything(spark):
-    assert "TakeOrderedAndProject" in plan(queries()["segment_customers"](spark, SF))
+    assert "TakeOrderedAndProject" in plan(QUERIES["segment_customers"](spark, SF))
 
 
 def test_no_expand_in_the_order_features(spark):
-    assert "Expand" not in plan(queries()["order_features"](spark, SF))
-    assert "Expand" not in plan(queries()["browse_features"](spark, SF))
+    assert "Expand" not in plan(QUERIES["order_features"](spark, SF))
+    assert "Expand" not in plan(QUERIES["browse_features"](spark, SF))
 
 
 def test_entry(spark):
