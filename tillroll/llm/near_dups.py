@@ -5,9 +5,10 @@
 2. A representative gets ``bands * rows`` minima of universal hashes; equal values in one band
    are a bucket.  A pair of similarity 0.8 misses all 32 bands of 4 rows with probability 5e-8.
 3. In a bucket everything is compared with its most central member (the one with most bucket
-   mates), not with each other.  Members that are then in another component than that
-   member are compared with all others of other components in the bucket, so no pair of one
-   bucket that could join two components is left out, and a large group costs a star.
+   mates), not with each other, so a large group costs a star.  Members that are then in
+   another component than that member are paired with those members of the bucket that
+   share enough of what sets them apart from it; this loses no link (see
+   ``_candidates_by_difference``) and does not pair all with all.
 4. A pair is first weighed by its signatures, then confirmed on the full sets of words.
 5. Links become components by alternating large-star and small-star steps, each written to
    the shared folder.
@@ -15,6 +16,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -125,6 +128,63 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return extend(both, "linked boolean", compute, keep=["a", "b"]).filter("linked").select("a", "b").distinct()
 
 
+def _candidates_by_difference(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of members (a, b) of one central member that may be linked, one of them astray.
+
+    ``pairs`` has a (central), b (member), its component, and whether it is astray: in another
+    component than the central member, hence not linked with it.
+
+    Let D(x) be the symmetric difference of x and the central set c.  The symmetric difference of x
+    and y has |D(x)| + |D(y)| - 2 |D(x) & D(y)| elements, and x and y are linked if that is at most
+    r (|x| + |y|), r = (100 - percent) / (100 + percent).  For an astray x, |D(x)| > r (|x| + |c|), so a
+    linked y shares more than (|D(y)| + r (|c| - |y|)) / 2 elements of its D with it.  By the prefix
+    principle one of them is among the first of D(y) in any fixed order; elements outside
+    c come first, as each of those is in few texts.  So no link is lost, and copies of a hub that
+    differ from each other are never paired although they share a bucket.
+    """
+    r = (100 - percent) / (100 + percent)
+
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), F.col("text").alias(f"t{name}"))
+
+    def compute(batch: pa.RecordBatch) -> list:
+        out: list[list] = [[], [], [], []]
+        last, hub = None, np.zeros(0, np.uint64)
+        for x, y in zip(batch.column(4), batch.column(5), strict=True):
+            key = text_bytes(x)
+            if key != last:
+                last, hub = key, shingles(word_hashes(key.lower()), words)
+            own = shingles(word_hashes(text_bytes(y).lower()), words)
+            added = np.setdiff1d(own, hub, assume_unique=True)
+            removed = np.setdiff1d(hub, own, assume_unique=True)
+            order = np.concatenate([added, removed])
+            n, c, size = len(order), len(hub), len(own)
+            as_member = n - max(0, math.floor((n + r * (c - size)) / 2 - 1e-9))
+            as_astray = n - max(1, math.ceil((n - r * (size + c) + (1 - r)) / 2 - 1e-9)) + 1
+            for found, value in zip(out, (size, order.view(np.int64), as_member, as_astray), strict=True):
+                found.append(value)
+        return out
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "component", "astray", "ta", "tb")
+    told = materialize(extend(both, "size int, d array<long>, as_member int, as_astray int", compute,
+                              keep=["a", "b", "component", "astray"]), "differences")
+
+    def spread(part: str, rows: DataFrame, first: str) -> DataFrame:
+        own = [F.col("b").alias(part), F.col("component").alias(f"c{part}"), F.col("size").alias(f"n{part}"),
+               F.size("d").alias(f"d{part}")]
+        prefix = F.slice("d", 1, F.greatest(F.col(first), F.lit(0)))
+        return rows.select(F.col("a").alias(f"a{part}"), *own, F.posexplode(prefix).alias(f"p{part}", f"e{part}"))
+
+    x = spread("x", told.filter("astray"), "as_astray")
+    y = spread("y", told, "as_member")
+    # what the two can still share from here on must reach what they have to share
+    left = F.least(F.col("dx") - F.col("px"), F.col("dy") - F.col("py"))
+    enough = 2 * left * (100 + percent) >= (F.col("dx") + F.col("dy")) * (100 + percent) - (
+        F.col("nx") + F.col("ny")) * (100 - percent)
+    same = (F.col("ax") == F.col("ay")) & (F.col("ex") == F.col("ey")) & (F.col("cx") != F.col("cy")) & enough
+    return x.join(y, same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _same(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
@@ -200,17 +260,18 @@ def near_duplicates(
         _confirmed(_alike(first, reps, percent, hashes), texts, words, percent), "star-links")
     group = components(links)
 
-    # Members outside the component of their bucket's central member meet all other components.
+    # Members outside the component of their bucket's central member may belong to others in the bucket.
     own = group.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     lead = group.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    placed = members.join(own, "b", "left").join(lead, "a", "left").select(
-        "bucket", "a", "b", F.coalesce("cb", "b").alias("cb"), F.coalesce("ca", "a").alias("ca"))
+    placed = members.join(own, "b", "left").join(lead, "a", "left").filter("a <> b").select(
+        "bucket", "a", "b", F.coalesce("cb", "b").alias("component"),
+        (F.coalesce("ca", "a") != F.coalesce("cb", "b")).alias("astray"))
     placed = materialize(placed, "placed")
-    astray = placed.filter("ca <> cb").select("bucket", F.col("b").alias("x"), F.col("cb").alias("cx"))
-    other = placed.filter("a <> b").select("bucket", F.col("b").alias("y"), F.col("cb").alias("cy"), "ca")
-    apart = astray.join(other, "bucket").filter("cx <> cy and (cy = ca or x < y)")
-    rest = apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialize(_confirmed(_alike(rest, reps, percent, hashes), texts, words, percent), "rest-links")
+    unsettled = placed.groupBy("bucket").agg(F.max("astray").alias("any"), F.count("*").alias("n"))
+    unsettled = unsettled.filter("any and n > 1").select("bucket")
+    pairs = placed.join(unsettled, "bucket", "left_semi").select("a", "b", "component", "astray").distinct()
+    rest = _candidates_by_difference(pairs, texts, words, percent)
+    more = materialize(_confirmed(rest, texts, words, percent), "rest-links")
     group = components(links.unionByName(more))
 
     placed = sets.select("doc_id", *digest).join(classes, digest, "left").join(group, "node", "left")
