@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
+from tillroll.llm import chat, cotraining, decontamination, html_layout, licenses, mixing, toxicity, tree_rules
 from tillroll.llm.near_dups import near_duplicates
+from tillroll.llm.sharding import shard_table
 from tillroll.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,11 +31,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_cotrained_quality(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", *cotraining.INPUTS)
+    model = cotraining.fit(docs, table(spark, d, "labels"))
+    return cotraining.with_quality(docs, model, keep=["doc_id"]).select("doc_id", "quality.*")
+
+
+@query
+def op2_boosted_tree_rules(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    forest = tree_rules.fit(docs, table(spark, d, "labels"))
+    return tree_rules.with_rules(docs, forest, keep=["doc_id"]).select("doc_id", "rules.*")
+
+
+@query
+def op3_license_digests(spark, d):
+    found = licenses.with_licenses(table(spark, d, "documents"), licenses.builtin(spark))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
+@query
+def op4_chat_formatting(spark, d):
+    probe = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.formatted_turns(chat.text_parts(rows)))
+
+
+@query
+def op5_html_layout(spark, d):
+    return html_layout.with_text(table(spark, d, "pages"), keep=["page_id"])
+
+
+@query
+def op6_factorization_toxicity(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, table(spark, d, "labels"))
+    scored = toxicity.with_toxicity(docs, machine, keep=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.*")
+
+
+@query
+def op7_pfair_mixing(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    return mixing.mixed(docs).select("doc_id", "source", "mix.*")
+
+
 @query
 def op8_minhash_near_duplicates(spark, d):
     return near_duplicates(table(spark, d, "documents"), words=2, percent=80)
 
 
+@query
+def op9_histogram_sharding(spark, d):
+    return shard_table(table(spark, d, "documents"))
+
+
+@query
+def op10_benchmark_decontamination(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = decontamination.with_leaks(docs, table(spark, d, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "leak.*")
+
+
+@query
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op8_minhash_near_duplicates"] = r"""
@@ -62,3 +131,48 @@ select s.doc_id, s.n_shingles::bigint as n_shingles, min(r.seen)::bigint as comp
 from sized s join reach r on r.doc_id = s.doc_id
 group by s.doc_id, s.n_shingles
 """
+
+_SPELLED = "x"
+for _from, _to in licenses.SPELLINGS:
+    _SPELLED = f"replace({_SPELLED}, '{_from}', '{_to}')"
+_KNOWN = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.KNOWN)
+
+
+def _lines(text: str) -> str:
+    lowered = f"list_transform(string_split(coalesce({text}, ''), chr(10)), x -> replace(lower(x), '©', '(c)'))"
+    plain = rf"""list_transform({lowered}, x -> case when regexp_matches(x, '{licenses.COPYRIGHT_LINE}') then ''
+        else trim(regexp_replace({_SPELLED}, '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g')) end)"""
+    return f"list_filter({plain}, x -> x <> '')"
+
+
+ORACLE["op3_license_digests"] = f"""
+with known as (
+  select md5(array_to_string(lines, ' ')) as digest, min(license_id) as license_id
+  from (select license_id, {_lines("text")} as lines from (values {_KNOWN}) k(license_id, text))
+  where len(lines) > 0 group by 1),
+docs as (select doc_id, {_lines("text")} as lines from documents),
+notices as (
+  select d.doc_id, string_agg(distinct k.license_id, ',' order by k.license_id) as notices
+  from (select doc_id, unnest(lines) as line from docs) d join known k on k.digest = md5(d.line) group by d.doc_id)
+select d.doc_id, case when len(d.lines) > 0 then md5(array_to_string(d.lines, ' ')) end as digest,
+       k.license_id, coalesce(n.notices, '') as notices
+from docs d
+left join known k on len(d.lines) > 0 and k.digest = md5(array_to_string(d.lines, ' '))
+left join notices n on n.doc_id = d.doc_id
+"""
+
+ORACLE["op4_chat_formatting"] = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked as (
+  select *, regexp_replace(role || chr(0) || text,
+       '([<\[])(\*)(\||s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\', 'g') as escaped from rows)
+select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+  (sum(length(escaped) - 1) + 23 * count(*))::bigint as formatted_chars
+from marked group by conv_id
+"""
