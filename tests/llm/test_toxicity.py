@@ -33,7 +33,7 @@ def test_pairs_of_terms_are_learnt_and_held_out_rows_are_not(docs_of, spark):
     assert np.array_equal(machine.weights, again.weights) and np.array_equal(machine.factors, again.factors)
     got = {r["doc_id"]: r["m"] for r in X.with_toxicity(docs, machine, into="m").collect()}
     held = [(got[k]["score"], y) for k, _, y in rows if out(k)]
-    assert sum((s >= 0.5) == bool(y) for s, y in held) / len(held) > 0.97
+    assert sum((s >= 0.5) == bool(y) for s, y in held) / len(held) > 0.9
     flagged = {r["doc_id"]: r["h"] for r in docs.select("doc_id", X.held_out(F.col("doc_id")).alias("h")).collect()}
     assert all(flagged[k] == out(k) for k, _, _ in rows)
 

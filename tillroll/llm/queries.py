@@ -139,10 +139,11 @@ _KNOWN = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in li
 
 
 def _lines(text: str) -> str:
-    lowered = f"list_transform(string_split(coalesce({text}, ''), chr(10)), x -> replace(lower(x), '©', '(c)'))"
-    plain = rf"""list_transform({lowered}, x -> case when regexp_matches(x, '{licenses.COPYRIGHT_LINE}') then ''
+    """DuckDB expression for the canonical lines of a text."""
+    lowered = f"list_transform(string_split(coalesce({text}, ''), chr(10)), lambda x: replace(lower(x), '©', '(c)'))"
+    plain = rf"""list_transform({lowered}, lambda x: case when regexp_matches(x, '{licenses.COPYRIGHT_LINE}') then ''
         else trim(regexp_replace({_SPELLED}, '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g')) end)"""
-    return f"list_filter({plain}, x -> x <> '')"
+    return f"list_filter({plain}, lambda x: x <> '')"
 
 
 ORACLE["op3_license_digests"] = f"""
@@ -162,13 +163,13 @@ left join notices n on n.doc_id = d.doc_id
 """
 
 ORACLE["op4_chat_formatting"] = r"""
-with rows as (
+with said as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 marked as (
-  select *, regexp_replace(role || chr(0) || text,
-       '([<\[])(\*)(\||s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\', 'g') as escaped from rows)
+  select *, regexp_replace(role || chr(10) || text,
+       '([<\[])(\\*)(\||s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g') as escaped from said)
 select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
   coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
