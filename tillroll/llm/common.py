@@ -39,7 +39,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def _hash_words(data: bytes) -> np.ndarray:
+def _hash_words(data: bytes, prefixes: tuple[int, ...]) -> list[np.ndarray]:
     raw = np.frombuffer(data, np.uint8)
     edge = np.empty(len(raw) + 2, bool)
     edge[0] = edge[-1] = True
@@ -49,24 +49,37 @@ def _hash_words(data: bytes) -> np.ndarray:
     up, down = _powers(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    out = [mix((sums[ends] - sums[starts]) * down[starts])]
+    for size in prefixes:
+        longer = starts[ends - starts > size]
+        out.append(mix((sums[longer + size] - sums[longer]) * down[longer] + np.uint64(size)))
+    return out
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of UTF-8 ``data``, in order; the same on every machine.
-
-    A long text is taken in pieces that end between words, so memory does not follow it.
-    """
-    if len(data) <= CHUNK:
-        return _hash_words(data)
-    found, at = [], 0
+def _pieces(data: bytes):
+    """A long text in pieces that end between words, so memory does not follow its length."""
+    at = 0
     while at < len(data):
         end = at + CHUNK
         while end < len(data) and data[end] not in SPACES:
             end += 1
-        found.append(_hash_words(data[at:end]))
+        yield data[at:end]
         at = end
-    return np.concatenate(found)
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of UTF-8 ``data``, in order; the same on every machine."""
+    if len(data) <= CHUNK:
+        return _hash_words(data, ())[0]
+    return np.concatenate([_hash_words(x, ())[0] for x in _pieces(data)])
+
+
+def word_and_prefix_hashes(data: bytes, prefixes: tuple[int, ...]) -> tuple[int, np.ndarray]:
+    """The number of words, and the hashes of all words and of the longer words' first bytes."""
+    found = [_hash_words(x, prefixes) for x in _pieces(data)]
+    if not found:
+        return 0, np.zeros(0, np.uint64)
+    return sum(len(f[0]) for f in found), np.concatenate([x for f in found for x in f])
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:

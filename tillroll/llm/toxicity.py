@@ -1,16 +1,20 @@
 """Toxicity of documents by a factorization machine over hashed terms.
 
-score = sigmoid(w0 + sum of w[t] + sum over pairs of terms of <v[s], v[t]>), over the distinct terms
-of a whole text.  The pair part learns that two terms together weigh more than each alone, such
-as an insult next to the mention of a group; it costs one pass over the terms, since the sum over
-pairs is half of |sum v|^2 - sum |v|^2.
+score = sigmoid(w0 + sum of w[t] x[t] + sum over pairs of terms of <v[s], v[t]> x[s] x[t]), over the
+terms of a whole text.  The pair part learns that two terms together weigh more than each alone,
+such as an insult next to the mention of a group; it costs one pass over the terms, since the sum
+over pairs is half of |sum v x|^2 - sum |v x|^2.
+
+A term is a word or the first 4 to 7 bytes of a longer word, as insults are inflected and
+compounded.  Each has two hashed places: its share of the words (per hundred, three at most) and
+whether it occurs twice.
 
 Fitting takes a bounded sample of labelled documents, about ``SAMPLE`` of them chosen by a hash of
 doc_id (all, if there are fewer).  Most terms are noise, so the machine is fitted on terms that a lasso
 chooses, and on terms that change how those are to be read: their meetings go with errors
-beyond chance.  All other terms keep the weight 0.  Rows whose crc32(doc_id as text) mod 3 is 1 are
-never learnt from.  Every document is scored in one pass without a shuffle; the model
-sent to the tasks has 2^18 * (1 + FACTORS) numbers, about 5 MB.
+beyond chance.  All other terms keep the weight 0.  Rows whose crc32(doc_id as text) mod 3 is 1
+are never learnt from.  Every document is scored in one pass without a shuffle; the model sent to
+the tasks has 2^18 * (1 + FACTORS) numbers, about 10 MB.
 """
 
 from __future__ import annotations
@@ -22,24 +26,44 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import extend, fresh, sampled, sigmoid, word_hashes
+from tillroll.llm.common import extend, fresh, sampled, sigmoid, word_and_prefix_hashes
 
-SAMPLE = 8_000
+SAMPLE = 4_000
 LEAST_DOCS = 8
 BITS, FACTORS = 18, 4
-LASSO, MARGINAL_STEPS = 0.3, 100       # the lasso limit is LASSO / sqrt(documents)
-PARTNER_SIGMAS = 5.0
+PREFIXES = (4, 5, 6, 7)
+MOST_SHARE = 3.0
+LASSO, MARGINAL_STEPS = 0.3, 80        # the lasso limit is LASSO / sqrt(documents)
+PARTNER_SIGMAS = 8.0
 STEPS, RATE = 300, 0.3
 PENALTY, PAIR_PENALTY = 1e-4, 1e-3
 PREDICT_AT = 0.7
-# ASCII characters other than letters and digits stand between terms.
+_TWICE = np.int32(0x15A5A)             # the second place of a term differs in these bits
+# ASCII characters other than letters and digits stand between words.
 _PLAIN = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def terms(text: str | None) -> np.ndarray:
-    """Sorted distinct places of the lower-cased terms of a text; a null has none."""
-    found = word_hashes((text or "").lower().encode("utf-8", "replace").translate(_PLAIN))
-    return np.unique((found >> np.uint64(64 - BITS)).astype(np.int32))
+def terms(text: str | None, active: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct places of the terms of a text, and their values; a null has none.
+
+    ``active`` marks the places that matter; terms without one are left out early.
+    """
+    data = (text or "").lower().encode("utf-8", "replace").translate(_PLAIN)
+    words, found = word_and_prefix_hashes(data, PREFIXES)
+    places = (found >> np.uint64(64 - BITS)).astype(np.int32)
+    if active is not None:
+        places = places[active[places] | active[places ^ _TWICE]]
+    places, count = np.unique(places, return_counts=True)
+    share = np.minimum(100.0 * count / max(words, 1), MOST_SHARE)
+    twice = places[count >= 2] ^ _TWICE
+    # a place can be the first of one term and the second of another: their values add up
+    both = np.concatenate([places, twice])
+    value = np.concatenate([share, np.ones(len(twice))])
+    both, spot = np.unique(both, return_inverse=True)
+    value = np.bincount(spot, value, len(both))
+    if active is not None:
+        both, value = both[active[both]], value[active[both]]
+    return both.astype(np.int32), value.astype(np.float32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -47,100 +71,117 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+@dataclass
+class Sparse:
+    """Rows of terms as one list of places and values, with the row of each."""
+
+    rows: int
+    row: np.ndarray
+    place: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, found: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
+        row = np.repeat(np.arange(len(found), dtype=np.int32), [len(p) for p, _ in found])
+        return cls(len(found), row, np.concatenate([np.zeros(0, np.int32), *[p for p, _ in found]]),
+                   np.concatenate([np.zeros(0, np.float32), *[v for _, v in found]]).astype(np.float64))
+
+    def only(self, keep: np.ndarray) -> Sparse:
+        some = keep[self.place]
+        return Sparse(self.rows, self.row[some], self.place[some], self.value[some])
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights[self.place] * self.value, self.rows)
+
+    def back(self, errors: np.ndarray, size: int) -> np.ndarray:
+        return np.bincount(self.place, errors[self.row] * self.value, size)
+
+
 @dataclass
 class Machine:
-    """Weights of a factorization machine."""
+    """Weights of a factorization machine; ``active`` marks the places that have any."""
 
     bias: float
     weights: np.ndarray            # one per place
     factors: np.ndarray            # FACTORS per place
+    active: np.ndarray
+
+    def raw(self, x: Sparse) -> tuple[np.ndarray, np.ndarray]:
+        """Scores before the sigmoid, and the summed factors of each row."""
+        v = self.factors[x.place] * x.value[:, None]
+        sums = np.stack([np.bincount(x.row, v[:, k], x.rows) for k in range(v.shape[1])], axis=1)
+        squares = np.bincount(x.row, (v * v).sum(axis=1), x.rows)
+        return self.bias + x.times(self.weights) + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
-    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
+    def scores(self, texts: list) -> np.ndarray:
         """Probabilities of being toxic."""
-        return sigmoid(self._raw(rows)[0])
-
-    def _raw(self, rows: list[np.ndarray]):
-        """Raw scores, the summed factors per row, all terms and the row each belongs to."""
-        places = np.concatenate([np.zeros(0, np.int32), *rows])
-        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        linear = np.bincount(row, self.weights[places], len(rows))
-        v = self.factors[places]
-        sums = np.stack([np.bincount(row, v[:, k], len(rows)) for k in range(v.shape[1])], axis=1)
-        squares = np.bincount(row, (v * v).sum(axis=1), len(rows))
-        return self.bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums, places, row
-
-
-def _marginal(rows: list[np.ndarray], y: np.ndarray, start: float, size: int) -> np.ndarray:
-    """Weights of a linear logistic model under a lasso penalty, by accelerated proximal steps."""
-    places = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    count = np.bincount(places, minlength=size)
-    # a step per term by how often it occurs keeps the common words from slowing the rare ones
-    step = 1.0 / (0.25 * np.maximum(count, 1) * max(1.0, np.mean([len(r) for r in rows])) / len(y))
+        return sigmoid(self.raw(Sparse.of([terms(t, self.active) for t in texts]))[0])
+
+
+def _marginal(x: Sparse, y: np.ndarray, bias: float, size: int) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear logistic model under a lasso penalty, by accelerated proximal steps."""
+    heavy = np.bincount(x.place, x.value ** 2, size)
+    reach = np.bincount(x.row, np.ones(len(x.row)), x.rows)
+    # a step per term by how much it weighs keeps the common terms from slowing the rare ones
+    step = 4.0 * len(y) / (np.maximum(heavy, 1.0) * max(1.0, reach.mean()) ** 0.5)
     limit = LASSO / len(y) ** 0.5
-    w, ahead, bias = np.zeros(size), np.zeros(size), start
+    w, ahead = np.zeros(size), np.zeros(size)
     for k in range(MARGINAL_STEPS):
-        wrong = sigmoid(bias + np.bincount(row, ahead[places], len(rows))) - y
-        slope = np.bincount(places, wrong[row], size) / len(y)
-        moved = ahead - step * slope
-        new = np.sign(moved) * np.maximum(np.abs(moved) - step * limit, 0)
-        ahead, w = new + k / (k + 3) * (new - w), new
+        wrong = sigmoid(bias + x.times(ahead)) - y
+        moved = ahead - step * 0.25 * x.back(wrong, size) / len(y)
+        new = np.sign(moved) * np.maximum(np.abs(moved) - step * 0.25 * limit, 0)
+        ahead, w = new + 0.5 * k / (k + 3) * (new - w), new
         bias -= wrong.mean()
-    return w
+    return w, bias
 
 
-def _partners(rows: list[np.ndarray], wrong: np.ndarray, chosen: np.ndarray, size: int) -> np.ndarray:
-    """Terms whose meeting with a chosen term goes with errors that chance would not explain."""
+def _partners(x: Sparse, wrong: np.ndarray, chosen: np.ndarray, size: int) -> np.ndarray:
+    """The chosen terms, and terms whose meeting with one goes with errors beyond chance."""
     found = []
     for term in chosen:
-        both = [k for k, r in enumerate(rows) if (at := np.searchsorted(r, term)) < len(r) and r[at] == term]
-        if len(both) < LEAST_DOCS:
+        has = np.zeros(x.rows, bool)
+        has[x.row[x.place == term]] = True
+        if has.sum() < LEAST_DOCS:
             continue
-        places = np.concatenate([rows[k] for k in both])
-        off = np.repeat(wrong[both], [len(rows[k]) for k in both])
-        spread = np.bincount(places, off * off, size)
-        met = np.bincount(places, minlength=size)
+        some = has[x.row]
+        place, off = x.place[some], wrong[x.row[some]]
+        met, spread = np.bincount(place, minlength=size), np.bincount(place, off * off, size)
         # the error that all rows of the term share is the term's own
-        pull = np.bincount(places, off, size) - met * wrong[both].mean()
+        pull = np.bincount(place, off, size) - met * wrong[has].mean()
         found.append(np.flatnonzero((met >= LEAST_DOCS) & (np.abs(pull) > PARTNER_SIGMAS * np.sqrt(spread + 1e-9))))
     return np.unique(np.concatenate([chosen, *found]))
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, seed: int = 3) -> Machine:
+def train(found: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 3) -> Machine:
     """Choose terms by a lasso and by their errors in pairs, then fit the machine on them.
 
-    Without both classes only the prior is learnt.
+    Without both classes, or without a term that tells, only the prior is learnt.
     """
     size = 1 << BITS
     share = (y.sum() + 0.5) / (len(y) + 1)
-    machine = Machine(float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, FACTORS)))
+    bias = float(np.log(share / (1 - share)))
+    machine = Machine(bias, np.zeros(size), np.zeros((size, FACTORS)), np.zeros(size, bool))
     if len(set(y.tolist())) < 2:
         return machine
-    often = np.bincount(np.concatenate(rows), minlength=size) >= LEAST_DOCS
-    rows = [r[often[r]] for r in rows]
-    if not sum(map(len, rows)):
-        return machine
-    linear = _marginal(rows, y, machine.bias, size)
+    x = Sparse.of(found)
+    x = x.only(np.bincount(x.place, minlength=size) >= LEAST_DOCS)
+    linear, bias = _marginal(x, y, bias, size)
     chosen = np.flatnonzero(linear)
     if not len(chosen):
         return machine
-    wrong = sigmoid(machine.bias + np.array([linear[r].sum() for r in rows])) - y
-    chosen = _partners(rows, wrong, chosen, size)
-    keep = np.zeros(size, bool)
-    keep[chosen] = True
-    rows = [r[keep[r]] for r in rows]
-    machine.weights[chosen] = linear[chosen]
+    chosen = _partners(x, sigmoid(bias + x.times(linear)) - y, chosen, size)
+    machine.active[chosen] = True
+    x = x.only(machine.active)
+    machine.bias, machine.weights[chosen] = bias, linear[chosen]
     machine.factors[chosen] = np.random.default_rng(seed).normal(0, 0.1, (len(chosen), FACTORS))
-    places = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    spot = np.searchsorted(chosen, places)
+    spot = np.searchsorted(chosen, x.place)
     seen_w, seen_v, seen_b = np.full(len(chosen), 1e-8), np.full((len(chosen), FACTORS), 1e-8), 1e-8
     for _ in range(STEPS):
-        raw, sums, _, _ = machine._raw(rows)
+        raw, sums = machine.raw(x)
         off = (sigmoid(raw) - y) / len(y)
-        slope = np.bincount(spot, off[row], len(chosen)) + PENALTY * machine.weights[chosen]
+        slope = np.bincount(spot, off[x.row] * x.value, len(chosen)) + PENALTY * machine.weights[chosen]
         v = machine.factors[chosen]
-        pull = off[row][:, None] * (sums[row] - v[spot])
+        pull = (off[x.row] * x.value)[:, None] * (sums[x.row] - v[spot] * x.value[:, None])
         steep = np.stack([np.bincount(spot, pull[:, k], len(chosen)) for k in range(FACTORS)], axis=1)
         steep += PAIR_PENALTY * v
         seen_b, seen_w, seen_v = seen_b + off.sum() ** 2, seen_w + slope ** 2, seen_v + steep ** 2
@@ -158,12 +199,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def compute(batch: pa.RecordBatch) -> list:
-        return [[terms(t).tobytes() for t in batch.column(1).to_pylist()]]
+        found = [terms(t) for t in batch.column(1).to_pylist()]
+        return [[p.tobytes() for p, _ in found], [v.tobytes() for _, v in found]]
 
     rows = texts.join(sampled(known, "doc_id", SAMPLE), "doc_id")
-    found = extend(rows, "terms binary", compute, keep=["doc_id", "toxic"]).collect()
-    found.sort(key=lambda r: (r["doc_id"], r["terms"]))
-    return train([np.frombuffer(r["terms"], np.int32) for r in found], np.array([r["toxic"] for r in found], float))
+    got = extend(rows, "places binary, shares binary", compute, keep=["doc_id", "toxic"]).collect()
+    got.sort(key=lambda r: (r["doc_id"], r["places"]))
+    return train([(np.frombuffer(r["places"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in got],
+                 np.array([r["toxic"] for r in got], float))
 
 
 def with_toxicity(docs: DataFrame, machine: Machine, into: str = "toxicity", keep: list[str] | None = None) -> DataFrame:
@@ -180,7 +223,7 @@ def with_toxicity(docs: DataFrame, machine: Machine, into: str = "toxicity", kee
     def compute(batch: pa.RecordBatch) -> list:
         out: list[float] = []
         for at in range(0, batch.num_rows, 256):
-            out += sent.value.scores([terms(t) for t in batch.column(place).slice(at, 256).to_pylist()]).tolist()
+            out += sent.value.scores(batch.column(place).slice(at, 256).to_pylist()).tolist()
         return [[{"score": s, "predicted": int(s >= PREDICT_AT)} for s in out]]
 
     kept = docs.columns if keep is None else keep
