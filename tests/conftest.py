@@ -7,12 +7,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tillroll.session import build_session
 
     session = build_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.driver.memory": "6g",
+        "spark.driver.memory": "6g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

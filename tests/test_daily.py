@@ -1,5 +1,7 @@
 """Two daily runs over the given tables, from landed files to checked gold tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,8 +9,10 @@ from benchset import queries as B
 from benchset import tables as T
 from tillroll.__main__ import main
 from tillroll.operators.quality import verdict
+from tillroll import session
 from tillroll.plans import daily
 from tillroll.session import sizing
+from tillroll.sources import versions
 
 SF = "/root/testdata/sf0.001"
 RUN1, RUN2 = "2024-01-31 12:00:00", "2024-02-01 12:00:00"
@@ -37,7 +41,7 @@ def test_two_runs(spark, roots):
     daily.run_gold(spark, silver, gold, T.AS_OF, RUN2)
     again = spark.read.parquet(f"{gold}/fact_orders")
     assert again.agg(F.count("*"), F.sum("total_amount")).first() == (orders.count(), totals)
-    history = spark.read.parquet(f"{gold}/snapshot_customers")
+    history = daily.read_table(spark, gold, "snapshot_customers")
     assert history.count() == spark.read.parquet(f"{silver}/customers").count()
     features = spark.read.parquet(f"{gold}/customer_ml_features")
     assert features.select("snapshot_date").distinct().count() == 1
@@ -45,6 +49,90 @@ def test_two_runs(spark, roots):
     assert verdict(first).first()["checks"] == first.count()
 
 
+ORDER = {"order_id": "1", "customer_id": "c", "order_status": "delivered", "order_date": "2024-01-02 10:00:00",
+         "total_amount": 10.0, "updated_at": "2024-01-02 10:00:00"}
+
+
+def land(root, entity, date, rows):
+    folder = root / entity / f"date={date}"
+    folder.mkdir(parents=True, exist_ok=True)
+    lines = [r if isinstance(r, str) else json.dumps(r) for r in rows]
+    (folder / "part.json").write_text("\n".join(lines) + "\n")
+
+
+def orders_of(spark, silver):
+    return {(r["order_id"], str(r["updated_at"]), float(r["total_amount"]))
+            for r in spark.read.parquet(f"{silver}/orders").collect()}
+
+
+def test_days_one_by_one_equal_one_run(spark, tmp_path):
+    """Order 4: its newest version is invalid, and an older one lands after it."""
+    bronze = tmp_path / "bronze"
+    days = {
+        "2024-01-02": [ORDER, ORDER | {"order_id": "2"}, ORDER | {"order_id": "4"}, '{"order_id":"9", "total_am'],
+        "2024-01-03": [ORDER | {"order_id": "2", "total_amount": 20.0, "updated_at": "2024-01-03 10:00:00",
+                                "order_date": "2024-02-01 10:00:00"},
+                       ORDER | {"order_id": "4", "order_status": "lost", "updated_at": "2024-01-04 10:00:00"}],
+        "2024-01-04": [ORDER | {"order_id": "4", "updated_at": "2024-01-03 00:00:00"},
+                       ORDER | {"updated_at": "2024-01-01 00:00:00", "total_amount": 1.0}, ORDER | {"order_id": "3"}],
+    }
+    for date, rows in days.items():
+        land(bronze, "orders", date, rows)
+    once, daily_, again = (str(tmp_path / n) for n in ("once", "daily", "again"))
+    daily.build_silver(spark, "orders", str(bronze), once, RUN1)
+    want = orders_of(spark, once)
+    assert {k for k, *_ in want} == {"1", "2", "3"}
+    for n, date in enumerate(days):
+        counts = daily.build_silver(spark, "orders", str(bronze), daily_, f"2024-02-0{n + 1} 00:00:00", date)
+        assert counts["bad"] == (date == "2024-01-02")
+    assert orders_of(spark, daily_) == want
+    for date in ("2024-01-03", "2024-01-02", "2024-01-04", "2024-01-02"):
+        daily.build_silver(spark, "orders", str(bronze), again, RUN1, date)
+    assert orders_of(spark, again) == want
+    letters = spark.read.text(f"{again}/_dlq/orders")
+    assert letters.count() == 1                        # a date that is run again keeps each bad line once
+
+
+def test_cut_lines_of_customers_and_clicks_become_dead_letters(spark, tmp_path):
+    bronze, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    land(bronze, "customers", "2024-01-02", [{"customer_id": "a"}, '{"customer_id":"b", "ema', {"customer_id": "c", "total_orders": "x"}])
+    land(bronze, "clickstream", "2024-01-02", ['{"event_id":"e'])
+    counts = daily.build_silver(spark, "customers", str(bronze), silver, RUN1)
+    assert (counts["rows_in"], counts["rows_out"], counts["bad"]) == (3, 1, 2)
+    assert daily.build_silver(spark, "clickstream", str(bronze), silver, RUN1)["bad"] == 1
+
+
+def test_a_customer_missing_from_the_delivery_is_closed(spark, tmp_path):
+    bronze, silver, gold = tmp_path / "bronze", str(tmp_path / "silver"), str(tmp_path / "gold")
+    land(bronze, "customers", "2024-01-02", [{"customer_id": "a"}, {"customer_id": "b"}])
+    land(bronze, "customers", "2024-01-03", [{"customer_id": "a"}, {"customer_id": "c"}])
+    for date, now in (("2024-01-02", RUN1), ("2024-01-03", RUN2)):
+        daily.build_silver(spark, "customers", str(bronze), silver, now, date)
+        daily.build_customer_history(spark, silver, gold, now)
+    rows = daily.read_table(spark, gold, "snapshot_customers").collect()
+    assert {(r["customer_id"], r["_is_current"]) for r in rows} == {("a", True), ("b", False), ("c", True)}
+
+
+def test_a_failed_write_keeps_the_old_history(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.write_version(spark.range(5), path, ["id"])
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        versions.write_version(broken, path, ["id"])
+    assert versions.read_version(spark, path).count() == 5
+    for n in range(4):
+        versions.write_version(versions.read_version(spark, path).union(spark.range(1)), path, ["id"])
+    assert versions.read_version(spark, path).count() == 9
+    assert len([n for n, done in versions.versions(spark, path) if done]) == versions.KEPT
+
+
+def test_staged_tables_of_a_failed_job_stay(spark):
+    with pytest.raises(ZeroDivisionError), session.scratch_scope(spark):
+        mine = session.materialize(spark.range(3), "mine")
+        raise ZeroDivisionError
+    assert mine.count() == 3
+
+
 def test_command_line(spark, roots, capsys):
     silver, gold = roots
     code = main(["gold", "--silver", silver, "--gold", gold, "--as-of", T.AS_OF, "--now", RUN2])
@@ -53,7 +141,8 @@ def test_command_line(spark, roots, capsys):
         main(["silver", "--bronze", "b"])
 
 
-def test_sizing_grows_and_is_bounded():
+def test_sizing_grows_with_the_bytes():
     assert int(sizing(1 << 30, 8)["spark.sql.shuffle.partitions"]) == 16
     assert int(sizing(1 << 40, 1000)["spark.sql.shuffle.partitions"]) == 4096
-    assert int(sizing(100 << 40, 4000)["spark.sql.shuffle.partitions"]) == 20_000
+    assert int(sizing(100 << 40, 4000)["spark.sql.shuffle.partitions"]) == 409_600
+    assert sizing(1 << 30, 8, 64 << 20)["spark.sql.shuffle.partitions"] == "16"

@@ -11,7 +11,7 @@ import argparse
 from tillroll import vocabulary as V
 from tillroll.operators.quality import verdict
 from tillroll.plans import daily
-from tillroll.session import build_session, scratch_scope
+from tillroll.session import build_session, scratch_scope, sizing
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--silver", required=True)
     s.add_argument("--date", help="landed date, all dates when left out")
     s.add_argument("--entities", nargs="+", default=list(V.ENTITIES), choices=V.ENTITIES)
+    s.add_argument("--no-gate", action="store_true", help="run although required entities have not landed")
     g = jobs.add_parser("gold", help="silver tables to gold tables and checks")
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
@@ -29,13 +30,17 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--environment", default="dev")
     for p in (s, g):
         p.add_argument("--now", required=True, help="time stamp of the run, UTC")
+        p.add_argument("--shuffle-gb", type=int, default=50, help="what the widest shuffle of the job moves")
+        p.add_argument("--cores", type=int, default=8, help="cores of all executors")
     args = parser.parse_args(argv)
 
     spark = build_session(f"tillroll-{args.job}")
+    for name, value in sizing(args.shuffle_gb << 30, args.cores).items():
+        spark.conf.set(name, value)
     with scratch_scope(spark):
         if args.job == "silver":
             daily.run_silver(
-                spark, args.bronze, args.silver, args.now, args.date, args.entities).show()
+                spark, args.bronze, args.silver, args.now, args.date, args.entities, not args.no_gate).show()
             return 0
         results = daily.run_gold(
             spark, args.silver, args.gold, args.as_of, args.now, args.environment)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import vocabulary as V
@@ -16,15 +16,19 @@ def _present(*cols: str):
     return test
 
 
-def valid_orders(df: DataFrame) -> DataFrame:
+def is_valid_order() -> Column:
     """Known keys, date and amount, no negative amount, known status."""
-    return df.filter(
+    return (
         _present("order_id", "customer_id", "total_amount", "order_date")
         & (F.col("total_amount") >= 0)
         & F.col("order_status").isin(*V.ORDER_STATUSES)
     )
 
 
+def valid_orders(df: DataFrame) -> DataFrame:
+    return df.filter(is_valid_order())
+
+
 def valid_clickstream(df: DataFrame) -> DataFrame:
     return df.filter(
         _present("event_id", "session_id", "event_ts") & F.col("event_type").isin(*V.EVENT_TYPES)

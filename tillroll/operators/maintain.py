@@ -13,7 +13,6 @@ from tillroll.operators.dedup import top1_by
 from tillroll.session import materialize
 from tillroll.sources.writers import write_partitioned
 
-MAX_LISTED_PARTITIONS = 500
 SCD_COLUMNS = ("_valid_from", "_valid_to", "_is_current")
 
 
@@ -26,24 +25,23 @@ def merge_upsert(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
 def _partition_filter(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
     """Target rows in the touched partitions.
 
-    Partition values are table metadata, at most one row per folder.  Up to
-    MAX_LISTED_PARTITIONS of them become a literal filter, which skips the other folders
-    without listing their files; beyond that a semi join selects the rows.
+    Partition values are table metadata, at most one row per folder.  The values of each
+    partition column become a literal list, which skips the other folders without listing
+    their files, however many are touched; a semi join then selects the exact combinations.
     """
-    values = touched.take(MAX_LISTED_PARTITIONS + 1)
-    if len(values) > MAX_LISTED_PARTITIONS:
-        same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(touched[c]) for c in parts])
-        return target.join(touched, same, "left_semi")
-    tests = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v[c])) for c in parts])
-        for v in values
-    ]
-    return target.filter(reduce(lambda a, b: a | b, tests)) if tests else target.limit(0)
+    for c in parts:
+        values = [r[c] for r in touched.select(c).distinct().collect()]
+        known = [v for v in values if v is not None]
+        listed = F.col(c).isin(known) if known else F.lit(False)
+        target = target.filter(listed | F.col(c).isNull() if len(known) < len(values) else listed)
+    same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(touched[c]) for c in parts])
+    return target.join(touched, same, "left_semi")
 
 
 def merge_into_table(
     spark: SparkSession, path: str, src: DataFrame, key: str, partition_cols: Sequence[str],
     order: Sequence[Column] | None = None, follow_moves: bool = True,
+    sort_by: Sequence[str] = (), gone: str | None = None,
 ) -> int:
     """Merge ``src`` into a partitioned Parquet table, rewriting only the partitions it meets.
 
@@ -53,12 +51,17 @@ def merge_into_table(
     rewritten too, which takes a look at the key column of the whole table.  Leave that out
     with ``follow_moves=False`` where the partition is a function of the key.
 
+    ``gone`` names a boolean column of ``src``: where it is true the row takes part in the
+    choice and then leaves no row.  ``sort_by`` orders the rows of each partition.
+
     The result is staged in the shared folder first: a path is never overwritten while it
-    is being read.  Returns the number of source rows.
+    is being read.  A merge that fails half-way can be run again with the same source: it
+    finds the keys wherever they are and ends in the same table.  Returns the number of
+    source rows that are in the table afterwards.
     """
     parts = list(partition_cols)
-    staged = materialize(src, "merge-source")
-    target = spark.read.parquet(path)
+    staged = materialize(src, "merge-source").withColumn("_new", F.lit(True))
+    target = spark.read.parquet(path).withColumn("_new", F.lit(False))
     touched = staged.select(*parts)
     if follow_moves:
         touched = touched.unionByName(
@@ -68,12 +71,15 @@ def merge_into_table(
     if order is None:
         merged = merge_upsert(stored, staged, key)
     else:
-        merged = top1_by(stored.unionByName(staged.select(*stored.columns)), key, order)
+        kept = stored if gone is None else stored.withColumn(gone, F.lit(False))
+        merged = top1_by(kept.unionByName(staged.select(*kept.columns)), key, [*order, F.col("_new").desc()])
+    if gone is not None:
+        merged = merged.filter(~F.col(gone)).drop(gone)
     result = materialize(merged, "merge-result")
-    write_partitioned(result, path, parts)
-    if follow_moves:
+    write_partitioned(result.drop("_new"), path, parts, sort_by)
+    if follow_moves or gone is not None:
         _drop_partitions(spark, path, touched.exceptAll(result.select(*parts).distinct()), parts)
-    return staged.count()
+    return result.filter("_new").count()
 
 
 def _drop_partitions(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import vocabulary as V
@@ -21,8 +21,9 @@ from tillroll.operators.maintain import merge_into_table, snapshot_customers
 from tillroll.plans import features, gold, suites
 from tillroll.plans import silver as S
 from tillroll.session import materialize
-from tillroll.sources import readers
-from tillroll.sources.writers import write_clustered, write_dlq, write_partitioned
+from tillroll.sources import landing, readers
+from tillroll.sources.versions import current_path, read_version, write_version
+from tillroll.sources.writers import write_dlq, write_partitioned
 
 _READ = {
     "orders": readers.read_orders,
@@ -51,7 +52,7 @@ def _merge_rules() -> dict[str, tuple[str, list, bool]]:
     last = F.col("_processed_ts").desc()
     return {
         "orders": ("order_id", [F.col("updated_at").desc_nulls_last(), last], True),
-        "customers": ("customer_id", [F.col("registration_date").desc_nulls_last(), last], True),
+        "customers": ("customer_id", [last, F.col("registration_date").desc_nulls_last()], True),
         "clickstream": ("event_id", [F.col("_ingestion_ts").asc_nulls_last(), last], False),
         "reviews": ("review_id", [F.col("review_date").asc_nulls_last(), last], True),
     }
@@ -66,35 +67,58 @@ def build_silver(
     updated days after it was placed), so they are merged into the stored table by key.
     A stock snapshot has no key and replaces its own day.
 
-    The date is a partition filter, so other dates are not listed or read.  Whether there
-    are bad lines is observed while the table is written; only then are they read again
-    and kept as dead letters.  The observation sits before a shuffle, where a re-run task
-    counts twice, so it is used as a yes or no; the counts that are returned come from the
-    writing tasks and from a count of the landed rows, which reads no columns.
+    The date is a partition filter, so other dates are not read.  The landed text is parsed once,
+    into a staged table; the good rows, the dead letters and the number of landed rows all
+    come from there.  Returns the landed rows, the rows written and the bad rows.
     """
     raw = _READ[entity](spark, f"{bronze}/{entity}")
     if date is not None:
         raw = raw.filter(F.col("date") == day(date))
+    raw = materialize(raw, f"landed-{entity}")
+    good, bad = raw, 0
     if readers.CORRUPT in raw.columns:
-        met = Observation(f"{entity}-bad")
-        broken = F.count_if(F.col(readers.CORRUPT).isNotNull())
-        good, _ = readers.split_corrupt(raw.observe(met, broken.alias("bad")))
-    else:
-        met, good = None, raw
-    table = _BUILD[entity](good.drop("date"), now_ts)
+        good, broken = readers.split_corrupt(raw)
+        bad = write_dlq(broken, silver, entity)
     path, parts = f"{silver}/{entity}", S.PARTITIONS[entity]
     rule = _merge_rules().get(entity)
+    gone = None
+    if entity == "orders":
+        table, gone = _order_versions(spark, good.drop("date"), now_ts, silver, date), "_invalid"
+    else:
+        table = _BUILD[entity](good.drop("date"), now_ts)
     if rule is not None and has_table(spark, path):
         key, order, moves = rule
-        rows_out = merge_into_table(spark, path, table, key, parts, order, moves)
+        rows_out = merge_into_table(spark, path, table, key, parts, order, moves, gone=gone)
     else:
-        rows_out = write_partitioned(table, path, parts)
-    bad = 0
-    if met is not None and met.get["bad"]:
-        bad = write_dlq(readers.split_corrupt(raw)[1], silver, entity)
+        first = table if gone is None else table.filter(~F.col(gone)).drop(gone)
+        rows_out = write_partitioned(first, path, parts)
     return {"rows_in": raw.count(), "rows_out": rows_out, "bad": bad}
 
 
+def _order_versions(
+    spark: SparkSession, good: DataFrame, now_ts, silver: str, date: str | None
+) -> DataFrame:
+    """The newest version of each landed order with ``_invalid``, older than no void version.
+
+    An invalid newest version leaves no silver row, so its key and time are kept in ``_void``:
+    an older version that lands later must not come back.  Days can then be run one by one,
+    again, or in any order, and end in the table of one run over all of them.
+    """
+    newest = materialize(S.order_versions(good, now_ts), "order-versions")
+    void, key = f"{silver}/_void/orders", ("order_id", "updated_at")
+    landed = F.lit("all" if date is None else str(date)).alias("landed")
+    bad = newest.filter("_invalid and order_id is not null").select(*key, landed)
+    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("landed").parquet(void))
+    if not has_table(spark, void):
+        return newest
+    known = spark.read.schema("order_id string, updated_at timestamp, landed string").parquet(void)
+    last = known.groupBy("order_id").agg(F.max("updated_at").alias("_void"))
+    older = (F.col("_void") > F.col("updated_at")) | (F.col("updated_at").isNull() & F.col("_void").isNotNull())
+    kept = newest.join(last, "order_id", "left").filter(~F.coalesce(older, F.lit(False)) | F.col("_invalid"))
+    return kept.drop("_void")
+
+
 def pass_rate(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
     """One line per entity: rows in, rows out and the percentage kept."""
     lines = [(e, c["rows_in"], c["rows_out"]) for e, c in counts.items()]
@@ -103,10 +127,20 @@ def pass_rate(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFra
     return frame.withColumn("pass_pct", kept.cast("double"))
 
 
+def require_bronze(spark: SparkSession, bronze: str, date: str) -> None:
+    """Stop a run whose required entities have not landed for the date."""
+    files = landing.landed_files(spark, bronze, V.REQUIRED_ENTITIES, date)
+    if not landing.bronze_complete(landing.landing_report(files), date).first()["complete"]:
+        raise RuntimeError(f"the landed files of {date} are not complete")
+
+
 def run_silver(
     spark: SparkSession, bronze: str, silver: str, now_ts, date: str | None = None,
-    entities: Sequence[str] = V.ENTITIES,
+    entities: Sequence[str] = V.ENTITIES, gate: bool = True,
 ) -> DataFrame:
+    """Silver tables of a landed date, once its required entities are there; or of all dates."""
+    if gate and date is not None:
+        require_bronze(spark, bronze, date)
     counts = {e: build_silver(spark, e, bronze, silver, now_ts, date) for e in entities}
     return pass_rate(spark, counts)
 
@@ -117,27 +151,47 @@ FACT_PARTITIONS = ("order_year", "order_month")
 FACT_SORT = ("order_date", "customer_sk")
 
 
+# Rewritten as a whole by each run, as versions; all other tables are partitioned.
+VERSIONED = ("snapshot_customers", "dim_customers", "dim_promotions", "dim_date", "fact_reviews")
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored silver or gold table."""
+    path = f"{root}/{name}"
+    return read_version(spark, path) if name in VERSIONED else spark.read.parquet(path)
+
+
 def _tables(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{root}/{n}") for n in names]
+    return [read_table(spark, root, n) for n in names]
+
+
+def delivered_customers(customers: DataFrame) -> DataFrame:
+    """The customers of the last delivery: those that the last run has processed.
+
+    The silver table keeps every customer it has ever seen; a customer that the last delivery
+    lacks is gone.
+    """
+    last = customers.agg(F.max("_processed_ts").alias("_last"))
+    return customers.join(last, F.col("_processed_ts") == F.col("_last"), "left_semi")
 
 
 def build_customer_history(spark: SparkSession, silver: str, gold_root: str, now_ts) -> None:
-    """Merge the silver customers into the stored history."""
+    """Merge the delivered customers into the stored history, as a new version of it."""
     path = f"{gold_root}/snapshot_customers"
-    known = spark.read.parquet(path) if has_table(spark, path) else None
+    known = read_version(spark, path) if current_path(spark, path) else None
     (customers,) = _tables(spark, silver, "customers")
-    history = materialize(snapshot_customers(known, customers, now_ts), "history")
-    write_clustered(history, path, ("customer_id", "_valid_from"))
+    history = snapshot_customers(known, delivered_customers(customers), now_ts)
+    write_version(history, path, ("customer_id", "_valid_from"))
 
 
 def build_dimensions(spark: SparkSession, silver: str, gold_root: str, as_of, now_ts) -> None:
-    history = spark.read.parquet(f"{gold_root}/snapshot_customers")
-    write_clustered(gold.dim_customers(history, as_of, now_ts), f"{gold_root}/dim_customers",
-                    ("customer_id", "_valid_from"))
+    (history,) = _tables(spark, gold_root, "snapshot_customers")
+    write_version(gold.dim_customers(history, as_of, now_ts), f"{gold_root}/dim_customers",
+                  ("customer_id", "_valid_from"))
     (orders,) = _tables(spark, silver, "orders")
-    write_clustered(gold.dim_promotions(orders, now_ts), f"{gold_root}/dim_promotions",
-                    ("campaign_id",))
-    write_clustered(dim_date(spark), f"{gold_root}/dim_date", ("full_date",))
+    write_version(gold.dim_promotions(orders, now_ts), f"{gold_root}/dim_promotions",
+                  ("campaign_id",))
+    write_version(dim_date(spark), f"{gold_root}/dim_date", ("full_date",))
 
 
 def build_facts(spark: SparkSession, silver: str, gold_root: str, now_ts) -> None:
@@ -148,12 +202,13 @@ def build_facts(spark: SparkSession, silver: str, gold_root: str, now_ts) -> Non
     if has_table(spark, path):
         fresh = incremental_rows(orders, spark.read.parquet(path))
         merge_into_table(
-            spark, path, gold.fact_orders(fresh, *dims, now_ts), "order_sk", FACT_PARTITIONS)
+            spark, path, gold.fact_orders(fresh, *dims, now_ts), "order_sk", FACT_PARTITIONS,
+            sort_by=FACT_SORT)
     else:
         write_partitioned(
             gold.fact_orders(orders, *dims, now_ts), path, FACT_PARTITIONS, FACT_SORT)
-    write_clustered(gold.fact_reviews(S.silver_reviews(reviews)), f"{gold_root}/fact_reviews",
-                    ("product_sku", "review_id"))
+    write_version(gold.fact_reviews(S.silver_reviews(reviews)), f"{gold_root}/fact_reviews",
+                  ("product_sku", "review_id"))
 
 
 def build_features(
@@ -166,10 +221,10 @@ def build_features(
     write_partitioned(table, f"{gold_root}/customer_ml_features", ("snapshot_date",))
 
 
-def check_tables(spark: SparkSession, silver: str, gold_root: str, now_ts) -> DataFrame:
-    """Results of all suites over the stored tables."""
-    dim = spark.read.parquet(f"{gold_root}/dim_customers")
-    wanted = [
+def _suites(spark: SparkSession, silver: str, gold_root: str, now_ts) -> list[tuple]:
+    """(root, folder, name, checks) of every checked table."""
+    (dim,) = _tables(spark, gold_root, "dim_customers")
+    return [
         (silver, "orders", "silver_orders", suites.silver_orders_suite()),
         (silver, "customers", "silver_customers", suites.silver_customers_suite()),
         (silver, "clickstream", "silver_clickstream", suites.silver_clickstream_suite()),
@@ -182,22 +237,44 @@ def check_tables(spark: SparkSession, silver: str, gold_root: str, now_ts) -> Da
          suites.customer_ml_features_suite()),
         (gold_root, "fact_reviews", "fact_reviews", suites.fact_reviews_suite()),
     ]
+
+
+def check_tables(spark: SparkSession, silver: str, gold_root: str, now_ts) -> DataFrame:
+    """Results of all suites over the stored tables."""
     results = [
-        Q.run_suite(spark.read.parquet(f"{root}/{folder}"), name, checks)
-        for root, folder, name, checks in wanted
+        Q.run_suite(read_table(spark, root, folder), name, checks)
+        for root, folder, name, checks in _suites(spark, silver, gold_root, now_ts)
     ]
     return reduce(DataFrame.unionByName, results)
 
 
+def store_failures(spark: SparkSession, silver: str, gold_root: str, now_ts, results: DataFrame) -> None:
+    """Keep the rows that break a check under quality_failures/checked_at=.
+
+    ``results`` has one line per check; only the checks that failed are looked at again.
+    """
+    broken = {(r["table"], r["check"], r["column"]) for r in results.filter("not passed").collect()}
+    parts = []
+    for root, folder, name, checks in _suites(spark, silver, gold_root, now_ts):
+        failed = [c for c in checks if (name, c.name, c.column) in broken]
+        parts.append(Q.failures(read_table(spark, root, folder), name, failed))
+    rows = [p for p in parts if p is not None]
+    if rows:
+        found = reduce(DataFrame.unionByName, rows).withColumn("checked_at", F.lit(str(now_ts)))
+        write_partitioned(found, f"{gold_root}/quality_failures", ("checked_at",))
+
+
 def run_gold(
     spark: SparkSession, silver: str, gold_root: str, as_of, now_ts, environment: str = "dev"
 ) -> DataFrame:
-    """History, dimensions, facts, features, checks; returns the stored check results."""
+    """History, dimensions, facts, features, checks and their failing rows; returns the stored results."""
     build_customer_history(spark, silver, gold_root, now_ts)
     build_dimensions(spark, silver, gold_root, as_of, now_ts)
     build_facts(spark, silver, gold_root, now_ts)
     build_features(spark, silver, gold_root, as_of, now_ts, environment)
     results = check_tables(spark, silver, gold_root, now_ts).withColumn("checked_at", F.lit(str(now_ts)))
     write_partitioned(results, f"{gold_root}/quality_results", ("checked_at",))
-    return spark.read.parquet(f"{gold_root}/quality_results").filter(
+    stored = spark.read.parquet(f"{gold_root}/quality_results").filter(
         F.col("checked_at") == F.lit(str(now_ts)))
+    store_failures(spark, silver, gold_root, now_ts, stored)
+    return stored

@@ -10,7 +10,7 @@ from tillroll.functions.expressions import instant, money, parse_as, parse_day,
 from tillroll.functions.keys import record_hash
 from tillroll.functions.privacy import postal_prefix
 from tillroll.operators.dedup import dedup_first, dedup_latest, top1_by
-from tillroll.operators.filters import valid_clickstream, valid_orders, valid_reviews
+from tillroll.operators.filters import is_valid_order, valid_clickstream, valid_reviews
 
 PARTITIONS = {
     "orders": ("order_year", "order_month", "order_day"),
@@ -62,8 +62,14 @@ def silver_orders(raw: DataFrame, now_ts) -> DataFrame:
 
     An order whose newest version is invalid is left out, older versions notwithstanding.
     """
-    newest = dedup_latest(raw, "order_id", "updated_at")
-    return enrich_orders(valid_orders(cast_orders(newest)), now_ts)
+    return order_versions(raw, now_ts).filter("not _invalid").drop("_invalid")
+
+
+def order_versions(raw: DataFrame, now_ts) -> DataFrame:
+    """Newest version per order, typed and enriched; ``_invalid`` marks those without a silver row."""
+    newest = cast_orders(dedup_latest(raw, "order_id", "updated_at"))
+    marked = newest.withColumn("_invalid", ~F.coalesce(is_valid_order(), F.lit(False)))
+    return enrich_orders(marked, now_ts)
 
 
 # --- customers ------------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -16,6 +15,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -34,18 +34,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def sizing(shuffled_bytes: int, executor_cores: int) -> dict[str, str]:
+def sizing(shuffled_bytes: int, executor_cores: int, task_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a job by the bytes its widest shuffle moves.
 
-    About 256 MB per reduce task, never fewer tasks than two rounds of the cores nor more
-    than 20,000 (the driver keeps one status per map and reduce task).  Adaptive execution
-    merges what turns out small and splits what turns out skewed.
+    One task per ``task_bytes``, never fewer than two rounds of the cores.  Adaptive
+    execution merges what turns out small and splits what turns out skewed.  The driver
+    keeps one status per map and reduce task: a job of hundreds of TB is run by date.
     """
-    tasks = max(2 * executor_cores, min(20_000, -(-shuffled_bytes // (256 << 20))))
+    tasks = max(2 * executor_cores, -(-shuffled_bytes // task_bytes))
     return {
         "spark.sql.shuffle.partitions": str(tasks),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.files.maxPartitionBytes": "256m" if shuffled_bytes < 1 << 40 else "512m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 
@@ -62,17 +62,16 @@ def build_session(app: str = "tillroll", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it then gets a folder of its own.
+    Without the setting a single-machine session uses a folder of its application in the
+    warehouse, and any other is refused.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="tillroll-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    home = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{home}/_scratch/{spark.sparkContext.applicationId}"
 
 
 _MADE: dict[str, list[str]] = {}     # application -> scratch paths it has handed out
@@ -87,16 +86,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Delete at the end what is staged inside; tables a job has written elsewhere stay."""
+    """Delete at the end what is staged inside; tables a job has written elsewhere stay.
+
+    When the job fails its staged tables stay as well: they may hold the only copy of
+    what a half-done write has replaced.
+    """
     made = _MADE.setdefault(spark.sparkContext.applicationId, [])
     start = len(made)
-    try:
-        yield
-    finally:
-        for path in made[start:]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        del made[start:]
+    yield
+    for path in made[start:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del made[start:]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

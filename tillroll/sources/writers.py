@@ -43,8 +43,12 @@ def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def write_dlq(bad: DataFrame, root: str, entity: str) -> int:
-    """Append bad rows as JSON under _dlq/{entity}/date=, by the date they landed on."""
+    """Keep bad rows as JSON under _dlq/{entity}/date=, by the date they landed on.
+
+    A date is replaced as a whole, so a run that is repeated keeps each bad row once.
+    """
     written = Observation("dlq")
     rows = bad.observe(written, F.count("*").alias("rows"))
-    rows.write.mode("append").partitionBy("date").json(f"{root}/_dlq/{entity}")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date").json(f"{root}/_dlq/{entity}"))
     return written.get["rows"]
