@@ -40,7 +40,7 @@ def dim(spark):
 
 def test_spread_join_equals_plain_join(skewed, dim):
     want = rows(skewed.join(dim, "customer_id", "left"))
-    got = J.spread_join(skewed, dim, "customer_id", "order_id", salts=8, min_rows=100)
+    got = J.spread_join(skewed, dim, "customer_id", "order_id", piece_rows=100)
     assert rows(got) == want
     assert got.columns == ["customer_id", "order_id", "v", "name"]
 
@@ -50,7 +50,7 @@ def test_spread_join_splits_the_hot_key(spark, skewed, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = J.spread_join(skewed, dim, "customer_id", "order_id", salts=16, min_rows=100)
+        got = J.spread_join(skewed, dim, "customer_id", "order_id", piece_rows=60)
         sizes = got.groupBy(F.spark_partition_id()).count().collect()
         assert max(r["count"] for r in sizes) < 1500
         assert "SortMergeJoin" in plan(got)
@@ -59,15 +59,19 @@ def test_spread_join_splits_the_hot_key(spark, skewed, dim):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_hot_keys_are_bounded(skewed):
-    assert [r[0] for r in J.hot_keys(skewed, "customer_id", min_rows=100).collect()] == ["hot"]
-    assert J.hot_keys(skewed, "customer_id", limit=5, min_rows=1).count() == 5
+def test_every_hot_key_gets_pieces_by_its_rows(spark, skewed):
+    assert [tuple(r) for r in J.hot_keys(skewed, "customer_id", piece_rows=100).collect()] == [("hot", 10)]
+    many = spark.range(300 * 7).select((F.col("id") % 300).alias("k"))
+    found = J.hot_keys(many, "k", piece_rows=3).collect()
+    assert len(found) == 300 and {r["_pieces"] for r in found} == {3}
+    dim = spark.range(300).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    got = J.spread_join(many.withColumn("n", F.col("k")), dim, "k", F.rand(1), piece_rows=3)
+    assert got.count() == 2100 and got.filter("k <> v or v is null").count() == 0
 
 
-def test_lookup_join_checks_the_size(skewed, dim):
+def test_lookup_join_is_one_plan(skewed, dim):
     small = J.lookup_join(skewed, dim, "customer_id", "order_id")
-    large = J.lookup_join(skewed, dim, "customer_id", "order_id", small_rows=10, min_rows=100)
-    assert "_salt" not in plan(small) and "_salt" in plan(large)
+    large = J.lookup_join(skewed, dim, "customer_id", "order_id", piece_rows=100)
     assert rows(small) == rows(large)
 
 
@@ -80,7 +84,7 @@ def test_join_versions(spark):
         [("a", "v1", "2023-06-01", "2024-02-01"), ("a", "v2", "2024-02-01", None),
          ("b", "w", "2020-01-01", "2024-01-01")], "k string, v string, f string, t string"
     ).select("k", "v", F.to_timestamp("f").alias("_valid_from"), F.to_timestamp("t").alias("_valid_to"))
-    got = J.join_versions(facts, versions, "k", "at", "id", min_rows=1).select("id", "v")
+    got = J.join_versions(facts, versions, "k", "at", "id", piece_rows=1).select("id", "v")
     assert rows(got) == [("1", "v1"), ("2", "v2"), ("3", None), ("4", None), ("5", None)]
 
 
@@ -226,16 +230,24 @@ def test_merge_keeps_the_newest_version(spark, tmp_path):
     write_partitioned(spark.createDataFrame([("a", 5, 1), ("b", 2, 1)], cols), path, ["p"])
     late = spark.createDataFrame([("a", 1, 1), ("b", 9, 1)], cols)
     newest = [F.col("v").desc()]
-    assert M.merge_into_table(spark, path, late, "k", ["p"], newest, follow_moves=False) == 2
+    assert M.merge_into_table(spark, path, late, "k", ["p"], newest, follow_moves=False) == 1
     assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 5), ("b", 9)]
 
 
-def test_merge_over_many_partitions_uses_a_semi_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(M, "MAX_LISTED_PARTITIONS", 1)
-    path, cols = str(tmp_path / "t"), "k string, v int, p int"
-    write_partitioned(spark.createDataFrame([("a", 1, 1), ("b", 2, 2), ("c", 3, 3)], cols), path, ["p"])
-    M.merge_into_table(spark, path, spark.createDataFrame([("a", 5, 1), ("b", 6, 2)], cols), "k", ["p"])
-    assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 5), ("b", 6), ("c", 3)]
+def test_many_touched_partitions_still_prune(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = spark.range(650).select(F.col("id").cast("string").alias("k"), F.col("id").cast("int").alias("v"),
+                                    (F.col("id") % 325).cast("int").alias("p"), F.lit(1).alias("q"))
+    write_partitioned(table, path, ["p", "q"])
+    touched = spark.range(300).select(F.col("id").cast("int").alias("p"), F.lit(1).alias("q"))
+    part = M._partition_filter(spark.read.parquet(path), touched, ["p", "q"])
+    assert part.count() == 600
+    assert "PartitionFilters: [p#" in plan(part)
+    src = spark.range(600).select(F.col("id").cast("string").alias("k"), F.lit(-1).alias("v"),
+                                  (F.col("id") % 325).cast("int").alias("p"), F.lit(1).alias("q"))
+    assert M.merge_into_table(spark, path, src, "k", ["p", "q"]) == 600
+    got = spark.read.parquet(path)
+    assert got.count() == 650 and got.filter("v = -1").count() == 600
 
 
 def test_quality(spark):
@@ -257,6 +269,8 @@ def test_quality(spark):
         ("small", "n", 2): False, ("unique_combo", "k,s", 0): True, ("one_current", "k", 2): False,
     }
     assert Q.failing_rows(df, checks[5]).count() == 1
+    told = Q.failures(df, "t", checks).groupBy("check", "column").count().collect()
+    assert {(r["check"], r["column"], r["count"]) for r in told} == {k for k in got if k[2] and k[0] != "row_count"}
     warned = Q.run_suite(df, "t", [Q.in_set("s", ["x", "y"], Q.WARN), Q.unique("n")])
     assert tuple(Q.verdict(warned).first()) == (2, 1, True)
     assert not Q.verdict(Q.run_suite(df, "t", checks)).first().passed

@@ -26,6 +26,37 @@ def tally(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     )
 
 
+TOTAL = ""      # attr of the lines of a profile that carry its metrics
+
+
+def profile(df: DataFrame, key: str, habits: Sequence[str], metrics: dict) -> DataFrame:
+    """A tally of ``habits`` and the metrics per key, from one scan and without an Expand.
+
+    ``metrics`` maps a name to (value, how), how being ``F.sum``, ``F.min`` or ``F.max``.  Rows are first
+    counted by key and all habits, which combines on the map side; only the counted rows
+    are unpivoted.  Lines with attr ``TOTAL`` carry the metrics and the number of rows,
+    to be read by ``metric``; the others are those of ``tally``.
+    """
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key, *habits).agg(
+        F.count("*").alias("n"), *[how(value).alias(m) for m, (value, how) in metrics.items()])
+    kinds = {m: counted.schema[m].dataType for m in metrics}
+
+    def line(attr: str, value: Column, whole: bool) -> Column:
+        rest = [(F.col(m) if whole else F.lit(None).cast(kinds[m])).alias(m) for m in metrics]
+        return F.struct(F.lit(attr).alias("attr"), value.cast("string").alias("value"), "n", *rest)
+
+    lines = [line(c, F.col(c), False) for c in habits] + [line(TOTAL, F.lit(None), True)]
+    told = counted.select(key, F.inline(F.array(*lines)))
+    told = told.filter((F.col("attr") == TOTAL) | F.col("value").isNotNull())
+    return told.groupBy(key, "attr", "value").agg(
+        F.sum("n").alias("n"), *[how(m).cast(kinds[m]).alias(m) for m, (_, how) in metrics.items()])
+
+
+def metric(name: str) -> Column:
+    """Over a profile: a metric of the key, or ``n``, its number of rows."""
+    return F.max(F.when(F.col("attr") == TOTAL, F.col(name)))
+
+
 def most_frequent(attr: str) -> Column:
     """Over a tally: the value with the highest count, lowest value on ties."""
     ranked = F.when(F.col("attr") == attr, F.struct((-F.col("n")).alias("order"), F.col("value")))

@@ -5,25 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 200_000   # a lookup side up to this many rows is sent to every executor
-HOT_KEYS = 256         # how many of the most frequent keys may be spread
-HOT_ROWS = 1_000_000   # a key below this many rows is never worth spreading
-SALTS = 64             # pieces a hot key is split into
+PIECE_ROWS = 1_000_000   # rows of one key that one task should join
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys with at least ``min_rows`` rows; never more than ``limit`` of them.
+def hot_keys(df: DataFrame, key: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """(key, _pieces) of every key with more than ``piece_rows`` rows, NULL among them.
 
-    A key that holds more than 1/limit of the rows is always among them.  Counting
-    combines on the map side, so finding a hot key is not itself skewed.
+    ``_pieces`` is the number of tasks its rows need.  There are fewer such keys than rows /
+    piece_rows, which bounds the list whatever the keys.  Counting combines on the map
+    side, so finding a hot key is not itself skewed.
     """
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    return (
-        counted.filter(F.col("_rows") >= min_rows)
-        .orderBy(F.col("_rows").desc(), key)
-        .limit(limit)
-        .select(key)
-    )
+    counted = df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > piece_rows)
+    return counted.select(key, F.ceil(F.col("_rows") / piece_rows).cast("int").alias("_pieces"))
 
 
 def spread_join(
@@ -33,40 +26,39 @@ def spread_join(
     spread_by: Column | str,
     how: str = "left",
     extra: Column | None = None,
-    salts: int = SALTS,
-    min_rows: int = HOT_ROWS,
+    piece_rows: int = PIECE_ROWS,
     profile: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join on ``key`` in which hot left keys are split over ``salts`` pieces.
-
-    The salt is a hash of ``spread_by`` (a column of the left row), so a re-run task
-    sends each row to the same piece.  Right rows of a hot key are copied once per
-    piece; all other right rows are sent once.  NULL keys match nothing and are spread
-    as well.  The list of hot keys is bounded by HOT_KEYS, which is why it may be
-    broadcast.  ``extra`` is a further join condition over both sides.  ``profile`` may
-    name a cheaper frame with the same keys to count instead of ``left`` (its base table).
+    """Join on ``key`` in which the left rows of a hot key are split into pieces.
+
+    A key gets as many pieces as it has times ``piece_rows``.  The piece is a hash of
+    ``spread_by`` (a column of the left row), so a re-run task sends each row to the same
+    one.  Right rows of a hot key are copied once per piece; all other right rows are sent
+    once.  NULL keys match nothing and are spread as well.  The list of hot keys is sent
+    to all tasks: it is shorter than rows / piece_rows, about 2 MB for 100 billion rows.
+    How the sides then meet is left to adaptive execution, which knows their bytes.
+    ``extra`` is a further join condition over both sides.  ``profile`` may name a cheaper
+    frame with the same keys to count instead of ``left`` (its base table).
     """
-    counted = left if profile is None else profile
-    hot = hot_keys(counted, key, min_rows=min_rows).withColumn("_hot", F.lit(True))
-    piece = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    hot = hot_keys(left if profile is None else profile, key, piece_rows)
+    hot = hot.withColumnRenamed(key, "_hot_key")
+    pieces = F.coalesce("_pieces", F.lit(1))
     spread = (
-        left.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), piece).otherwise(0))
-        .drop("_hot")
-    )
-    pieces = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
+        .drop("_hot_key", "_pieces")
     )
     copied = (
         right.withColumnRenamed(key, "_right_key")
-        .join(F.broadcast(hot.withColumnRenamed(key, "_right_key")), "_right_key", "left")
-        .withColumn("_right_salt", F.explode(pieces))
-        .drop("_hot")
+        .join(F.broadcast(hot), F.col("_right_key") == F.col("_hot_key"), "left")
+        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        .drop("_hot_key", "_pieces")
     )
     condition = (F.col(key) == F.col("_right_key")) & (F.col("_salt") == F.col("_right_salt"))
     if extra is not None:
         condition = condition & extra
-    return spread.join(copied, condition, how).drop("_salt", "_right_salt", "_right_key")
+    met = spread.join(copied, condition, how).drop("_salt", "_right_salt", "_right_key")
+    return met.select(key, *[c for c in met.columns if c != key])
 
 
 def lookup_join(
@@ -74,18 +66,14 @@ def lookup_join(
     right: DataFrame,
     key: str,
     spread_by: Column | str,
-    small_rows: int = SMALL_ROWS,
-    min_rows: int = HOT_ROWS,
+    piece_rows: int = PIECE_ROWS,
     profile: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a lookup table that has one row per key.
+    """Left join to a lookup table that has one row per key, with hot left keys spread.
 
-    The lookup side is counted first.  Up to ``small_rows`` rows it is broadcast and the
-    left side is not moved at all; beyond that the join is a shuffle with hot keys spread.
+    One plan at every size: adaptive execution broadcasts a lookup side of few bytes.
     """
-    if right.count() <= small_rows:
-        return left.join(F.broadcast(right), key, "left")
-    return spread_join(left, right, key, spread_by, min_rows=min_rows, profile=profile)
+    return spread_join(left, right, key, spread_by, piece_rows=piece_rows, profile=profile)
 
 
 def explode_items(orders: DataFrame, items: str = "items") -> DataFrame:
@@ -128,7 +116,7 @@ def fk_integrity(
 
 def join_versions(
     facts: DataFrame, versions: DataFrame, key: str, ts: str, spread_by: Column | str,
-    min_rows: int = HOT_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Left join to the version that was valid at ``ts`` (from inclusive, to exclusive).
 
@@ -137,4 +125,4 @@ def join_versions(
     """
     at = F.col(ts)
     valid = (F.col("_valid_from") <= at) & (F.col("_valid_to").isNull() | (at < F.col("_valid_to")))
-    return spread_join(facts, versions, key, spread_by, extra=valid, min_rows=min_rows)
+    return spread_join(facts, versions, key, spread_by, extra=valid, piece_rows=piece_rows)

@@ -145,8 +145,28 @@ def run_suite(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
-    """The rows that break a row check, for storing beside the results."""
-    return df.filter(check.failing)
+    """The rows that break a check, for storing beside the results; a row count has none."""
+    if check.unique:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.unique])
+        wanted = df.filter(present if check.only is None else present & check.only)
+        repeated = wanted.groupBy(*check.unique).agg(F.count("*").alias("_rows")).filter("_rows > 1")
+        return wanted.join(repeated, list(check.unique), "left_semi").select(*df.columns)
+    if check.parent is not None:
+        known = check.parent.select(F.col(check.field).alias("_known"))
+        return df.filter(F.col(check.column).isNotNull()).join(
+            known, F.col(check.column) == F.col("_known"), "left_anti")
+    return df.filter(F.lit(False) if check.failing is None else check.failing)
+
+
+def failures(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame | None:
+    """(table, check, column, row) of every row that breaks one of ``checks``, as JSON text."""
+    parts = [
+        failing_rows(df, c).select(
+            F.lit(table).alias("table"), F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
+            F.to_json(F.struct(*df.columns)).alias("row"))
+        for c in checks
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def verdict(results: DataFrame) -> DataFrame:

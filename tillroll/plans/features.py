@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import retail as R
-from tillroll.functions.expressions import count_if, day, instant, mean, ratio
-from tillroll.operators.aggregates import distinct_values, most_frequent, tally
+from tillroll.functions.expressions import day, instant, ratio
+from tillroll.operators.aggregates import distinct_values, metric, most_frequent, profile, tally
 from tillroll.operators.filters import current_rows
 
 KEY = "customer_id"
@@ -58,23 +58,26 @@ def order_features(fact: DataFrame, as_of, one_row_per_order: bool = False) -> D
     Time windows and recency take in every status; revenue counts completed orders.
     """
     parts = _order_parts(as_of)
+    habits = ("payment_method", "shipping_method", "utm_source", "order_status")
     rows = fact.filter(F.col(KEY).isNotNull())
+    found = {
+        "preferred_payment": most_frequent("payment_method"),
+        "preferred_shipping": most_frequent("shipping_method"),
+        "primary_acquisition_channel": most_frequent("utm_source"),
+        "distinct_statuses": distinct_values("order_status"),
+    }
+    again = {"first_at": F.min, "last_at": F.max}
     if one_row_per_order:
-        per_order = rows.select(KEY, *[value.alias(n) for n, (value, _) in parts.items()])
+        metrics = {n: (value, again.get(n, F.sum)) for n, (value, _) in parts.items()}
+        both = profile(rows, KEY, habits, metrics).groupBy(KEY).agg(
+            *[metric(n).alias(n) for n in parts], *[c.alias(n) for n, c in found.items()])
     else:
         per_order = rows.groupBy(KEY, "order_id").agg(
             *[how(value).alias(n) for n, (value, how) in parts.items()])
-    again = {"first_at": F.min, "last_at": F.max}
-    totals = per_order.groupBy(KEY).agg(*[again.get(n, F.sum)(n).alias(n) for n in parts])
-    habits = tally(
-        rows, KEY, ("payment_method", "shipping_method", "utm_source", "order_status")
-    ).groupBy(KEY).agg(
-        most_frequent("payment_method").alias("preferred_payment"),
-        most_frequent("shipping_method").alias("preferred_shipping"),
-        most_frequent("utm_source").alias("primary_acquisition_channel"),
-        distinct_values("order_status").alias("distinct_statuses"),
-    )
-    return totals.join(habits, KEY, "left").select(
+        totals = per_order.groupBy(KEY).agg(*[again.get(n, F.sum)(n).alias(n) for n in parts])
+        both = totals.join(tally(rows, KEY, habits).groupBy(KEY).agg(
+            *[c.alias(n) for n, c in found.items()]), KEY, "left")
+    return both.select(
         KEY,
         F.col("n_orders").alias("total_orders"),
         F.col("n_completed").alias("completed_orders"),
@@ -100,27 +103,25 @@ def order_features(fact: DataFrame, as_of, one_row_per_order: bool = False) -> D
 def browse_features(clicks: DataFrame, as_of) -> DataFrame:
     """One row per known customer over the click events; anonymous events are left out first."""
     kind = F.col("event_type")
-    known = clicks.filter(F.col(KEY).isNotNull())
-    totals = known.groupBy(KEY).agg(
-        F.count("*").alias("total_events"),
-        count_if(kind == "product_view").alias("product_views"),
-        count_if(kind == "add_to_cart").alias("cart_adds"),
-        count_if(kind == "search").alias("searches"),
-        count_if(kind == "checkout_start").alias("checkout_starts"),
-        mean("time_on_page_sec").alias("avg_time_on_page_sec"),
-        mean("scroll_depth_pct").alias("avg_scroll_depth_pct"),
-        F.max("event_ts").alias("last_active_ts"),
-    )
-    seen = known.withColumn("active_day", F.col("event_ts").cast("date"))
-    habits = tally(seen, KEY, ("session_id", "active_day", "device_type", "browser", "os"))
-    habits = habits.groupBy(KEY).agg(
+    known = clicks.filter(F.col(KEY).isNotNull()).withColumn("active_day", F.col("event_ts").cast("date"))
+    kinds = {"product_views": "product_view", "cart_adds": "add_to_cart", "searches": "search",
+             "checkout_starts": "checkout_start"}
+    metrics = {n: (_flag(kind == k), F.sum) for n, k in kinds.items()}
+    for c in ("time_on_page_sec", "scroll_depth_pct"):
+        metrics |= {f"{c}_sum": (F.col(c), F.sum), f"{c}_rows": (_flag(F.col(c).isNotNull()), F.sum)}
+    metrics["last_active_ts"] = (F.col("event_ts"), F.max)
+    habits = ("session_id", "active_day", "device_type", "browser", "os")
+    both = profile(known, KEY, habits, metrics).groupBy(KEY).agg(
+        metric("n").alias("total_events"), *[metric(n).alias(n) for n in kinds],
+        *[ratio(metric(f"{c}_sum"), metric(f"{c}_rows")).alias(f"avg_{c}")
+          for c in ("time_on_page_sec", "scroll_depth_pct")],
+        metric("last_active_ts").alias("last_active_ts"),
         distinct_values("session_id").alias("total_sessions"),
         distinct_values("active_day").alias("active_days"),
         most_frequent("device_type").alias("primary_device"),
         most_frequent("browser").alias("primary_browser"),
         most_frequent("os").alias("primary_os"),
     )
-    both = totals.join(habits, KEY, "left")
     return both.select(
         KEY,
         F.coalesce("total_sessions", F.lit(0)).alias("total_sessions"),

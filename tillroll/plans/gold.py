@@ -11,7 +11,7 @@ from tillroll.functions.expressions import instant
 from tillroll.functions.keys import surrogate_key
 from tillroll.operators.aggregates import mode_tuple_by
 from tillroll.operators.filters import current_rows
-from tillroll.operators.joins import HOT_ROWS, SMALL_ROWS, join_versions, lookup_join
+from tillroll.operators.joins import PIECE_ROWS, join_versions, lookup_join
 
 _CUSTOMER_ATTRS = ("loyalty_tier", "segment", "age_bracket", "country", "preferred_device")
 
@@ -92,7 +92,7 @@ def order_measures(orders: DataFrame) -> DataFrame:
 
 
 def join_customers(
-    orders: DataFrame, dim: DataFrame, small_rows: int = SMALL_ROWS, min_rows: int = HOT_ROWS,
+    orders: DataFrame, dim: DataFrame, piece_rows: int = PIECE_ROWS,
     profile: DataFrame | None = None,
 ) -> DataFrame:
     """Attributes of the current customer row; unknown customers get the unknown member."""
@@ -100,17 +100,17 @@ def join_customers(
         "customer_id", "customer_sk", *[F.col(c).alias(f"customer_{c}") for c in _CUSTOMER_ATTRS]
     )
     joined = lookup_join(
-        orders, side, "customer_id", "order_id", small_rows, min_rows, profile)
+        orders, side, "customer_id", "order_id", piece_rows, profile)
     return _fill_customer(joined)
 
 
-def join_customers_asof(orders: DataFrame, dim: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def join_customers_asof(orders: DataFrame, dim: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Attributes of the customer row that was valid when the order was placed."""
     side = dim.select(
         "customer_id", "customer_sk", "_valid_from", "_valid_to",
         *[F.col(c).alias(f"customer_{c}") for c in _CUSTOMER_ATTRS],
     )
-    joined = join_versions(orders, side, "customer_id", "order_date", "order_id", min_rows)
+    joined = join_versions(orders, side, "customer_id", "order_date", "order_id", piece_rows)
     return _fill_customer(joined.drop("_valid_from", "_valid_to"))
 
 
@@ -124,24 +124,23 @@ def _fill_customer(joined: DataFrame) -> DataFrame:
 def join_dates(orders: DataFrame, dates: DataFrame) -> DataFrame:
     """Date keys of the order day and of the real delivery day.
 
-    The calendar has one row per day of a fixed range, a few thousand rows at any data
-    size, so both sides are broadcast.
+    The calendar has one row per day of a fixed range; adaptive execution sees that it is small.
     """
     placed = dates.select(
         F.col("full_date").alias("order_date_day"), F.col("date_sk").alias("order_date_sk"))
     arrived = dates.select(
         F.col("full_date").alias("actual_delivery_date"), F.col("date_sk").alias("delivery_date_sk"))
-    return orders.join(F.broadcast(placed), "order_date_day", "left").join(
-        F.broadcast(arrived), "actual_delivery_date", "left")
+    return orders.join(placed, "order_date_day", "left").join(
+        arrived, "actual_delivery_date", "left")
 
 
 def join_promotions(
-    orders: DataFrame, promos: DataFrame, small_rows: int = SMALL_ROWS, min_rows: int = HOT_ROWS,
+    orders: DataFrame, promos: DataFrame, piece_rows: int = PIECE_ROWS,
     profile: DataFrame | None = None,
 ) -> DataFrame:
     side = promos.select(F.col("campaign_id").alias("utm_campaign"), "campaign_type", "channel")
     joined = lookup_join(
-        orders, side, "utm_campaign", "order_id", small_rows, min_rows, profile)
+        orders, side, "utm_campaign", "order_id", piece_rows, profile)
     return joined.withColumns({
         c: F.coalesce(c, F.lit(V.UNKNOWN)) for c in ("campaign_type", "channel")
     })
@@ -165,7 +164,7 @@ FACT_ORDERS = """
 
 def fact_orders(
     orders: DataFrame, customers: DataFrame, dates: DataFrame, promos: DataFrame, now_ts,
-    small_rows: int = SMALL_ROWS, min_rows: int = HOT_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """One row per order with its customer, date and campaign keys.
 
@@ -173,9 +172,9 @@ def fact_orders(
     one column, not in the joined rows.
     """
     measured = order_measures(orders).drop("items")
-    known = join_customers(measured, customers, small_rows, min_rows, profile=orders)
+    known = join_customers(measured, customers, piece_rows, profile=orders)
     dated = join_dates(known, dates)
-    full = join_promotions(dated, promos, small_rows, min_rows, profile=orders)
+    full = join_promotions(dated, promos, piece_rows, profile=orders)
     return full.withColumn("_dbt_updated_at", instant(now_ts)).select(*FACT_ORDERS)
 
 
