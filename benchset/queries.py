@@ -101,9 +101,8 @@ def readers_columns(ddl: str) -> list[str]:
 
 
 def _stored(spark, d, name, build):
-    """A frame kept as a table, in as many files as the cluster has cores."""
-    cores = spark.sparkContext.defaultParallelism
-    path = _staged(spark, d, name, lambda p: build().repartition(cores).write.parquet(p))
+    """A frame kept as a table, in files of even size."""
+    path = _staged(spark, d, name, lambda p: build().hint("rebalance").write.parquet(p))
     return spark.read.parquet(path)
 
 
@@ -172,21 +171,26 @@ def _features(spark, d):
         T.AS_OF, T.NOW, one_row_per_order=True)
 
 
-# name -> (how it is built, what it is clustered by)
+# name -> (how it is built, its partition columns, what it is sorted by)
 _GOLD = {
-    "dim_customers": (_dim, ("customer_id", "_valid_from")),
-    "dim_promotions": (_promos, ("campaign_id",)),
-    "fact_orders": (_fact, ("order_date_day", "customer_id")),
-    "customer_ml_features": (_features, ("snapshot_date", "customer_id")),
+    "dim_customers": (_dim, (), ("customer_id", "_valid_from")),
+    "dim_promotions": (_promos, (), ("campaign_id",)),
+    "fact_orders": (_fact, daily.FACT_PARTITIONS, daily.FACT_SORT),
+    "customer_ml_features": (_features, ("snapshot_date",), ()),
 }
 
 
 def _gold(spark, d, name):
-    """A gold table as the daily run leaves it: built and stored once, then read."""
-    build, by = _GOLD[name]
-    path = _staged(
-        spark, d, name, lambda p: writers.write_clustered(build(spark, d), p, by))
-    return spark.read.parquet(path)
+    """A gold table in the layout of the daily run: built and stored once, then read."""
+    build, parts, by = _GOLD[name]
+
+    def write(path: str) -> None:
+        if parts:
+            writers.write_partitioned(build(spark, d), path, parts, by)
+        else:
+            writers.write_clustered(build(spark, d), path, by)
+
+    return spark.read.parquet(_staged(spark, d, name, write))
 
 
 def _order_browse(spark, d):
@@ -211,13 +215,13 @@ def read_orders_json(spark, d):
 @query
 def read_customers_json(spark, d):
     raw = readers.read_customers(spark, _bronze(spark, d, "customers") + "/customers")
-    return raw.drop("date")
+    return readers.split_corrupt(raw)[0].drop("date")
 
 
 @query
 def read_clickstream_json(spark, d):
     raw = readers.read_clickstream(spark, _bronze(spark, d, "clickstream") + "/clickstream")
-    return raw.select(
+    return readers.split_corrupt(raw)[0].select(
         "event_id", "session_id", "customer_id", "event_type", "event_ts", "product_sku",
         "device_type", "viewport_width", "scroll_depth_pct", "time_on_page_sec",
         F.col("date").alias("landed_date"))
@@ -279,39 +283,35 @@ def pass_rate(spark, d):
     return daily.pass_rate(spark, counts)
 
 
-def _landed(spark, d):
-    files = [landing.landed_files(spark, _bronze(spark, d, e)) for e in V.ENTITIES]
+def _landed(spark, d, entities=V.ENTITIES, expected=()):
+    files = [landing.landed_files(spark, _bronze(spark, d, e), [e]) for e in entities]
     whole = files[0]
     for more in files[1:]:
         whole = whole.unionByName(more)
-    return landing.landing_report(whole)
+    return landing.landing_report(whole, expected)
 
 
 @query
 def landing_report(spark, d):
-    files = [landing.landed_files(spark, _bronze(spark, d, e)) for e in V.REQUIRED_ENTITIES]
-    return landing.landing_report(files[0].unionByName(files[1]), V.ENTITIES)
+    """Every landed entity and date, and an empty line for an entity that never landed."""
+    report = _landed(spark, d, expected=(*V.ENTITIES, "returns"))
+    return report.select("entity", "date", "has_data")
 
 
 @query
 def date_partitions(spark, d):
-    return landing.date_partitions(_landed(spark, d), "clickstream")
+    return landing.date_partitions(_landed(spark, d, ["clickstream"]), "clickstream")
 
 
 @query
 def latest_partition(spark, d):
-    return landing.latest_partition(_landed(spark, d), "clickstream")
+    return landing.latest_partition(_landed(spark, d, ["clickstream"]), "clickstream")
 
 
 @query
 def bronze_complete(spark, d):
     """For every landed date: are the required entities there?"""
-    report = _landed(spark, d)
-    done = [
-        landing.bronze_complete(report, date).withColumn("date", X.day(date))
-        for date in ("2024-01-15", T.AS_OF)
-    ]
-    return done[0].unionByName(done[1])
+    return landing.complete_dates(_landed(spark, d))
 
 
 # --- projections, casts, derived columns ----------------------------------------
@@ -603,10 +603,10 @@ def fact_orders(spark, d):
 
 @query
 def fact_orders_spread(spark, d):
-    """The lookups as shuffle joins with hot keys split, whatever the size of the lookup side."""
+    """The lookups with every key of more than 20 rows split into pieces."""
     o = _measures(spark, d)
-    known = gold.join_customers(o, _gold(spark, d, "dim_customers"), small_rows=0, min_rows=1, profile=o)
-    full = gold.join_promotions(known, _gold(spark, d, "dim_promotions"), small_rows=0, min_rows=1, profile=o)
+    known = gold.join_customers(o, _gold(spark, d, "dim_customers"), piece_rows=20, profile=o)
+    full = gold.join_promotions(known, _gold(spark, d, "dim_promotions"), piece_rows=1000, profile=o)
     return full.select("order_id", "customer_id", "customer_sk", "customer_segment", "utm_campaign",
                        "campaign_type", "channel")
 
@@ -619,7 +619,7 @@ def join_dates(spark, d):
 
 @query
 def fact_customer_asof(spark, d):
-    return gold.join_customers_asof(_measures(spark, d), _gold(spark, d, "dim_customers")).select(
+    return gold.join_customers_asof(_measures(spark, d), _gold(spark, d, "dim_customers"), piece_rows=20).select(
         "order_id", "customer_id", "order_date", "customer_sk", "customer_loyalty_tier")
 
 
@@ -694,7 +694,7 @@ def click_modes(spark, d):
 
 @query
 def daily_revenue(spark, d):
-    return kpis.daily_revenue(_gold(spark, d, "fact_orders"), T.START, T.END)
+    return kpis.daily_revenue(_gold(spark, d, "fact_orders"), T.START, T.END, one_row_per_order=True)
 
 
 @query
@@ -1023,7 +1023,7 @@ def stream_land(spark, d):
     """Landed lines per topic and event date, read back."""
     out, mark = scratch_path(spark, "landed"), scratch_path(spark, "mark")
     _finish(L.land_stream(
-        _read_messages(spark, d), out, mark, _NOW_ONLY, X.instant(_CONSUMED), files_per_date=1))
+        _read_messages(spark, d), out, mark, _NOW_ONLY, X.instant(_CONSUMED)))
     lines = spark.read.schema("value string, topic string, date string").text(out)
     return lines.groupBy("topic", F.col("date").cast("date").alias("date")).agg(
         F.count("*").alias("lines"),
@@ -1058,7 +1058,7 @@ def stream_event_date(spark, d):
     good, _ = L.split_bad(_parsed(spark, d))
     dated = L.partition_by_event_date(good, "order_date")
     out, mark = scratch_path(spark, "dated"), scratch_path(spark, "mark")
-    _finish(L.land_table(dated, out, mark, _NOW_ONLY, ["date"], files_per_partition=1))
+    _finish(L.land_table(dated, out, mark, _NOW_ONLY, ["date"]))
     rows = spark.read.schema(dated.schema).parquet(out)
     return rows.groupBy("date", "arrival_date").agg(F.count("*").alias("rows"))
 
@@ -1080,12 +1080,10 @@ def stream_dedup(spark, d):
 
 @query
 def stream_stats(spark, d):
-    counted = L.observe_stream(_parsed(spark, d), "stats")
+    """Counted over the landed table, after more micro-batches than a query remembers."""
     out, mark = scratch_path(spark, "counted"), scratch_path(spark, "mark")
-    done = _finish(L.land_table(counted, out, mark, _NOW_ONLY))
-    totals = L.observed_totals(done, "stats")
-    return spark.createDataFrame(
-        [(totals["consumed"], totals["parse_errors"])], "consumed bigint, parse_errors bigint")
+    _finish(L.land_table(_parsed(spark, d), out, mark, _NOW_ONLY))
+    return L.stream_totals(spark.read.parquet(out))
 
 
 @query

@@ -10,7 +10,7 @@ from benchset.queries import QUERIES
 from compare import differences, duck, duck_rows, spark_rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-NO_TWIN = {"landing_report"}        # file counts and sizes depend on the writer
+NO_TWIN = set()
 SLOW = {"stream_land", "stream_event_date", "write_silver", "pass_rate"}   # thousands of date folders
 
 
@@ -56,6 +56,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "payment_method" not in text
 
 
+@pytest.mark.parametrize("name", ["daily_revenue", "revenue_summary", "channel_attribution"])
+def test_date_filters_keep_folders_closed(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "PartitionFilters: [isnotnull(order_year" in text.replace("PartitionFilters: [(", "PartitionFilters: [") \
+        or "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+    assert text.count("FileScan") == 1
+
+
+def test_features_scan_each_input_once(spark):
+    assert plan(QUERIES["browse_features"](spark, SF)).count("FileScan") == 1
+    assert plan(QUERIES["order_features"](spark, SF)).count("FileScan") == 1
+
+
 def test_top_lists_do_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["segment_customers"](spark, SF))
 

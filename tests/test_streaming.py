@@ -67,16 +67,40 @@ def test_landing_keeps_every_message_once(spark, inbox):
 
 def test_parse_split_and_counters(spark, inbox):
     stream = L.read_topics(spark, "json", ("orders",), path=str(inbox / "in"))
-    parsed = L.observe_stream(L.parse_stream(stream, "order_id string", instant(AT)), "n")
+    parsed = L.parse_stream(stream, "order_id string", instant(AT))
     query = L.land_table(parsed, str(inbox / "p"), str(inbox / "mp"), ONCE)
     query.awaitTermination()
-    assert L.observed_totals(query, "n") == {"consumed": 5, "parse_errors": 3}
+    assert tuple(L.stream_totals(spark.read.parquet(str(inbox / "p"))).first()) == (5, 3)
     good, bad = L.split_bad(spark.read.parquet(str(inbox / "p")))
     assert sorted(r.order_id or "" for r in good.collect()) == ["", "a"]
     assert sorted(r._kafka_offset for r in bad.collect()) == [2, 4, 5]
     assert set(bad.columns) == {"_error", "_raw", "_kafka_topic", "_kafka_partition", "_kafka_offset", "_consumed_at"}
 
 
+def test_totals_over_many_micro_batches_and_a_restart(spark, tmp_path):
+    for n in range(6):
+        messages(tmp_path / "in", [("orders", n, '{"order_id":"x"}' if n % 2 else "no")], f"m{n}.json")
+    for _ in range(2):
+        stream = L.read_topics(spark, "json", ("orders",), path=str(tmp_path / "in"), maxFilesPerTrigger=1)
+        parsed = L.parse_stream(stream, "order_id string", instant(AT))
+        L.land_table(parsed, str(tmp_path / "p"), str(tmp_path / "m"), ONCE).awaitTermination()
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    assert kept and tuple(L.stream_totals(spark.read.parquet(str(tmp_path / "p"))).first()) == (6, 3)
+
+
+def test_line_breaks_and_wrong_types(spark, tmp_path):
+    messages(tmp_path / "in", [("orders", 1, '{"order_id":"a",\n "note":"x\\ny",\r\n "total_amount": 1.5}\n'),
+                               ("orders", 2, '{"order_id":"b","total_amount":"abc"}'), ("orders", 3, "broken\nline")])
+    stream = L.read_topics(spark, "json", ("orders",), path=str(tmp_path / "in"))
+    L.land_stream(stream, str(tmp_path / "out"), str(tmp_path / "mark"), ONCE, instant(AT)).awaitTermination()
+    lines = {v["_kafka_offset"]: v for _, _, v in ((t, d, json.loads(v)) for t, d, v in landed(tmp_path / "out"))}
+    assert len(lines) == 3 and lines[1]["note"] == "x\ny" and lines[3]["_raw"] == "broken\nline"
+    rows = spark.read.schema(L.MESSAGE_DDL).json(str(tmp_path / "in"))
+    got = {r["_kafka_offset"]: r for r in L.parse_stream(rows, "order_id string, total_amount double", instant(AT)).collect()}
+    assert (got[1]["order_id"], got[1]["total_amount"], got[1]["_error"]) == ("a", 1.5, None)
+    assert (got[2]["order_id"], got[2]["_error"], got[2]["_raw"]) == (None, "parse_failed", '{"order_id":"b","total_amount":"abc"}')
+
+
 @pytest.fixture
 def clicks(spark, tmp_path):
     rng = random.Random(5)

@@ -20,7 +20,7 @@ MESSAGE_DDL = (
     "topic string, partition int, offset bigint, key string, value string, timestamp timestamp"
 )
 PARSE_FAILED = "parse_failed"
-FILES_PER_DATE = 4
+CORRUPT = "_misfit"          # text of a message that does not fit its layout
 
 
 def read_topics(
@@ -42,12 +42,6 @@ def read_topics(
     return reader.schema(MESSAGE_DDL).load(path).filter(F.col("topic").isin(*topics))
 
 
-def is_json_object(value: Column) -> Column:
-    """True for text that parses as JSON and is an object; false for NULL as well."""
-    parsed = F.try_parse_json(value).isNotNull() & F.ltrim(value).startswith("{")
-    return F.coalesce(parsed, F.lit(False))
-
-
 def _envelope(consumed_at: Column) -> list[Column]:
     return [
         F.col("topic").alias("_kafka_topic"),
@@ -58,17 +52,23 @@ def _envelope(consumed_at: Column) -> list[Column]:
 
 
 def parse_stream(stream: DataFrame, ddl: str, consumed_at: Column | None = None) -> DataFrame:
-    """Payload columns of ``ddl`` plus envelope; ``_error`` and ``_raw`` tell of bad messages."""
-    ok = is_json_object(F.col("value"))
-    payload = F.when(ok, F.from_json("value", ddl, {"mode": "PERMISSIVE"}))
-    return stream.select(
-        payload.alias("_payload"),
-        F.when(~ok, PARSE_FAILED).alias("_error"),
-        F.when(~ok, F.col("value")).alias("_raw"),
+    """Payload columns of ``ddl`` plus envelope; ``_error`` and ``_raw`` tell of bad messages.
+
+    Bad is what is no JSON object, and an object with a field that its layout cannot hold
+    (such as text in an amount): its columns are NULL and its text is kept.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    told = stream.select(
+        F.from_json("value", f"{ddl}, {CORRUPT} string", options).alias("_payload"), "value",
+        F.coalesce(F.ltrim("value").startswith("{"), F.lit(False)).alias("_object"),
         *_envelope(F.current_timestamp() if consumed_at is None else consumed_at),
-    ).select(
-        "_payload.*", "_error", "_raw", "_kafka_topic", "_kafka_partition", "_kafka_offset",
-        "_consumed_at",
+    )
+    ok = F.col("_object") & F.col(f"_payload.{CORRUPT}").isNull() & F.col("_payload").isNotNull()
+    columns = [n for n in told.schema["_payload"].dataType.names if n != CORRUPT]
+    return told.select(
+        *[F.when(ok, F.col(f"_payload.{c}")).alias(c) for c in columns],
+        F.when(~ok, PARSE_FAILED).alias("_error"), F.when(~ok, F.col("value")).alias("_raw"),
+        "_kafka_topic", "_kafka_partition", "_kafka_offset", "_consumed_at",
     )
 
 
@@ -80,10 +80,10 @@ def split_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~bad).drop("_error", "_raw"), letters
 
 
-def event_date(value: Column, arrived: Column) -> Column:
-    """Date of the event inside the payload, else of its arrival."""
-    at = F.coalesce(
-        F.get_json_object(value, "$.order_date"), F.get_json_object(value, "$.event_ts"))
+def event_date(parsed: Column, arrived: Column) -> Column:
+    """Date of the event inside the parsed payload, else of its arrival."""
+    at = F.coalesce(F.try_variant_get(parsed, "$.order_date", "string"),
+                    F.try_variant_get(parsed, "$.event_ts", "string"))
     return F.coalesce(at.try_cast("date"), arrived.cast("date"))
 
 
@@ -98,53 +98,65 @@ def partition_by_event_date(df: DataFrame, ts_col: str, arrived: str = "_consume
 def landed_lines(stream: DataFrame, consumed_at: Column | None = None) -> DataFrame:
     """(topic, date, value, offset): one JSON line per message with the envelope inside.
 
-    The payload text is kept as it came, so fields outside any layout survive.
+    The payload text is kept as it came, so fields outside any layout survive; only line
+    breaks, which JSON allows between its parts alone, become spaces.  Each message is
+    parsed once.
     """
     at = F.current_timestamp() if consumed_at is None else consumed_at
-    text = F.col("value")
-    ok = is_json_object(text)
+    text = F.regexp_replace("value", r"[\r\n]+", " ")
+    stream = stream.withColumn("_parsed", F.try_parse_json("value"))
+    parsed = F.col("_parsed")
+    ok = F.coalesce(parsed.isNotNull() & F.ltrim(text).startswith("{"), F.lit(False))
     meta = F.to_json(F.struct(*_envelope(at)))
     wrapped = F.to_json(F.struct(
-        F.lit(PARSE_FAILED).alias("_error"), F.coalesce(text, F.lit("")).alias("_raw"),
+        F.lit(PARSE_FAILED).alias("_error"), F.coalesce("value", F.lit("")).alias("_raw"),
         *_envelope(at)))
     open_text = F.regexp_replace(text, r"\}\s*$", "")
     comma = F.when(F.trim(open_text) == "{", "").otherwise(",")
     merged = F.concat(open_text, comma, F.substr(meta, F.lit(2)))
     return stream.select(
         F.col("topic"),
-        F.when(ok, event_date(text, at)).otherwise(at.cast("date")).alias("date"),
+        F.when(ok, event_date(parsed, at)).otherwise(at.cast("date")).alias("date"),
         F.when(ok, merged).otherwise(wrapped).alias("value"),
         F.col("offset"),
     )
 
 
-def gathered(rows: DataFrame, cols: Sequence[str], offset: str, files: int) -> DataFrame:
-    """Bring the rows of each partition value of a micro-batch into at most ``files`` tasks.
+FILE_ROWS = 1_000_000
+
 
-    Without it every task writes a file for every date it meets; with a single task per
-    date a busy date would be one task.  The offset decides the task, so a retry repeats it.
+def gathered(
+    rows: DataFrame, cols: Sequence[str], offset: str, batch_rows: int, file_rows: int = FILE_ROWS
+) -> DataFrame:
+    """Bring the rows of each partition value of a micro-batch into few tasks.
+
+    Without it every task writes a file for every date it meets; with a fixed number of
+    tasks a busy date would be in too few.  ``batch_rows`` is the most a trigger takes in
+    (``maxOffsetsPerTrigger``): a date that holds all of them is cut into pieces of about
+    ``file_rows``.  The offset decides the piece, so a retry repeats it.
     """
-    return rows.repartition(*cols, F.pmod(F.col(offset), F.lit(files)))
+    pieces = max(1, -(-batch_rows // file_rows))
+    return rows.repartition(*cols, F.pmod(F.xxhash64(offset), F.lit(pieces)))
 
 
 def land_stream(
     stream: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-    consumed_at: Column | None = None, files_per_date: int = FILES_PER_DATE,
+    consumed_at: Column | None = None, batch_rows: int = FILE_ROWS,
 ) -> StreamingQuery:
     """Write the messages as JSON lines under topic=/date=, one flush per micro-batch."""
-    lines = gathered(landed_lines(stream, consumed_at), ("topic", "date"), "offset", files_per_date)
+    lines = gathered(landed_lines(stream, consumed_at), ("topic", "date"), "offset", batch_rows)
     writer = lines.drop("offset").writeStream.format("text").partitionBy("topic", "date")
     return _start(writer, out, checkpoint, trigger)
 
 
 def land_table(
     rows: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-    partition_cols: Sequence[str] = (), files_per_partition: int = FILES_PER_DATE,
+    partition_cols: Sequence[str] = (), batch_rows: int = FILE_ROWS,
 ) -> StreamingQuery:
     """Write a typed stream as Parquet files."""
     if not partition_cols:
         return _start(rows.writeStream.format("parquet"), out, checkpoint, trigger)
-    whole = gathered(rows, partition_cols, "_kafka_offset", files_per_partition)
+    whole = gathered(rows, partition_cols, "_kafka_offset", batch_rows)
     writer = whole.writeStream.format("parquet").partitionBy(*partition_cols)
     return _start(writer, out, checkpoint, trigger)
 
@@ -155,20 +167,13 @@ def _start(writer, out: str, checkpoint: str, trigger: dict | None) -> Streaming
     return placed.outputMode("append").trigger(**when).start()
 
 
-def observe_stream(parsed: DataFrame, name: str) -> DataFrame:
-    """Count messages and parse errors per micro-batch as query metrics."""
-    return parsed.observe(
-        name, F.count("*").alias("consumed"),
+def stream_totals(landed: DataFrame) -> DataFrame:
+    """One row: messages consumed and parse errors, over all that a parsed stream has landed.
+
+    The landed table is the record: it holds each message once whatever the number of
+    micro-batches and restarts, while a query keeps only its last progress reports.
+    """
+    return landed.agg(
+        F.count("*").alias("consumed"),
         F.count_if(F.col("_error").isNotNull()).alias("parse_errors"),
     )
-
-
-def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sum of the metrics over the progress reports the query still holds."""
-    totals = {"consumed": 0, "parse_errors": 0}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        if row is not None:
-            for field in totals:
-                totals[field] += row[field]
-    return totals
