@@ -80,11 +80,16 @@ def _bronze(spark: SparkSession, sf_dir: str, entity: str) -> str:
             lines = T.raw_order_lines(spark, sf_dir).select("value", today)
             lines.write.partitionBy("date").text(out)
         elif entity == "customers":
-            T.raw_customers(spark, sf_dir).select("*", today).write.partitionBy("date").json(out)
+            raw = T.raw_customers(spark, sf_dir)
+            bad = T.bad_lines(T.raw_customers(spark, sf_dir, repeats=False), "c_custkey", "total_orders")
+            lines = raw.select(F.to_json(F.struct("*")).alias("value")).unionByName(bad.select("value"))
+            lines.select("value", today).write.partitionBy("date").text(out)
         elif entity == "clickstream":
             raw = T.raw_clicks(spark, sf_dir)
-            dated = raw.withColumn("date", F.left("event_ts", F.lit(10)))
-            dated.hint("rebalance", "date").write.partitionBy("date").json(out)
+            bad = T.bad_lines(raw, "event_key", "viewport_width")
+            lines = raw.withColumn("value", F.to_json(F.struct("*"))).unionByName(bad)
+            dated = lines.select("value", F.left("event_ts", F.lit(10)).alias("date"))
+            dated.hint("rebalance", "date").write.partitionBy("date").text(out)
         elif entity == "inventory":
             raw = T.raw_inventory(spark, sf_dir).withColumn("date", F.left("snapshot_ts", F.lit(10)))
             raw.select(*readers_columns(V.INVENTORY_DDL), "date").hint("rebalance", "date").write \
@@ -265,6 +270,45 @@ def write_dlq_orders(spark, d):
     ).groupBy("date", "order_id").agg(F.count("*").alias("letters"))
 
 
+def _letters(spark, d, entity, read, key):
+    """Dead letters per date and record, written twice as a repeated run would."""
+    raw = read(spark, f"{_bronze(spark, d, entity)}/{entity}")
+    out = scratch_path(spark, "dlq")
+    for _ in range(2):
+        writers.write_dlq(readers.split_corrupt(raw)[1], out, entity)
+    letters = (
+        spark.read.schema("_corrupt_record string, date date")
+        .option("columnNameOfCorruptRecord", "_unreadable").json(f"{out}/_dlq/{entity}")
+    )
+    record = F.regexp_extract("_corrupt_record", rf'"{key}":"([^"]+)"', 1)
+    return letters.groupBy("date", record.alias(key)).agg(F.count("*").alias("letters"))
+
+
+@query
+def dlq_customers(spark, d):
+    return _letters(spark, d, "customers", readers.read_customers, "customer_id")
+
+
+@query
+def dlq_clickstream(spark, d):
+    return _letters(spark, d, "clickstream", readers.read_clickstream, "event_id")
+
+
+@query
+def history_daily(spark, d):
+    """Two daily runs from landed customers: debtors are missing and 'vip' has moved by the second."""
+    bronze, out, gold_root = (scratch_path(spark, n) for n in ("bronze", "silver", "gold"))
+    first = T.raw_customers(spark, d, repeats=False)
+    promoted = F.when(F.col("segment") == "vip", "platinum").otherwise(F.col("loyalty_tier"))
+    second = first.filter("ltv_usd >= 0").withColumn("loyalty_tier", promoted)
+    for raw, now in ((first, HISTORY_START), (second, HISTORY_CHANGE)):
+        date = now[:10]
+        raw.write.json(f"{bronze}/customers/date={date}")
+        daily.build_silver(spark, "customers", bronze, out, now, date)
+        daily.build_customer_history(spark, out, gold_root, now)
+    return daily.read_table(spark, gold_root, "snapshot_customers").select(*_HISTORY_COLUMNS)
+
+
 @query
 def write_silver(spark, d):
     out = scratch_path(spark, "silver")
@@ -1020,15 +1064,17 @@ def _finish(query):
 
 @query
 def stream_land(spark, d):
-    """Landed lines per topic and event date, read back."""
+    """Every landed line with its place and what it says, read back."""
     out, mark = scratch_path(spark, "landed"), scratch_path(spark, "mark")
     _finish(L.land_stream(
         _read_messages(spark, d), out, mark, _NOW_ONLY, X.instant(_CONSUMED)))
     lines = spark.read.schema("value string, topic string, date string").text(out)
-    return lines.groupBy("topic", F.col("date").cast("date").alias("date")).agg(
-        F.count("*").alias("lines"),
-        F.count_if(F.get_json_object("value", "$._error") == L.PARSE_FAILED).alias("errors"),
-        F.count_distinct(F.get_json_object("value", "$._kafka_offset")).alias("offsets"))
+    said = F.from_json("value", "order_id string, event_id string, updated_at string, event_ts string, "
+                       "_error string, _raw string, _kafka_offset bigint")
+    return lines.select("topic", F.col("date").cast("date").alias("date"), said.alias("s")).select(
+        "topic", "date", F.coalesce("s.order_id", "s.event_id").alias("record"),
+        F.coalesce("s.updated_at", "s.event_ts").alias("at"), F.col("s._error").alias("error"),
+        F.col("s._kafka_offset").alias("offset"))
 
 
 def _parsed(spark, d):
@@ -1078,6 +1124,19 @@ def stream_dedup(spark, d):
     return spark.read.parquet(out)
 
 
+@query
+def stream_restart(spark, d):
+    """Half of the message files land, the query stops, the rest land, it goes on from its checkpoint."""
+    source = spark.read.parquet(_messages(spark, d)).filter("topic = 'orders'")
+    inbox, out, mark = (scratch_path(spark, n) for n in ("inbox", "parsed", "mark"))
+    for half in (0, 1):
+        source.filter(F.col("offset") % 2 == half).write.mode("append").parquet(inbox)
+        parsed = L.parse_stream(L.read_topics(spark, "parquet", ("orders",), path=inbox), V.ORDERS_DDL, X.instant(_CONSUMED))
+        _finish(L.land_table(parsed, out, mark, _NOW_ONLY))
+    return spark.read.parquet(out).groupBy("_kafka_offset").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("_error").isNotNull()).alias("errors"))
+
+
 @query
 def stream_stats(spark, d):
     """Counted over the landed table, after more micro-batches than a query remembers."""
@@ -1091,6 +1150,18 @@ def sessionize(spark, d):
     return E.sessionize(_clicks(spark, d), "customer_id", "event_ts")
 
 
+@query
+def sessionize_stream(spark, d):
+    """The sessions of ``sessionize`` from a stream; one far later event pushes the watermark past them."""
+    inbox, out, mark = (scratch_path(spark, n) for n in ("clicks", "sessions", "mark"))
+    clicks = _clicks(spark, d).select("customer_id", "event_ts").filter("customer_id is not null")
+    last = clicks.agg(F.lit("closer").alias("customer_id"), (F.max("event_ts") + F.expr("interval 30 days")).alias("event_ts"))
+    clicks.unionByName(last).write.parquet(inbox)
+    stream = spark.readStream.schema(clicks.schema).parquet(inbox)
+    _finish(L.land_table(E.sessionize_stream(stream, "customer_id", "event_ts"), out, mark, _NOW_ONLY))
+    return spark.read.parquet(out)
+
+
 def _stock_events(spark, d):
     """Every order line moves stock: sales take, returned lines bring back."""
     line = T.table(spark, d, "lineitem")
@@ -1109,3 +1180,19 @@ def _stock_events(spark, d):
 @query
 def inventory_events(spark, d):
     return E.latest_stock(_stock_events(spark, d))
+
+
+@query
+def inventory_events_stream(spark, d):
+    """The stock of ``inventory_events`` kept by a stream; each micro-batch replaces the stored table."""
+    inbox, out, mark = (scratch_path(spark, n) for n in ("stock", "latest", "mark"))
+    events = _stock_events(spark, d)
+    events.write.parquet(inbox)
+    stream = spark.readStream.schema(events.schema).parquet(inbox)
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{number}")
+
+    running = E.latest_stock(stream).writeStream.foreachBatch(store).outputMode("complete")
+    done = _finish(running.option("checkpointLocation", mark).trigger(availableNow=True).start())
+    return spark.read.parquet(f"{out}/{done.lastProgress['batchId']}")

@@ -265,6 +265,16 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     }).drop("copy")
 
 
+def bad_lines(raw: DataFrame, key: str, amount: str) -> DataFrame:
+    """JSON lines that a reader must refuse: every 53rd record cut short, every 59th wrong-typed."""
+    text = F.to_json(F.struct(*[c for c in raw.columns if c != key]))
+    told = raw.withColumn("value", text)
+    cut = told.filter(F.col(key) % 53 == 0).withColumn("value", F.expr("left(value, length(value) - 9)"))
+    odd = told.filter(F.col(key) % 59 == 0).withColumn(
+        "value", F.regexp_replace("value", f'"{amount}":-?[0-9]+', f'"{amount}":"many"'))
+    return cut.unionByName(odd)
+
+
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock rows as text; some quantities cannot be read as numbers."""
     i = inventory(spark, sf_dir)
