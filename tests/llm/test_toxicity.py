@@ -41,12 +41,26 @@ def test_pairs_of_terms_are_learnt_and_held_out_rows_are_not(docs_of, spark):
 def test_the_fast_pair_sum_equals_all_pairs():
     rng = np.random.default_rng(1)
     size = 1 << X.BITS
-    machine = X.Machine(0.3, rng.normal(0, 1, size), rng.normal(0, 0.3, (size, X.FACTORS)))
-    row = X.terms("One two, three! two FOUR")
-    raw = 0.3 + machine.weights[row].sum()
-    raw += sum(machine.factors[a] @ machine.factors[b] for k, a in enumerate(row) for b in row[k + 1:])
-    assert np.isclose(machine.scores([row])[0], 1 / (1 + np.exp(-raw)))
-    assert np.array_equal(X.terms("one TWO"), X.terms("two\none."))
+    machine = X.Machine(0.3, rng.normal(0, 1, size), rng.normal(0, 0.3, (size, X.FACTORS)), np.ones(size, bool))
+    text = "One two, three! two FOUR compounded"
+    place, value = X.terms(text)
+    raw = 0.3 + (machine.weights[place] * value).sum()
+    raw += sum(machine.factors[place[a]] @ machine.factors[place[b]] * value[a] * value[b]
+               for a in range(len(place)) for b in range(a + 1, len(place)))
+    assert np.isclose(machine.scores([text])[0], 1 / (1 + np.exp(-raw)), rtol=1e-4)
+
+
+def test_terms_are_shares_and_repeats():
+    one, two = X.terms("one TWO"), X.terms("two\none.")
+    assert all(np.array_equal(a, b) for a, b in zip(one, two))
+    place, value = X.terms("a a a b " * 50)
+    assert sorted(value.tolist()) == [1.0, 1.0, 3.0, 3.0]           # shares are cut at three per hundred
+    active = np.zeros(1 << X.BITS, bool)
+    active[place[0]] = True
+    some, shares = X.terms("a a a b " * 50, active)
+    assert some.tolist() == [place[0]] and shares.tolist() == [value[0]]
+    long, _ = X.terms("compounded")
+    assert len(long) == 1 + len(X.PREFIXES)
 
 
 def test_edge_cases(docs_of, spark):
