@@ -34,7 +34,7 @@ BITS, FACTORS = 18, 4
 PREFIXES = (4, 5, 6, 7)
 MOST_SHARE = 3.0
 LASSO, MARGINAL_STEPS = 0.3, 80        # the lasso limit is LASSO / sqrt(documents)
-PARTNER_SIGMAS = 8.0
+PARTNER_SIGMAS = 5.0
 STEPS, RATE = 300, 0.3
 PENALTY, PAIR_PENALTY = 1e-4, 1e-3
 PREDICT_AT = 0.7
@@ -136,8 +136,12 @@ def _marginal(x: Sparse, y: np.ndarray, bias: float, size: int) -> tuple[np.ndar
 
 
 def _partners(x: Sparse, wrong: np.ndarray, chosen: np.ndarray, size: int) -> np.ndarray:
-    """The chosen terms, and terms whose meeting with one goes with errors beyond chance."""
+    """The chosen terms, and terms whose meeting with one goes with errors beyond chance.
+
+    Such a meeting must also explain as much error as the lasso asks of a term of its own.
+    """
     found = []
+    least = LASSO * len(wrong) ** 0.5          # the summed error that the lasso asks of a term
     for term in chosen:
         has = np.zeros(x.rows, bool)
         has[x.row[x.place == term]] = True
@@ -148,7 +152,7 @@ def _partners(x: Sparse, wrong: np.ndarray, chosen: np.ndarray, size: int) -> np
         met, spread = np.bincount(place, minlength=size), np.bincount(place, off * off, size)
         # the error that all rows of the term share is the term's own
         pull = np.bincount(place, off, size) - met * wrong[has].mean()
-        found.append(np.flatnonzero((met >= LEAST_DOCS) & (np.abs(pull) > PARTNER_SIGMAS * np.sqrt(spread + 1e-9))))
+        found.append(np.flatnonzero((met >= LEAST_DOCS) & (np.abs(pull) > np.maximum(least, PARTNER_SIGMAS * np.sqrt(spread)))))
     return np.unique(np.concatenate([chosen, *found]))
 
 
