@@ -139,24 +139,10 @@ def profile_text() -> Column:
 
     Payment and device fall back to 'unknown'.
     """
-    text = (
-        "Customer {age_bracket} {gender} in {state}, {country}. Loyalty: {loyalty_tier}. "
-        "Segment: {segment}. Member for {customer_age_days} days. "
-        "Total orders: {total_orders}, LTV: ${ltv}, "
-        "Last purchase: {recency_days} days ago. Preferred payment: {payment}. "
-        "Preferred device: {device}."
-    )
-    slots = {
+    made = {
         "ltv": F.round(F.col("total_revenue"), 0).cast("decimal(18,0)"),
         "payment": F.coalesce(F.col("preferred_payment"), F.lit(V.UNKNOWN)),
         "device": F.coalesce(F.col("primary_device"), F.lit(V.UNKNOWN)),
     }
-    pieces = []
-    for chunk in text.split("{"):
-        name, brace, rest = chunk.partition("}")
-        if brace:
-            pieces.append(slots.get(name, F.col(name)).cast("string"))
-            pieces.append(F.lit(rest))
-        else:
-            pieces.append(F.lit(chunk))
-    return F.concat(*pieces)
+    pieces = [x for text, name in V.PROFILE for x in (F.lit(text), made.get(name, F.col(name)).cast("string"))]
+    return F.concat(*pieces, F.lit("."))

@@ -97,9 +97,7 @@ ITEM_DDL = """
 
 ORDERS_DDL = f"""
   order_id string, customer_id string, order_status string, order_date string,
-  updated_at string, items array<struct<{ITEM_DDL.replace(" string", ": string")
-                                          .replace(" int", ": int")
-                                          .replace(" double", ": double")}>>,
+  updated_at string, items array<struct<{ITEM_DDL}>>,
   subtotal double, discount_total double, shipping_fee double, tax_amount double,
   total_amount double, payment_method string, payment_status string,
   shipping_method string, shipping_address_city string, shipping_address_state string,
@@ -148,3 +146,12 @@ CLICKSTREAM_OPTIONAL = (
     "customer_id", "referrer_url", "product_sku", "product_category", "search_query",
     "scroll_depth_pct", "time_on_page_sec", "utm_source", "utm_medium",
 )
+
+# The profile sentence, as (text, column that follows it).
+PROFILE = (
+    ("Customer ", "age_bracket"), (" ", "gender"), (" in ", "state"), (", ", "country"),
+    (". Loyalty: ", "loyalty_tier"), (". Segment: ", "segment"),
+    (". Member for ", "customer_age_days"), (" days. Total orders: ", "total_orders"),
+    (", LTV: $", "ltv"), (", Last purchase: ", "recency_days"),
+    (" days ago. Preferred payment: ", "payment"), (". Preferred device: ", "device"),
+)
