@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
@@ -185,10 +185,6 @@ def _candidates_by_difference(pairs: DataFrame, texts: DataFrame, words: int, pe
     return x.join(y, same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _same(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -197,29 +193,39 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    """``edges`` lead from the larger to the smaller node."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _downward(links: DataFrame) -> DataFrame:
+    """Links (a, b) as edges from the larger to the smaller node."""
+    return links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+
+
+def _step(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """One large star and one small star, written; and a print of the edges, taken by the writing tasks."""
+    seen = Observation("edges")
+    stars = _small_star(_large_star(edges)).observe(
+        seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+    return materialize(stars, "stars"), (seen.get["n"], seen.get["x"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) for each end of ``links`` (a, b); ends may repeat.
 
-    Each step is written to the shared folder, so a lost executor repeats one step, and no
-    neighbour list is collected: a hub's group is a minimum and a join.
+    Alternates large-star and small-star until the edges stay as they are.  Each step is
+    written to the shared folder, so a lost executor repeats one step, and no neighbour list
+    is collected: a hub's group is a minimum and a join.
     """
-    edges = materialize(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        "links")
-    before = _same(edges)
-    while before[0]:
-        edges = materialize(_small_star(_large_star(edges)), "stars")
-        now = _same(edges)
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    edges, last = materialize(_downward(links), "links"), None
+    while True:
+        edges, now = _step(edges)
+        if now == last or not now[0]:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        last = now
 
 
 def near_duplicates(
@@ -234,13 +240,13 @@ def near_duplicates(
     their own texts.  Further columns are ignored.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = materialize(signatures(base, words, bands * rows), "sets")
-    known = sets.filter("n_shingles > 0 and doc_id is not null")
+    hashes = bands * rows
+    sets = materialize(signatures(base, words, hashes), "sets")
     digest = ["n_shingles", "d1", "d2"]
-    classes = materialize(known.groupBy(*digest).agg(F.min("doc_id").alias("node")), "classes")
-    reps = known.join(classes.select(F.col("node").alias("doc_id"), *digest), ["doc_id", *digest], "left_semi")
-    reps = materialize(reps.dropDuplicates(["doc_id", *digest]).select(
-        F.col("doc_id").alias("node"), "n_shingles", "sig"), "representatives")
+    # equal sets have equal signatures, so any one serves
+    reps = materialize(
+        sets.filter("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(
+            F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "representatives")
 
     cells = _buckets(reps, bands, rows)
     sizes = cells.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
@@ -249,32 +255,30 @@ def near_duplicates(
     central = shared.join(weight, "node").groupBy("bucket").agg(
         F.max(F.struct("weight", (-F.col("node")).alias("less"))).alias("best"))
     central = central.select("bucket", (-F.col("best.less")).alias("a"))
+    members = shared.select("bucket", F.col("node").alias("b")).join(central, "bucket").filter("a <> b")
+    members = materialize(members.select("a", "b").distinct(), "members")
     texts = materialize(
         base.filter("doc_id is not null").withColumnRenamed("doc_id", "node")
-        .join(weight.select("node"), "node", "left_semi"), "candidates")
-
-    members = materialize(shared.select("bucket", F.col("node").alias("b")).join(central, "bucket"), "members")
-    first = members.filter("a <> b").select("a", "b").distinct()
-    hashes = bands * rows
+        .join(shared.select("node").distinct(), "node", "left_semi"), "candidates")
     links = materialize(
-        _confirmed(_alike(first, reps, percent, hashes), texts, words, percent), "star-links")
-    group = components(links)
-
-    # Members outside the component of their bucket's central member may belong to others in the bucket.
-    own = group.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    lead = group.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    placed = members.join(own, "b", "left").join(lead, "a", "left").filter("a <> b").select(
-        "bucket", "a", "b", F.coalesce("cb", "b").alias("component"),
+        _confirmed(_alike(members, reps, percent, hashes), texts, words, percent), "star-links")
+
+    # One step joins most of what hangs together; where it does not, a pair is only looked at in vain.
+    edges, _ = _step(_downward(links))
+    own = edges.groupBy(F.col("u").alias("b")).agg(F.min("v").alias("cb"))
+    lead = own.select(F.col("b").alias("a"), F.col("cb").alias("ca"))
+    placed = members.join(own, "b", "left").join(lead, "a", "left").select(
+        "a", "b", F.coalesce("cb", "b").alias("component"),
         (F.coalesce("ca", "a") != F.coalesce("cb", "b")).alias("astray"))
     placed = materialize(placed, "placed")
-    unsettled = placed.groupBy("bucket").agg(F.max("astray").alias("any"), F.count("*").alias("n"))
-    unsettled = unsettled.filter("any and n > 1").select("bucket")
-    pairs = placed.join(unsettled, "bucket", "left_semi").select("a", "b", "component", "astray").distinct()
+    unsettled = placed.groupBy("a").agg(F.max("astray").alias("any"), F.count("*").alias("n"))
+    pairs = placed.join(unsettled.filter("any and n > 1").select("a"), "a", "left_semi")
     rest = _candidates_by_difference(pairs, texts, words, percent)
-    more = materialize(_confirmed(rest, texts, words, percent), "rest-links")
-    group = components(links.unionByName(more))
+    more = _confirmed(rest, texts, words, percent)
+    group = components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more))
 
-    placed = sets.select("doc_id", *digest).join(classes, digest, "left").join(group, "node", "left")
+    # no shingles, no component but the document itself
+    placed = sets.join(reps.select(*digest, "node"), digest, "left").join(group, "node", "left")
     mine = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "node", "doc_id"))
     return placed.select(
         "doc_id", "n_shingles", mine.alias("component_id"),
