@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import fresh, utf8_size
 
 BLOCK_BYTES = 1 << 16
-RANGE_BYTES = 1 << 26          # bytes of a source that one task orders
+RANGE_BYTES = 1 << 23          # bytes of a source that one task orders
 PERIOD = 1000                  # weights are multiples of 1 / PERIOD
 MAX_SOURCES = 10_000           # sources are a configuration; more are refused
 
