@@ -27,7 +27,7 @@ from tillroll.session import materialize
 
 SHARDS = 16
 TOLERANCE = 0.001              # of a part, by which the bytes below a splitter may miss its target
-PART_BYTES = 1 << 30
+PART_BYTES = 1 << 29
 PROBES = 16                    # per interval and round
 LEAST = -(1 << 63)
 Key = tuple[int, int]
