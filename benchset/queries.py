@@ -21,7 +21,7 @@ from tillroll.operators import maintain as M
 from tillroll.operators import quality as Q
 from tillroll.plans import daily, features, gold, kpis, silver, suites
 from tillroll.session import configure, scratch_path
-from tillroll.sources import landing, readers, writers
+from tillroll.sources import landing, readers, versions, writers
 from tillroll.streaming import events as E
 from tillroll.streaming import landing as L
 
@@ -193,9 +193,10 @@ def _gold(spark, d, name):
         if parts:
             writers.write_partitioned(build(spark, d), path, parts, by)
         else:
-            writers.write_clustered(build(spark, d), path, by)
+            versions.write_version(build(spark, d), path, by)
 
-    return spark.read.parquet(_staged(spark, d, name, write))
+    path = _staged(spark, d, name, write)
+    return spark.read.parquet(path) if parts else versions.read_version(spark, path)
 
 
 def _order_browse(spark, d):

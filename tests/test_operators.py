@@ -234,6 +234,21 @@ def test_merge_keeps_the_newest_version(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 5), ("b", 9)]
 
 
+def test_a_merge_that_stops_half_way_is_repaired_by_a_rerun(spark, tmp_path, monkeypatch):
+    path, cols = str(tmp_path / "t"), "k string, v int, p int"
+    write_partitioned(spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], cols), path, ["p"])
+    moved = spark.createDataFrame([("a", 5, 2)], cols)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken, pytest.raises(OSError):
+        broken.setattr(M, "_drop_partitions", lost)
+        M.merge_into_table(spark, path, moved, "k", ["p"])
+    M.merge_into_table(spark, path, moved, "k", ["p"])
+    assert rows(spark.read.parquet(path).select("k", "v", "p")) == [("a", 5, 2), ("b", 2, 2)]
+
+
 def test_many_touched_partitions_still_prune(spark, tmp_path):
     path = str(tmp_path / "t")
     table = spark.range(650).select(F.col("id").cast("string").alias("k"), F.col("id").cast("int").alias("v"),

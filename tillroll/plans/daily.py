@@ -33,7 +33,6 @@ _READ = {
     "reviews": readers.read_reviews,
 }
 _BUILD = {
-    "orders": S.silver_orders,
     "customers": S.silver_customers,
     "clickstream": S.silver_clickstream,
     "inventory": S.silver_inventory,

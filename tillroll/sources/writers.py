@@ -32,16 +32,6 @@ def write_partitioned(
     return written.get["rows"]
 
 
-def write_clustered(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Parquet table whose files hold neighbouring values of ``by``, sorted.
-
-    Readers that filter on those columns skip most row groups.  A value with very many
-    rows is split over several files by the rebalance, and small ones share a file.
-    """
-    rows = df.hint("rebalance", by[0]).sortWithinPartitions(*by)
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
-
-
 def write_dlq(bad: DataFrame, root: str, entity: str) -> int:
     """Keep bad rows as JSON under _dlq/{entity}/date=, by the date they landed on.
 
