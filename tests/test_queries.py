@@ -5,12 +5,9 @@ import os
 import pytest
 
 from __spark_entry__ import entry
-from benchset import queries as B
-from benchset import tables as T
 from benchset.oracle import ORACLE
 from benchset.queries import QUERIES
 from compare import differences, duck, duck_rows, spark_rows
-from tillroll.plans import features
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 NO_TWIN = set()
@@ -67,10 +64,8 @@ def test_date_filters_keep_folders_closed(spark, name):
     assert text.count("FileScan") == 1
 
 
-def test_features_scan_each_input_once(spark):
+def test_browse_features_scan_the_clicks_once(spark):
     assert plan(QUERIES["browse_features"](spark, SF)).count("FileScan") == 1
-    fact = B._gold(spark, SF, "fact_orders")
-    assert plan(features.order_features(fact, T.AS_OF, one_row_per_order=True)).count("FileScan") == 1
 
 
 def test_top_lists_do_not_sort_everything(spark):
