@@ -87,3 +87,38 @@ def test_files_hold_the_mixed_order(docs_of, tmp_path, spark):
     back = spark.read.parquet(str(tmp_path / "m")).select("doc_id", part, F.col("_metadata.row_index").alias("n"))
     order = [slots[r["doc_id"]] for r in sorted(back.collect(), key=lambda r: (r["p"], r["n"]))]
     assert order == sorted(order)
+
+
+def test_shares_follow_the_given_weights_with_many_unequal_sources():
+    rng = random.Random(7)
+    cases = [{"hot": 19, **{f"s{k}": 1 for k in range(19)}}, {"hot": 199, **{f"s{k}": 1 for k in range(199)}},
+             {f"s{k}": Fraction(rng.randrange(1, 10 ** 6)) for k in range(25)},
+             {f"s{k}": rng.random() + 0.01 for k in range(20)}]
+    for weights in cases:
+        total = sum(map(Fraction, weights.values()))
+        plan = phases(dict.fromkeys(weights, 4000), weights)
+        owner = {}
+        for s, found in plan.items():
+            first, end, base, share, period, offsets = found[0]
+            assert Fraction(share, period) == Fraction(weights[s]) / total
+            owner |= {base + j // share * period + offsets[j % share]: s for j in range(end - first)}
+        assert sorted(owner) == list(range(len(owner))) and len(owner) >= 4000
+        got = dict.fromkeys(weights, 0)
+        for t in range(len(owner)):
+            s = owner[t]
+            got[s] += 1
+            # a source gains only here, so it is furthest ahead now and was furthest behind before
+            share = Fraction(weights[s]) / total
+            assert got[s] - share * (t + 1) < 1 and share * t - (got[s] - 1) < 1
+
+
+def test_documents_follow_weights_beyond_one_row_of_blocks(docs_of):
+    rows = [(k, "x" * 99, "hot" if k % 2 else f"s{k % 38}") for k in range(8000)]
+    weights = {"hot": 19, **{f"s{k}": 1 for k in range(0, 38, 2)}}
+    got = mixed(docs_of(rows), weights, block_bytes=1000).select("doc_id", "source", "mix.*").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(8000))
+    assert sorted({r["slot"] for r in got}) == list(range(got[0]["slots"]))
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    hot = {r["slot"] for r in got if r["source"] == "hot"}
+    for t in (100, 500, 700):
+        assert abs(len([s for s in hot if s < t]) - t / 2) < 1
