@@ -132,3 +132,43 @@ def test_rules_without_labels_or_rows(docs_of, spark):
     forest = R.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert {r["doc_id"]: r["rules"]["kept"] for r in R.with_rules(docs, forest).collect()} == {1: False, 2: True}
     assert R.with_rules(docs.limit(0), forest).count() == 0
+
+
+def test_every_unlabelled_document_can_be_handed_over(docs_of, spark):
+    found = rows(6000)
+    docs = docs_of([(k, t if k < 3000 else " ".join(t.split()[:25])) for k, t in found])
+    known = spark.createDataFrame([(k, int(k % 4 > 0)) for k in random.Random(6).sample(range(300), 240)], "doc_id long, quality int")
+    model = C.fit(docs, known)
+    # a tenth of all 5,760 is more than a tenth of a sample of 4,000
+    assert model.handed[0][0] >= 500 and model.handed[0][1] >= 500
+    got = C.with_quality(docs, model).collect()
+    assert sum(r["quality"]["kept"] == bool(r["doc_id"] % 4) for r in got) / len(got) > 0.97
+
+
+def test_thresholds_take_the_surest_of_the_counts():
+    counts = np.zeros(C.BINS, int)
+    counts[[5, 40, 2000, 3000, 4000]] = [30, 30, 500, 30, 30]
+    low, high = C.thresholds(counts, 0.5, 80)
+    assert counts[: low + 1].sum() == 60 and counts[high:].sum() == 60
+    low, high = C.thresholds(counts, 0.5, 60)
+    assert counts[: low + 1].sum() == 30 and counts[high:].sum() == 30
+    low, high = C.thresholds(counts, 0.5, 1000)
+    assert counts[: low + 1].sum() == 60 == counts[high:].sum()
+
+
+def test_summed_slopes_reach_the_fit_on_all_pseudo_labels():
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 900)
+    views = [rng.normal(y[:, None] * 1.5, 1, (900, n)) for n in (4, 3)]
+    views[0][:, 3] = (np.arange(900) >= 300) * (rng.random(900) < 0.05)      # a kind that no labelled row has
+    known, pool = [v[:300] for v in views], tuple(v[300:] for v in views)
+    linear = [C.Linear(1e-3).fit(x, y[:300], np.ones(300)) for x in known]
+    history = [[(m.weights, 1900, 2200)] for m in linear]
+    total = lambda f, h, w: f(pool, h, w)
+    for _ in range(8):
+        C._refine(linear, known, y[:300], history, 0.5, total)
+    for k, label in enumerate(C.told(pool, history)[::-1]):
+        rows = np.vstack([known[k], pool[k][label >= 0]])
+        both = np.concatenate([y[:300], label[label >= 0]])
+        best = C.Linear(1e-3).fit(rows, both, np.append(np.ones(300), np.full((label >= 0).sum(), 0.5)), 5000)
+        assert np.abs(linear[k].weights - best.weights).max() < 0.1

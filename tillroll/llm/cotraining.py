@@ -6,13 +6,18 @@ characters.  Both are logistic models.  In each round either view labels the unl
 it is surest of, and the *other* view learns them.  Finally each view is calibrated on labelled
 documents that it has not learnt from, and a third logistic model joins the calibrated views.
 
-Only fitting uses a sample: about ``LABELLED`` labelled and ``POOL`` other documents (all, if
-there are fewer), chosen by a hash of doc_id.  Every document is then scored in one pass
-without a shuffle.  The model is about 10 kB.
+Only the labelled rows are a sample: about ``LABELLED`` of them (all, if there are fewer),
+chosen by a hash of doc_id.  All unlabelled documents take part in the exchange.  Their views are
+staged once, as halves of 16 bits.  In each round one pass counts their scores in ``BINS`` bins, which give
+the thresholds of the surest ones, and ``REFINE`` passes sum up the slopes of the loss over the
+pseudo-labels.  The driver corrects the fit on the labelled rows by these sums, so it holds no
+unlabelled document.  Every document is then scored in one pass without a shuffle.  The model is
+about 10 kB.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,9 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import extend, fresh, sampled, sigmoid
+from tillroll.session import materialize, scratch_scope
 
-LABELLED, POOL = 4_000, 4_000
-ROUNDS, SHARE = 4, 0.1         # per round each view hands over the surest tenth of the pool
+LABELLED = 4_000
+ROUNDS, SHARE = 4, 0.1         # per round each view hands over the surest tenth of the unlabelled documents
+REFINE, STEPS = 3, 40          # per round: passes over the pseudo-labels, and driver's steps after each
+PSEUDO = 0.5                   # weight of a pseudo-label; more than LABELLED documents share what so many have
+BINS, FAR = 4_096, 32.0        # of raw scores from -FAR to FAR; a threshold is the edge of a bin
 SURE = 0.95                    # and only where it is at least this sure
 KEEP_AT = 0.5                  # of the probability of good quality
 BUCKETS = 512                  # hashed trigrams
@@ -86,17 +95,23 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     wide, flat = np.zeros((len(data), BUCKETS + 4)), np.zeros((len(data), LANGUAGES + SOURCES + 12))
     for k, d in enumerate(data):
         wide[k], flat[k] = text_view(d), metadata_view(d, lang[k], source[k])
-    return wide, flat
+    # as staged, so a document has the same views in every pass
+    return wide.astype(np.float16).astype(np.float64), flat.astype(np.float16).astype(np.float64)
 
 
 @dataclass
 class Linear:
-    """A logistic model; ``fit`` starts anew, by accelerated gradient steps on all rows."""
+    """A logistic model, fitted by accelerated gradient steps on all rows.
+
+    ``fit`` starts anew, or from ``start``; ``lean`` is added to the slope, and ``brake`` is a
+    further curvature of each weight around the start.
+    """
 
     penalty: float
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, sure: np.ndarray, steps: int = 100) -> Linear:
+    def fit(self, x: np.ndarray, y: np.ndarray, sure: np.ndarray, steps: int = 100,
+            start: np.ndarray | None = None, lean: np.ndarray | None = None, brake: np.ndarray | None = None) -> Linear:
         x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
         y, sure = y.astype(np.float32), sure.astype(np.float32)
         # the greatest curvature of the loss bounds the step
@@ -105,10 +120,13 @@ class Linear:
             v = x.T @ (sure * (x @ v))
             v /= max(np.linalg.norm(v), 1e-12)
         total = np.float32(max(sure.sum(), 1e-9))
-        step = np.float32(1 / (0.25 * float(v @ (x.T @ (sure * (x @ v)))) / total + self.penalty))
-        w, ahead = np.zeros((2, x.shape[1]), np.float32)
+        first, lean, brake = (np.zeros(x.shape[1], np.float32) if a is None else a.astype(np.float32)
+                              for a in (start, lean, brake))
+        step = np.float32(1 / (0.25 * float(v @ (x.T @ (sure * (x @ v)))) / total + self.penalty + float(brake.max())))
+        w, ahead = first, first
         for k in range(steps):
             slope = x.T @ (sure * (sigmoid(x @ ahead) - y) / total) + np.float32(self.penalty) * ahead
+            slope += lean + brake * (ahead - first)
             new = ahead - step * slope
             ahead = new + np.float32(k / (k + 3)) * (new - w)
             w = new
@@ -140,79 +158,179 @@ class Model:
         return sigmoid(odds[:, 0]), sigmoid(odds[:, 1]), sigmoid(self.joint.raw(odds))
 
 
-def _surest(p: np.ndarray, free: np.ndarray, positive: float, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the pool a view is surest of, as many of either class as the labels have it."""
-    rows, labels = [], []
-    for label, share in ((1, positive), (0, 1 - positive)):
-        q = np.where(free, p if label else 1 - p, -1)
-        best = np.argsort(-q, kind="stable")[: max(1, round(count * share))]
-        best = best[q[best] >= SURE]
-        rows.append(best)
-        labels.append(np.full(len(best), label))
-    return np.concatenate(rows), np.concatenate(labels)
+def _bins(raw: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((raw + FAR) * (BINS / (2 * FAR))), 0, BINS - 1).astype(int)
 
 
-def train(wide: np.ndarray, flat: np.ndarray, y: np.ndarray, pool_wide: np.ndarray, pool_flat: np.ndarray) -> Model:
-    """Co-train on labelled rows (every fourth is kept for calibration) and an unlabelled pool."""
+def told(views: tuple, history: list) -> list[np.ndarray]:
+    """Labels that each view has given, -1 for none: those of the first round in which it was sure.
+
+    ``history`` has, per view, (weights, last bin of class 0, first bin of class 1) of its rounds.
+    """
+    out = []
+    for x, rounds in zip(views, history, strict=True):
+        label = np.full(len(x), -1)
+        for weights, low, high in rounds:
+            bins = _bins(x @ weights[:-1] + weights[-1])
+            free = label < 0
+            label[free & (bins >= high)] = 1
+            label[free & (bins <= low)] = 0
+        out.append(label)
+    return out
+
+
+def score_counts(views: tuple, history: list, weights: list) -> np.ndarray:
+    """Per view the documents that it has not labelled yet, counted by the bin of their score."""
+    return np.stack([np.bincount(_bins(x @ w[:-1] + w[-1])[label < 0], minlength=BINS)
+                     for x, w, label in zip(views, weights, told(views, history), strict=True)])
+
+
+def slopes(views: tuple, history: list, weights: list) -> np.ndarray:
+    """Sums over the labels that each view has from the other: loss, rows, slopes, own curvatures."""
+    out = []
+    for x, w, label in zip(views, weights, told(views, history)[::-1], strict=True):
+        x, y = np.hstack([x[label >= 0], np.ones(((label >= 0).sum(), 1))]), label[label >= 0]
+        raw = x @ w
+        p = sigmoid(raw)
+        out += [[_loss(raw, y).sum(), len(y)], x.T @ (p - y), (x * x).T @ (p * (1 - p))]
+    return np.concatenate(out)
+
+
+def _loss(raw: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.logaddexp(0, raw) - y * raw
+
+
+def thresholds(counts: np.ndarray, positive: float, wanted: int) -> tuple[int, int]:
+    """Last bin of class 0 and first bin of class 1: the surest ``wanted``, by the labels' shares of the classes.
+
+    The bin in which the number is reached is taken whole, and no bin below ``SURE`` is.
+    """
+    sure = int(_bins(np.array([np.log(SURE / (1 - SURE))]))[0]) + 1
+    above = np.cumsum(counts[::-1])
+    high = BINS - 1 - int(np.searchsorted(above, max(1, round(wanted * positive))))
+    low = int(np.searchsorted(np.cumsum(counts), max(1, round(wanted * (1 - positive)))))
+    return min(low, BINS - 1 - sure), max(high, sure)
+
+
+Total = Callable[[Callable, list, list], np.ndarray]   # sum of a function of (views, history, weights) over all documents
+
+
+def cotrain(wide: np.ndarray, flat: np.ndarray, y: np.ndarray, pool: int, total: Total) -> Model:
+    """Co-train on labelled rows (every fourth is kept for calibration) and ``pool`` unlabelled documents."""
     prior = float(y.mean()) if len(y) else 0.5
     held = np.arange(len(y)) % 4 == 3
     if min(len(set(y[held].tolist())), len(set(y[~held].tolist()))) < 2:
         return Model(prior)
-    views = [(wide, pool_wide, Linear(1e-5)), (flat, pool_flat, Linear(1e-5))]
-    learnt = [[np.arange(0), np.arange(0)], [np.arange(0), np.arange(0)]]      # pool rows and labels per view
+    known = [x[~held] for x in (wide, flat)]
+    given, ones = y[~held], np.ones((~held).sum())
+    views = [Linear(1e-5).fit(x, given, ones) for x in known]
     model = Model(prior)
-
-    def fit(k: int) -> None:
-        x, pool, linear = views[k]
-        rows, labels = learnt[k]
-        linear.fit(np.vstack([x[~held], pool[rows]]), np.concatenate([y[~held], labels]),
-                   np.concatenate([np.ones((~held).sum()), np.full(len(rows), 0.5)]))
-
-    for k in (0, 1):
-        fit(k)
-    for _ in range(ROUNDS if len(pool_wide) else 0):
-        told = []
-        for k in (0, 1):
-            free = np.ones(len(pool_wide), bool)
-            free[learnt[1 - k][0]] = False
-            told.append(_surest(sigmoid(views[k][2].raw(views[k][1])), free, prior, round(SHARE * len(free))))
+    history: list = [[], []]
+    weight = PSEUDO * min(1, LABELLED / max(1, pool))
+    for _ in range(ROUNDS if pool else 0):
+        weights = [v.weights for v in views]
+        counts = total(score_counts, history, weights).reshape(2, BINS)
+        cuts = [thresholds(c, prior, round(SHARE * pool)) for c in counts]
         for k in (0, 1):
-            learnt[1 - k] = [np.concatenate([a, b]) for a, b in zip(learnt[1 - k], told[k], strict=True)]
-            fit(1 - k)
-        model.handed.append([len(t[0]) for t in told])
-    ones = np.ones(held.sum())
-    model.text, model.meta = views[0][2], views[1][2]
+            history[k].append((weights[k], *cuts[k]))
+        model.handed.append([int(c[: low + 1].sum() + c[high:].sum()) for c, (low, high) in zip(counts, cuts, strict=True)])
+        _refine(views, known, given, history, weight, total)
+    model.text, model.meta = views
     raws = [m.raw(x[held])[:, None] for m, x in ((model.text, wide), (model.meta, flat))]
+    ones = np.ones(held.sum())
     model.scales = tuple(Linear(1e-4).fit(r, y[held], ones, 400) for r in raws)
     odds = np.stack([s.raw(r) for s, r in zip(model.scales, raws, strict=True)], axis=1)
     model.joint = Linear(1e-3).fit(odds, y[held], ones, 400)
     return model
 
 
-def _collected(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Both views and the label of a bounded sample, in the order of doc_id."""
+def _refine(views: list, known: list, given: np.ndarray, history: list, weight: float, total: Total) -> None:
+    """Fit both views to the labelled rows and all pseudo-labels.
+
+    Each pass sums up the slopes of the pseudo-labels' loss.  The driver then descends on the
+    labelled rows' loss, leaned so that its slope at the start is that of the whole loss, with the
+    pseudo-labels' curvatures as a brake.  A step that made the whole loss worse is halved.
+    """
+    best: list = [(np.inf, v.weights) for v in views]
+    ones = np.ones(len(given))
+    for turn in range(REFINE + 1):
+        sums, at = total(slopes, history, [v.weights for v in views]), 0
+        for k, (view, x) in enumerate(zip(views, known, strict=True)):
+            n = len(view.weights)
+            (loss, rows), slope, curve = sums[at : at + 2], sums[at + 2 : at + 2 + n], sums[at + 2 + n : at + 2 + 2 * n]
+            at += 2 + 2 * n
+            raw = view.raw(x)
+            own = np.append(x.T @ (sigmoid(raw) - given), (sigmoid(raw) - given).sum())
+            size = len(given) + weight * rows
+            whole = (_loss(raw, given).sum() + weight * loss) / size + view.penalty / 2 * (view.weights @ view.weights)
+            if whole > best[k][0]:
+                view.weights = best[k][1] if turn == REFINE else (view.weights + best[k][1]) / 2
+                continue
+            best[k] = whole, view.weights
+            if turn < REFINE:
+                lean = (own + weight * slope) / size - own / len(given)
+                view.fit(x, given, ones, STEPS, view.weights, lean, weight * curve / size)
+
+
+def train(wide: np.ndarray, flat: np.ndarray, y: np.ndarray, pool_wide: np.ndarray, pool_flat: np.ndarray) -> Model:
+    """``cotrain`` on arrays."""
+    return cotrain(wide, flat, y, len(pool_wide), lambda f, history, weights: f((pool_wide, pool_flat), history, weights))
+
+
+def _staged(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the column ``views``: both views of a document, as halves of 16 bits."""
     def compute(batch: pa.RecordBatch) -> list:
-        wide, flat = _views(batch)
-        return [[r.astype(np.float32).tobytes() for r in wide], [r.astype(np.float32).tobytes() for r in flat]]
+        out = []
+        for at in range(0, batch.num_rows, 512):
+            rows = np.hstack(_views(batch.slice(at, 512))).astype(np.float16)
+            out += [r.tobytes() for r in rows]
+        return [out]
+
+    return extend(docs, "views binary", compute, keep=keep)
+
+
+def _read(found: list) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(b"".join(found), np.float16).reshape(-1, BUCKETS + 4 + LANGUAGES + SOURCES + 12)
+    return rows[:, : BUCKETS + 4].astype(np.float64), rows[:, BUCKETS + 4 :].astype(np.float64)
 
-    rows = extend(docs, "wide binary, flat binary", compute, keep=["doc_id", "quality"]).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    read = lambda name, n: np.stack([np.frombuffer(r[name], np.float32) for r in rows]).astype(np.float64) \
-        if rows else np.zeros((0, n))
-    return (read("wide", BUCKETS + 4), read("flat", LANGUAGES + SOURCES + 12),
-            np.array([-1 if r["quality"] is None else r["quality"] for r in rows], int))
+
+def _total(staged: DataFrame) -> Total:
+    """Sums over all staged documents; a task sends one vector, the driver adds them in the tasks' order."""
+    def run(f: Callable, history: list, weights: list) -> np.ndarray:
+        sent = staged.sparkSession.sparkContext.broadcast((history, weights))
+
+        def compute(batches):
+            sums = None
+            for batch in batches:
+                for at in range(0, batch.num_rows, 2048):
+                    found = f(_read(batch.column(0).slice(at, 2048).to_pylist()), *sent.value).ravel().astype(np.float64)
+                    sums = found if sums is None else sums + found
+            if sums is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+        rows = staged.select("views").mapInArrow(compute, "sums binary").collect()
+        out = f(_read([]), history, weights).ravel().astype(np.float64)
+        for r in rows:
+            out += np.frombuffer(r["sums"], np.float64)
+        sent.destroy()
+        return out
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from ``labels`` (doc_id, quality 0/1; nulls are left out) and unlabelled documents."""
+    """A model from ``labels`` (doc_id, quality 0/1; nulls are left out) and all unlabelled documents."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("string").alias(c) for c in INPUTS])
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    wide, flat, y = _collected(base.join(sampled(known, "doc_id", LABELLED), "doc_id"))
-    rest = sampled(base.select("doc_id").join(known, "doc_id", "left_anti"), "doc_id", POOL, seed=11)
-    pool_wide, pool_flat, _ = _collected(
-        base.join(rest, "doc_id", "left_semi").withColumn("quality", F.lit(None).cast("int")))
-    return train(wide, flat, y, pool_wide, pool_flat)
+    rows = _staged(base.join(sampled(known, "doc_id", LABELLED), "doc_id"), ["doc_id", "quality"]).collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    wide, flat = _read([r["views"] for r in rows])
+    y = np.array([r["quality"] for r in rows], int)
+    with scratch_scope(docs.sparkSession):
+        rest = _staged(base, ["doc_id"]).join(known.select("doc_id"), "doc_id", "left_anti")
+        staged = materialize(rest.select("views"), "views")
+        return cotrain(wide, flat, y, staged.count(), _total(staged))
 
 
 def with_quality(docs: DataFrame, model: Model, into: str = "quality", keep: list[str] | None = None) -> DataFrame:
