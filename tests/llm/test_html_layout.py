@@ -35,6 +35,26 @@ CASES = {
 def test_layout(html):
     assert render(html) == CASES[html]
 
+HEADS_AND_SPANS = {
+    "<!doctype html><html><head><title>t</title><p>text<h1>more</h1>": "text\n\nmore",
+    "<html><head><meta charset=x><link rel=y><style>p{}</style>\n <div>a</div>b": "a\nb",
+    "<head><title>t</title> words <b>bold</b></head><body>c": "words bold\nc",
+    "<head><script>var a='<p>'</script><noscript>no<p>no</noscript><template><p>no</template><br>yes": "\nyes",
+    "<head><head><title>t</title></head>a": "a",
+    "<head><title>t</title></head><body><p>a": "a",
+    "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>": "a   b   c\n    d   e\nf   g   h",
+    "<table><tr><td>a<td rowspan=2>b<br>bb<td>c<tr><td>d<td>e</table>": "a   b    c\nd   bb   e",
+    "<table><tr><td rowspan=2>a<br>b<br>c<td>d<tr><td>e</table>": "a   d\nb   e\nc",
+    "<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>": "a       b\n        c\nd   e   f",
+    "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>": "a   b\n    c\nd   e",
+    "<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>d<td>e</table>": "a   b\nd   e",
+}
+
+
+@pytest.mark.parametrize("html", HEADS_AND_SPANS)
+def test_implied_end_of_head_and_cells_over_rows(html):
+    assert render(html) == HEADS_AND_SPANS[html]
+
 
 def test_every_visible_word_is_kept_whatever_the_nesting():
     page = "".join(f"<{t}>w{k} " for k, t in enumerate("div p ul li table tr td b pre dl dt dd h1 span".split() * 9))

@@ -40,6 +40,8 @@ IMPLIED_END = {
     "option": (("option",), ("select", "datalist")), "optgroup": (("option", "optgroup"), ("select",)),
     "body": (("head",), ("html",)),
 }
+# what may stand in a head; anything else ends it, also without </head> and <body>
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 PARAGRAPH_SCOPE = frozenset(("td", "th", "caption", "button", "table"))
 _NO_SHOW = re.compile(r"display\s*:\s*none", re.I)
 _VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
@@ -98,27 +100,68 @@ class Node:
     keep_gaps: bool = False     # inside pre
     rows: list = field(default_factory=list)     # of a table: rows of cells; of a row: cells
     count: int = 0              # of a list: items so far
+    closed: int = 0             # of a table: rows whose group has ended
 
 
-def table_lines(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (lines, columns spanned) as text in aligned columns, three spaces apart."""
+Cell = tuple[list[str], int, int]      # lines, columns spanned, rows spanned (0: the rest of its group)
+
+
+def within_group(rows: list[list[Cell]]) -> list[list[Cell]]:
+    """The rows of a group, none of whose cells reach below its last row."""
+    return [[(lines, span, min(down or len(rows) - r, len(rows) - r)) for lines, span, down in row]
+            for r, row in enumerate(rows)]
+
+
+def table_lines(rows: list[list[Cell]]) -> list[str]:
+    """Rows of cells as text in aligned columns, three spaces apart.
+
+    A cell takes the first column that no cell above reaches into.  The lines of one that spans
+    rows go on beside those rows; what is left over makes the last of them longer.
+    """
     widths: list[int] = []
-    for row in rows:
+    free: list[int] = []                # per column the first row that no cell above reaches into
+    heights = [0] * len(rows)
+    placed: list[list[tuple[int, int, list[str]]]] = []
+    spanning = []
+    for r, row in enumerate(within_group(rows)):
         at = 0
-        for lines, span in row:
-            widths += [0] * (at + span - len(widths))
+        placed.append([])
+        for lines, span, down in row:
+            while at < len(free) and free[at] > r:
+                at += 1
+            new = [0] * (at + span - len(widths))
+            widths += new
+            free += new
+            free[at : at + span] = [max(x, r + down) for x in free[at : at + span]]
             if span == 1:
                 widths[at] = max(widths[at], max(map(len, lines), default=0))
+            placed[r].append((at, span, lines))
+            heights[r] = max(heights[r], len(lines) if down == 1 else min(1, len(lines)))
+            if down > 1 and lines:
+                spanning.append((r + down - 1, r, len(lines)))
             at += span
+    for last, r, size in sorted(spanning):
+        room = 0
+        for k in range(r, last + 1):
+            room += heights[k]
+            if room >= size:
+                break
+        else:
+            heights[last] += size - room
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            line, at = "", 0
-            for lines, span in row:
+    over: list[tuple[int, int, list[str]]] = []         # cells from above with lines left
+    for height, starts in zip(heights, placed, strict=True):
+        cells = sorted([*over, *starts], key=lambda c: c[0]) if over else starts
+        for k in range(height):
+            line, to = "", 0
+            for at, span, lines in cells:
+                if at > to:
+                    line += " " * (sum(widths[to:at]) + 3 * (at - to))
                 size = sum(widths[at : at + span]) + 3 * (span - 1)
                 line += (lines[k] if k < len(lines) else "").ljust(size) + "   "
-                at += span
+                to = at + span
             out.append(line.rstrip())
+        over = [(at, span, lines[height:]) for at, span, lines in cells if len(lines) > height]
     return out
 
 
@@ -133,6 +176,10 @@ class Layout(HTMLParser):
     # tree building
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.nodes[-1].tag == "head" and tag not in IN_HEAD:
+            if tag in ("html", "head"):
+                return
+            self._end(*IMPLIED_END["body"])
         if tag == "br":
             if self._seen():
                 self.nodes[-1].box.end_line(always=True)
@@ -202,6 +249,8 @@ class Layout(HTMLParser):
         return node.shown and node.visible and not (node.tag == "details" and "open" not in node.attrs)
 
     def handle_data(self, data: str) -> None:
+        if self.nodes[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            self._end(*IMPLIED_END["body"])
         if not self._seen():
             return
         node = self.nodes[-1]
@@ -229,15 +278,19 @@ class Layout(HTMLParser):
             while lines and not lines[-1]:
                 lines.pop()
         if node.tag in _CELLS and up.tag == "tr":
-            span = node.attrs.get("colspan", "")
-            up.rows.append((lines, min(1000, max(1, int(span))) if span.isdecimal() else 1))
+            span, down = (node.attrs.get(x, "").strip() for x in ("colspan", "rowspan"))
+            up.rows.append((lines, min(1000, max(1, int(span))) if span.isdecimal() else 1,
+                            min(65534, int(down)) if down.isdecimal() else 1))
             return
         if node.tag == "tr" and up.tag in ("table", "thead", "tbody", "tfoot"):
             up.rows.append(node.rows)
             up.box.block(lines, False)
             return
         if node.tag in ("thead", "tbody", "tfoot") and up.tag == "table":
-            up.rows += node.rows
+            # rows outside a group end where one begins
+            up.rows[up.closed :] = within_group(up.rows[up.closed :])
+            up.rows += within_group(node.rows)
+            up.closed = len(up.rows)
         elif node.rows:
             lines += table_lines(node.rows if node.tag != "tr" else [node.rows])
         if node.tag == "li":
