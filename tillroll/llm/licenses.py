@@ -9,6 +9,9 @@ digests are exchanged, and only those of lines that are found are grouped.
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +26,8 @@ SPELLINGS = (
     ("https://", "http://"),
 )
 
-# Licence id, text.  Short licences in full, and the usual notices of longer ones.
-KNOWN = (
+# Licence id, text.  Short licences in full, and the usual notices.
+_SHORT = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
@@ -62,6 +65,44 @@ THIS SOFTWARE."""),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
 )
 
+# Lines of letters that are the title of a text in license_texts/.
+_TITLE_LINES = {"Apache-2.0": 3, "Artistic-1.0-Perl": 1, "MPL-2.0": 1, "BSD-2-Clause": 0, "BSD-3-Clause": 0, "Unlicense": 0}
+# Titles that short licences are given.
+_TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License"),
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License"), "Unlicense": ("The Unlicense",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License"),
+}
+_APPENDIX = re.compile(r"^[ \t]*END OF TERMS AND CONDITIONS[ \t]*$", re.M)
+
+
+def _shipped() -> list[tuple[str, str]]:
+    """The texts of license_texts/; what stands before a second name is the licence id."""
+    found = sorted((f.name, f) for f in files("tillroll.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt"))
+    return [(re.sub(r"(\.[a-z]+)?\.txt$", "", name), f.read_text("utf-8")) for name, f in found]
+
+
+def _forms(license_id: str, text: str) -> list[str]:
+    """A full text as files hold it: with and without its title, "All rights reserved." and its appendix."""
+    if license_id in _TITLES:
+        heads = ["", *(f"{x}\n" for x in _TITLES[license_id])]
+        bodies = dict.fromkeys((text, re.sub(r"^[0-9]\. ", "* ", text, flags=re.M)))    # numbers or marks for the conditions
+        return [head + held + x for x in bodies for head in heads for held in ("", "All rights reserved.\n")]
+    lines = text.splitlines(keepends=True)
+    worded = [k for k, line in enumerate(lines) if re.search(r"\w", line)]
+    out = [text, "".join(lines[worded[_TITLE_LINES.get(license_id, 2)]:])]
+    for x in list(out):
+        if end := _APPENDIX.search(x):
+            out += [x[: end.start()], x[: end.end()]]
+    return out
+
+
+# Licence id, text; also the forms in which full texts are found.
+KNOWN = (*_SHORT, *dict.fromkeys(
+    (i, form) for i, text in [*((i, x) for i, x in _SHORT if "\n" in x), *_shipped()] for form in _forms(i, text)
+    if (i, form) not in _SHORT))
+
 
 # A line that holds a copyright notice and nothing before it but comment marks.
 COPYRIGHT_LINE = r"^[ \t#*/]*(copyright[ \t]+(\(c\)|[0-9])|\(c\)[ \t]+(copyright|[0-9]))"
