@@ -14,7 +14,7 @@ from .test_near_dups import brute
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillroll.llm import chat, cotraining, decontamination, html_layout, licenses, mixing, toxicity, tree_rules
+from tillroll.llm import (
+    chat, cotraining, decontamination, html_layout, licenses, line_dups, merkle, mixing, token_alignment, toxicity,
+    tree_rules)
 from tillroll.llm.near_dups import near_duplicates
 from tillroll.llm.sharding import shard_table
 from tillroll.session import configure
@@ -96,6 +98,22 @@ def op10_benchmark_decontamination(spark, d):
     return found.select("doc_id", "leak.*")
 
 
+@query
+def op11_pointer_jumping_alignment(spark, d):
+    return token_alignment.alignment(table(spark, d, "documents"))
+
+
+@query
+def op12_line_dedup(spark, d):
+    found = line_dups.with_lines(table(spark, d, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_merkle_manifest(spark, d):
+    return merkle.manifest(table(spark, d, "documents"))
+
+
 @query
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
@@ -177,3 +195,79 @@ select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
   (sum(length(escaped) - 1) + 23 * count(*))::bigint as formatted_chars
 from marked group by conv_id
 """
+
+ORACLE["op12_line_dedup"] = r"""
+with cut as (
+  select doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as pos
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents)),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from cut),
+often as (
+  select k, max(doc_id) as holder from keyed where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
+told as (
+  select c.doc_id, c.pos, c.line, coalesce(c.doc_id <> o.holder, false) as gone
+  from keyed c left join often o on o.k = c.k)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from told group by doc_id
+"""
+
+
+def _encoded(*values: str) -> str:
+    """DuckDB expression of the joined ``byte count:value`` fields of a leaf."""
+    return " || ".join(f"case when {v} is null then '-' else strlen({v}::varchar) || ':' || {v} end" for v in values)
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_STEPS = """
+  select {key}, {level} as lvl,
+         array_to_string(r.hs[1 : p.idx // (16**r.lvl)::bigint % 16], '') as l,
+         array_to_string(r.hs[p.idx // (16**r.lvl)::bigint % 16 + 2 :], '') as r
+  from {rows} p join {runs} r on r.g is not distinct from {group} and r.run = p.idx // (16**(r.lvl + 1))::bigint"""
+
+# CRC-32 by the usual table of 256 remainders, one byte after the other
+ORACLE["op13_merkle_manifest"] = f"""
+with recursive remainders as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, k: case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)),
+leaves as (
+  select doc_id, source as g, sha256({_encoded(*merkle.FIELDS)}) as leaf,
+         sha256({_encoded(*merkle.FIELDS[:-1], _LOWERED)}) as changed,
+         xor(list_reduce(list_prepend(4294967295::bigint,
+             list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+             lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 5 = 0 as hit
+  from documents, remainders),
+placed as (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as idx,
+         count(*) over (partition by g) as n from leaves),
+nodes(g, lvl, idx, h, n) as (
+  select g, 0, idx, leaf, n from placed
+  union all
+  select g, lvl + 1, idx // 16, sha256(string_agg(h, '' order by idx)), (any_value(n) + 15) // 16
+  from nodes where n > 1 group by g, lvl, idx // 16),
+subroots as (select g, h as subroot, row_number() over (order by g nulls first) - 1 as idx,
+                    count(*) over () as n from nodes where n = 1),
+tops(lvl, idx, h, n) as (
+  select 0, idx, subroot, n from subroots
+  union all
+  select lvl + 1, idx // 16, sha256(string_agg(h, '' order by idx)), (any_value(n) + 15) // 16
+  from tops where n > 1 group by lvl, idx // 16),
+runs as (select g, lvl, idx // 16 as run, list(h order by idx) as hs from nodes where n > 1 group by g, lvl, idx // 16),
+top_runs as (select 0 as g, lvl, idx // 16 as run, list(h order by idx) as hs from tops where n > 1 group by lvl, idx // 16),
+lower_steps as ({_STEPS.format(key="p.g, p.idx", level="r.lvl", rows="placed", runs="runs", group="p.g")}),
+upper_steps as ({_STEPS.format(key="p.g", level="1000 + r.lvl", rows="subroots", runs="top_runs", group="0")}),
+steps as (
+  select g, idx, lvl, l, r from lower_steps
+  union all select p.g, p.idx, u.lvl, u.l, u.r from upper_steps u join placed p on p.g is not distinct from u.g),
+paths as (select g, idx, list([l, r] order by lvl) as path from steps group by g, idx),
+folds as (
+  select p.doc_id, p.leaf, s.subroot, (select h from tops where n = 1) as root,
+         sha256(coalesce(array_to_string(list_transform(path, lambda x: x[1] || x[2]), ''), '')) as proof_sha256,
+         list_reduce(list_prepend([case when hit then changed else leaf end], coalesce(path, [])),
+                     lambda a, x: [sha256(x[1] || a[1] || x[2])])[1] as folded_root
+  from placed p join subroots s on s.g is not distinct from p.g
+  left join paths q on q.g is not distinct from p.g and q.idx = p.idx)
+select *, folded_root = root as verified from folds
+"""
