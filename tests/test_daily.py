@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from benchset import queries as B
 from benchset import tables as T
 from tillroll.__main__ import main
+from tillroll.operators import maintain
 from tillroll.operators.quality import verdict
 from tillroll import session
 from tillroll.plans import daily
 from tillroll.session import sizing
-from tillroll.sources import versions
+from tillroll.sources import ledger, versions, writers
 
 SF = "/root/testdata/sf0.001"
 RUN1, RUN2 = "2024-01-31 12:00:00", "2024-02-01 12:00:00"
@@ -108,11 +109,168 @@ def test_a_customer_missing_from_the_delivery_is_closed(spark, tmp_path):
     land(bronze, "customers", "2024-01-03", [{"customer_id": "a"}, {"customer_id": "c"}])
     for date, now in (("2024-01-02", RUN1), ("2024-01-03", RUN2)):
         daily.build_silver(spark, "customers", str(bronze), silver, now, date)
-        daily.build_customer_history(spark, silver, gold, now)
+        daily.build_customer_history(spark, silver, gold)
     rows = daily.read_table(spark, gold, "snapshot_customers").collect()
     assert {(r["customer_id"], r["_is_current"]) for r in rows} == {("a", True), ("b", False), ("c", True)}
 
 
+def history_of(spark, gold):
+    return {(r["customer_id"], r["loyalty_tier"], str(r["_valid_from"])[:10], str(r["_valid_to"])[:10], r["_is_current"])
+            for r in daily.read_table(spark, gold, "snapshot_customers").collect()}
+
+
+def test_deliveries_in_any_order_give_one_history(spark, tmp_path):
+    bronze = tmp_path / "bronze"
+    tiers = {"2024-01-02": {"a": "gold", "b": "gold", "d": "silver"}, "2024-01-03": {"a": "silver", "c": "gold", "d": "silver"},
+             "2024-01-04": {"a": "gold", "b": "gold", "c": "gold", "d": "silver"}}
+    for date, known in tiers.items():
+        land(bronze, "customers", date, [{"customer_id": k, "loyalty_tier": t} for k, t in known.items()])
+    found = []
+    for n, turns in enumerate(["234", "432", "3242", "42343"]):
+        silver, gold = str(tmp_path / f"silver{n}"), str(tmp_path / f"gold{n}")
+        for k in turns:
+            daily.build_silver(spark, "customers", str(bronze), silver, f"2024-01-0{k} 03:00:00", f"2024-01-0{k}")
+            if k != "2":
+                daily.build_customer_history(spark, silver, gold)
+        daily.build_customer_history(spark, silver, gold)
+        found.append(history_of(spark, gold))
+    assert found[0] == {
+        ("a", "gold", "2024-01-02", "2024-01-03", False), ("a", "silver", "2024-01-03", "2024-01-04", False),
+        ("a", "gold", "2024-01-04", "None", True), ("b", "gold", "2024-01-02", "2024-01-03", False),
+        ("b", "gold", "2024-01-04", "None", True), ("c", "gold", "2024-01-03", "None", True),
+        ("d", "silver", "2024-01-02", "None", True)}
+    assert all(f == found[0] for f in found)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    """Roots with the dimensions of the fact, and a reader of its rows."""
+    bronze, silver, gold = tmp_path / "bronze", str(tmp_path / "silver"), str(tmp_path / "gold")
+    land(bronze, "customers", "2024-01-02", [{"customer_id": "c"}])
+    daily.build_silver(spark, "customers", str(bronze), silver, RUN1)
+    daily.build_customer_history(spark, silver, gold)
+
+    def run(date, now, fact=True):
+        daily.build_silver(spark, "orders", str(bronze), silver, now, date)
+        if not current_tables(spark, gold):
+            daily.build_dimensions(spark, silver, gold, T.AS_OF, now)
+        if fact:
+            daily.build_order_fact(spark, silver, gold, now)
+
+    def rows():
+        return {(r["order_id"], r["order_status"], float(r["total_amount"])) for r in daily.read_table(spark, gold, "fact_orders").collect()}
+
+    return bronze, silver, gold, run, rows
+
+
+def current_tables(spark, gold):
+    return versions.current_path(spark, f"{gold}/dim_promotions")
+
+
+def test_a_half_done_merge_and_an_earlier_clock_lose_no_order(spark, lake, monkeypatch):
+    bronze, silver, gold, run, rows = lake
+    land(bronze, "orders", "2024-01-02", [ORDER])
+    land(bronze, "orders", "2024-01-03", [ORDER | {"order_id": "2"}, ORDER | {"order_id": "3", "order_date": "2024-03-02 10:00:00"}])
+    land(bronze, "orders", "2024-01-04", [ORDER | {"order_id": "4"}])
+    run("2024-01-02", "2024-01-02 03:00:00")
+    whole = maintain.write_partitioned
+
+    def half(df, path, parts, sort_by=()):
+        whole(df.filter("order_month = 3"), path, parts, sort_by)
+        raise OSError("lost between two partitions")
+
+    monkeypatch.setattr(maintain, "write_partitioned", lambda df, path, *more: (
+        half if "/fact_orders" in path else whole)(df, path, *more))
+    with pytest.raises(OSError, match="lost"):
+        run("2024-01-03", "2024-01-03 03:00:00")
+    monkeypatch.setattr(maintain, "write_partitioned", whole)
+    assert {k for k, *_ in rows()} == {"1", "3"}
+    daily.build_order_fact(spark, silver, gold, "2024-01-03 04:00:00")
+    assert {k for k, *_ in rows()} == {"1", "2", "3"}
+    run("2024-01-04", "2024-01-01 00:00:00")           # back-filled with an earlier clock
+    assert {k for k, *_ in rows()} == {"1", "2", "3", "4"}
+    assert ledger.last(spark, gold, "fact_orders")["source_run"] == 3
+    before = rows()
+    daily.build_order_fact(spark, silver, gold, RUN2)
+    daily.build_order_fact(spark, silver, gold, RUN2, lookback_runs=2)
+    assert rows() == before
+
+
+def test_an_order_taken_back_leaves_the_fact_and_may_return(spark, lake):
+    bronze, silver, gold, run, rows = lake
+    land(bronze, "orders", "2024-01-02", [ORDER, ORDER | {"order_id": "2"}])
+    run("2024-01-02", "2024-01-02 03:00:00")
+    lost = ORDER | {"order_status": "lost", "updated_at": "2024-01-05 10:00:00"}
+    land(bronze, "orders", "2024-01-03", [lost])
+    run("2024-01-03", "2024-01-03 03:00:00")
+    assert {k for k, *_ in rows()} == {"2"}
+    land(bronze, "orders", "2024-01-03", [ORDER | {"total_amount": 7.0, "updated_at": "2024-01-03 10:00:00"}])
+    run("2024-01-03", "2024-01-03 05:00:00")           # delivered again, without the void version
+    assert rows() == {("1", "delivered", 7.0), ("2", "delivered", 10.0)}
+    assert spark.read.schema("order_id string, landed string").parquet(f"{silver}/_void/orders").count() == 0
+
+
+def test_rows_of_a_run_that_is_not_committed_wait(spark, lake, monkeypatch):
+    bronze, silver, gold, run, rows = lake
+    land(bronze, "orders", "2024-01-02", [ORDER])
+    land(bronze, "orders", "2024-01-03", [ORDER | {"order_id": "2"}])
+    run("2024-01-02", "2024-01-02 03:00:00")
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "commit", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run("2024-01-03", "2024-01-03 03:00:00")
+    daily.build_order_fact(spark, silver, gold, "2024-01-03 04:00:00")
+    assert {k for k, *_ in rows()} == {"1"}
+    run("2024-01-03", "2024-01-03 05:00:00")
+    assert {k for k, *_ in rows()} == {"1", "2"}
+
+
+def test_a_clean_delivery_empties_its_dead_letters(spark, tmp_path):
+    bronze, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    land(bronze, "orders", "2024-01-02", ['{"order_id":"7", "tot'])
+    land(bronze, "orders", "2024-01-03", ['{"order_id":"8", "tot', ORDER])
+    for date in ("2024-01-02", "2024-01-03"):
+        daily.build_silver(spark, "orders", str(bronze), silver, RUN1, date)
+    land(bronze, "orders", "2024-01-03", [ORDER])
+    daily.build_silver(spark, "orders", str(bronze), silver, RUN2, "2024-01-03")
+    assert [r[0] for r in spark.read.text(f"{silver}/_dlq/orders").select("value").collect()] == \
+        ['{"_corrupt_record":"{\\"order_id\\":\\"7\\", \\"tot"}']
+    land(bronze, "orders", "2024-01-02", [ORDER])
+    daily.build_silver(spark, "orders", str(bronze), silver, RUN2)
+    assert not writers.has_rows(spark, f"{silver}/_dlq/orders")
+
+
+FIRST_BAD = {
+    "orders": (ORDER | {"order_status": "lost"}, ORDER),
+    "customers": ({"email": "x@y.z"}, {"customer_id": "a"}),
+    "clickstream": ({"event_id": "e"}, {"event_id": "e", "session_id": "s", "event_ts": "2024-01-02 10:00:00", "event_type": "search"}),
+}
+
+
+@pytest.mark.parametrize("entity", sorted(FIRST_BAD))
+def test_a_first_day_without_valid_rows(spark, tmp_path, entity):
+    bronze, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    for date, row in zip(("2024-01-02", "2024-01-03"), FIRST_BAD[entity], strict=True):
+        land(bronze, entity, date, [row])
+    daily.build_silver(spark, entity, str(bronze), silver, RUN1, "2024-01-02")
+    empty = daily.read_table(spark, silver, entity)
+    assert empty.count() == 0
+    for now in (RUN1, RUN2):
+        daily.build_silver(spark, entity, str(bronze), silver, now, "2024-01-03")
+    assert daily.read_table(spark, silver, entity).count() == 1
+    assert set(empty.columns) == set(daily.read_table(spark, silver, entity).columns)
+
+
+def test_a_fact_that_begins_without_an_order(spark, lake):
+    bronze, silver, gold, run, rows = lake
+    land(bronze, "orders", "2024-01-02", [FIRST_BAD["orders"][0]])
+    land(bronze, "orders", "2024-01-03", [ORDER | {"order_id": "2"}])
+    run("2024-01-02", RUN1)
+    assert rows() == set()
+    run("2024-01-03", RUN2)
+    assert {k for k, *_ in rows()} == {"2"}
+
+
 def test_a_failed_write_keeps_the_old_history(spark, tmp_path):
     path = str(tmp_path / "t")
     versions.write_version(spark.range(5), path, ["id"])

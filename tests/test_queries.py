@@ -11,7 +11,7 @@ from compare import differences, duck, duck_rows, spark_rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 NO_TWIN = set()
-SLOW = {"stream_land", "stream_event_date", "write_silver", "pass_rate"}   # thousands of date folders
+SLOW = {"stream_land", "stream_event_date", "write_silver", "pass_rate", "silver_orders_daily", "fact_orders_daily"}   # thousands of date folders
 
 
 @pytest.fixture(scope="module")

@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--gold", required=True)
     g.add_argument("--as-of", required=True)
     g.add_argument("--environment", default="dev")
+    g.add_argument("--lookback-runs", type=int, default=0, help="silver runs that are merged into the fact again")
     for p in (s, g):
         p.add_argument("--now", required=True, help="time stamp of the run, UTC")
         p.add_argument("--shuffle-gb", type=int, default=50, help="what the widest shuffle of the job moves")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
                 spark, args.bronze, args.silver, args.now, args.date, args.entities, not args.no_gate).show()
             return 0
         results = daily.run_gold(
-            spark, args.silver, args.gold, args.as_of, args.now, args.environment)
+            spark, args.silver, args.gold, args.as_of, args.now, args.environment, args.lookback_runs)
         results.filter("not passed").show(100, truncate=False)
         return 0 if verdict(results).first()["passed"] else 1
 

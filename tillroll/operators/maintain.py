@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.expressions import instant
 from tillroll.operators.dedup import top1_by
 from tillroll.session import materialize
+from tillroll.sources.ledger import moment
 from tillroll.sources.writers import write_partitioned
 
 SCD_COLUMNS = ("_valid_from", "_valid_to", "_is_current")
+_TOO_EARLY = "a delivery older than the stored history needs the times of all deliveries"
 
 
 def merge_upsert(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
@@ -41,7 +43,7 @@ def _partition_filter(target: DataFrame, touched: DataFrame, parts: Sequence[str
 def merge_into_table(
     spark: SparkSession, path: str, src: DataFrame, key: str, partition_cols: Sequence[str],
     order: Sequence[Column] | None = None, follow_moves: bool = True,
-    sort_by: Sequence[str] = (), gone: str | None = None,
+    sort_by: Sequence[str] = (), gone: str | None = None, gone_to: str | None = None,
 ) -> int:
     """Merge ``src`` into a partitioned Parquet table, rewriting only the partitions it meets.
 
@@ -52,7 +54,8 @@ def merge_into_table(
     with ``follow_moves=False`` where the partition is a function of the key.
 
     ``gone`` names a boolean column of ``src``: where it is true the row takes part in the
-    choice and then leaves no row.  ``sort_by`` orders the rows of each partition.
+    choice and then leaves no row; the keys that end so are written to ``gone_to``.
+    ``sort_by`` orders the rows of each partition.
 
     The result is staged in the shared folder first: a path is never overwritten while it
     is being read.  A merge that fails half-way can be run again with the same source: it
@@ -68,14 +71,16 @@ def merge_into_table(
             target.select(key, *parts).join(staged.select(key), key, "left_semi").select(*parts))
     touched = materialize(touched.distinct(), "merge-partitions")
     stored = _partition_filter(target, touched, parts)
+    kept = stored if gone is None else stored.withColumn(gone, F.lit(False))
     if order is None:
-        merged = merge_upsert(stored, staged, key)
+        merged = merge_upsert(kept, staged, key)
     else:
-        kept = stored if gone is None else stored.withColumn(gone, F.lit(False))
         merged = top1_by(kept.unionByName(staged.select(*kept.columns)), key, [*order, F.col("_new").desc()])
-    if gone is not None:
-        merged = merged.filter(~F.col(gone)).drop(gone)
     result = materialize(merged, "merge-result")
+    if gone is not None:
+        if gone_to is not None:
+            result.filter(gone).select(key).write.mode("overwrite").parquet(gone_to)
+        result = result.filter(~F.col(gone)).drop(gone)
     write_partitioned(result.drop("_new"), path, parts, sort_by)
     if follow_moves or gone is not None:
         _drop_partitions(spark, path, touched.exceptAll(result.select(*parts).distinct()), parts)
@@ -102,6 +107,59 @@ def _opened(rows: DataFrame, now: Column) -> DataFrame:
     })
 
 
+def _late(
+    target: DataFrame, new: DataFrame, key: str, check_cols: Sequence[str], now: Column, after,
+    invalidate_hard_deletes: bool,
+) -> DataFrame:
+    """The history with a delivery of the time ``now`` put in; the next one came at ``after`` (None: none).
+
+    The delivery tells the state of its keys from ``now`` until ``after``; what held at ``after`` holds
+    again from there.  Only keys whose state at ``now`` differs are rebuilt, from their change points:
+    the stored starts and ends, the delivery, and the state at ``after``.  Points that say what the
+    point before them says drop out (``lag``), and each of the rest ends at the next (``lead``).
+    A delivery of a time that is known replaces the one before.
+    """
+    attrs = new.columns
+
+    def standing(rows: DataFrame, at: Column) -> DataFrame:
+        return rows.filter((F.col("_valid_from") <= at) & (F.col("_valid_to").isNull() | (at < F.col("_valid_to"))))
+
+    said = F.struct(*check_cols)
+    was = standing(target, now).select(F.col(key).alias("_k"), said.alias("_was"))
+    pairs = was.join(new.select(F.col(key).alias("_key"), said.alias("_said")), F.col("_k") == F.col("_key"), "full_outer")
+    differs = ~F.col("_was").eqNullSafe(F.col("_said"))
+    if not invalidate_hard_deletes:
+        differs = differs & F.col("_key").isNotNull()
+    touched = materialize(
+        pairs.filter(differs).select(F.coalesce("_key", "_k").alias(key)).distinct(), "history-touched")
+
+    def points(rows: DataFrame, at: Column, there: bool, rank: int) -> DataFrame:
+        kept = [F.col(c) if there or c == key else F.lit(None).cast(new.schema[c].dataType).alias(c) for c in attrs]
+        return rows.select(*kept, at.alias("_valid_from"), F.lit(there).alias("_there"), F.lit(rank).alias("_rank"))
+
+    stored = target.join(touched, key, "left_semi")
+    told = new.join(touched, key, "left_semi")
+    found = [points(stored, F.col("_valid_from"), True, 1),
+             points(stored.filter("_valid_to is not null"), F.col("_valid_to"), False, 2), points(told, now, True, 0)]
+    if invalidate_hard_deletes:
+        found.append(points(touched.join(told, key, "left_anti").select(key), now, False, 0))
+    if after is not None:
+        again = standing(stored, instant(after))
+        found += [points(again, instant(after), True, 1),
+                  points(touched.join(again, key, "left_anti").select(key), instant(after), False, 2)]
+    in_turn = Window.partitionBy(key).orderBy("_valid_from")
+    first = Window.partitionBy(key, "_valid_from").orderBy("_rank")
+    each = reduce(DataFrame.unionByName, found).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    state = F.struct("_there", F.when(F.col("_there"), F.struct(*check_cols)).alias("_said"))
+    nothing = F.struct(F.lit(False).alias("_there"), F.lit(None).alias("_said"))
+    turned = each.withColumn("_state", state).withColumn("_before", F.lag("_state").over(in_turn))
+    turned = turned.filter(~F.col("_state").eqNullSafe(F.coalesce("_before", nothing.cast(turned.schema["_state"].dataType))))
+    closed = turned.withColumn("_valid_to", F.lead("_valid_from").over(in_turn)).filter("_there")
+    rebuilt = closed.select(*attrs, "_valid_from", "_valid_to", F.col("_valid_to").isNull().alias("_is_current"))
+    rest = target.join(touched, key, "left_anti").select(*rebuilt.columns)
+    return rest.unionByName(rebuilt)
+
+
 def scd2_merge(
     target: DataFrame | None,
     src: DataFrame,
@@ -109,6 +167,7 @@ def scd2_merge(
     check_cols: Sequence[str],
     now_ts,
     invalidate_hard_deletes: bool = False,
+    deliveries: Sequence | None = None,
 ) -> DataFrame:
     """Type 2 history of ``src`` on top of ``target``.
 
@@ -117,6 +176,10 @@ def scd2_merge(
     gone from the source is left open, or closed with ``invalidate_hard_deletes``.  The
     source holds one row per key.
 
+    ``deliveries`` are the times of all earlier runs.  With them runs may come in any order, or
+    again: see ``_late``.  Without them ``now_ts`` must be later than what is stored, and a row
+    that would end before it begins is an error.
+
     One full outer join of the current rows tells what happens to each key; the outcome
     is a short list of roles (keep, close, open), and each role becomes one row.  Closed
     versions are passed through without a join.
@@ -127,6 +190,10 @@ def scd2_merge(
     if target is None:
         return _opened(new, now)
 
+    if deliveries and moment(now_ts) <= max(map(moment, deliveries)):
+        after = min((t for t in map(moment, deliveries) if t > moment(now_ts)), default=None)
+        return _late(target, new, key, check_cols, now, after, invalidate_hard_deletes)
+
     columns = [*attrs, *SCD_COLUMNS]
     current = target.filter(F.col("_is_current")).select(*columns)
     past = target.filter(~F.col("_is_current")).select(*columns)
@@ -151,15 +218,18 @@ def scd2_merge(
     result = acted.select(
         *out,
         F.when(opens, now).otherwise(F.col("old__valid_from")).alias("_valid_from"),
-        F.when(closes, now).when(~opens, F.col("old__valid_to")).alias("_valid_to"),
+        F.when(closes & (now <= F.col("old__valid_from")), F.raise_error(F.lit(_TOO_EARLY))).when(closes, now)
+        .when(~opens, F.col("old__valid_to")).alias("_valid_to"),
         (~closes).alias("_is_current"),
     )
     return result.unionByName(past)
 
 
-def snapshot_customers(target: DataFrame | None, customers: DataFrame, now_ts) -> DataFrame:
+def snapshot_customers(
+    target: DataFrame | None, customers: DataFrame, now_ts, deliveries: Sequence | None = None
+) -> DataFrame:
     """Customer history checked on tier, segment and order count; missing customers are closed."""
     return scd2_merge(
         target, customers, "customer_id", ("loyalty_tier", "segment", "total_orders"), now_ts,
-        invalidate_hard_deletes=True,
+        invalidate_hard_deletes=True, deliveries=deliveries,
     )

@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 
 from tillroll import vocabulary as V
 from tillroll.functions.expressions import day
+from tillroll.functions.keys import surrogate_key
 from tillroll.operators import quality as Q
 from tillroll.operators.calendar import dim_date
-from tillroll.operators.filters import incremental_rows
 from tillroll.operators.maintain import merge_into_table, snapshot_customers
 from tillroll.plans import features, gold, suites
 from tillroll.plans import silver as S
 from tillroll.session import materialize
-from tillroll.sources import landing, readers
+from tillroll.sources import landing, ledger, readers
 from tillroll.sources.versions import current_path, read_version, write_version
-from tillroll.sources.writers import write_dlq, write_partitioned
+from tillroll.sources.writers import has_rows, read_stored, replace_dates, write_dlq, write_partitioned
 
 _READ = {
     "orders": readers.read_orders,
@@ -40,12 +40,6 @@ _BUILD = {
 }
 
 
-def has_table(spark: SparkSession, path: str) -> bool:
-    """Does the folder hold a table already?"""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 # entity -> (key, which version stays, may a key change its partition)
 def _merge_rules() -> dict[str, tuple[str, list, bool]]:
     last = F.col("_processed_ts").desc()
@@ -69,6 +63,9 @@ def build_silver(
     The date is a partition filter, so other dates are not read.  The landed text is parsed once,
     into a staged table; the good rows, the dead letters and the number of landed rows all
     come from there.  Returns the landed rows, the rows written and the bad rows.
+
+    Runs of orders and customers are numbered in a ledger and committed last.  Order rows carry the
+    number of the run that wrote them; the customers of a run are kept as a delivery.  Gold goes by these.
     """
     raw = _READ[entity](spark, f"{bronze}/{entity}")
     if date is not None:
@@ -77,45 +74,64 @@ def build_silver(
     good, bad = raw, 0
     if readers.CORRUPT in raw.columns:
         good, broken = readers.split_corrupt(raw)
-        bad = write_dlq(broken, silver, entity)
+        bad = write_dlq(broken, silver, entity, date)
     path, parts = f"{silver}/{entity}", S.PARTITIONS[entity]
     rule = _merge_rules().get(entity)
-    gone = None
+    gone = gone_to = run = None
+    if entity in LEDGERED:
+        run = ledger.begin(spark, silver, entity)
     if entity == "orders":
-        table, gone = _order_versions(spark, good.drop("date"), now_ts, silver, date), "_invalid"
+        table, gone = _order_versions(spark, good, now_ts, silver, date), "_invalid"
+        table, gone_to = table.withColumn("_run", F.lit(run).cast("long")), _removed_path(silver, run)
     else:
         table = _BUILD[entity](good.drop("date"), now_ts)
-    if rule is not None and has_table(spark, path):
+    if entity == "customers":
+        delivery = _delivery_path(silver, run)
+        table.write.mode("overwrite").parquet(delivery)
+        table = spark.read.schema(table.schema).parquet(delivery)
+    if rule is not None and has_rows(spark, path):
         key, order, moves = rule
-        rows_out = merge_into_table(spark, path, table, key, parts, order, moves, gone=gone)
+        rows_out = merge_into_table(spark, path, table, key, parts, order, moves, gone=gone, gone_to=gone_to)
     else:
         first = table if gone is None else table.filter(~F.col(gone)).drop(gone)
         rows_out = write_partitioned(first, path, parts)
+    if run is not None:
+        ledger.commit(spark, silver, entity, run, now=str(now_ts), landed=str(date or "all"), rows=rows_out)
     return {"rows_in": raw.count(), "rows_out": rows_out, "bad": bad}
 
 
+LEDGERED = ("orders", "customers")
+
+
+def _removed_path(silver: str, run: int) -> str:
+    """Keys of the orders that a run has taken out of the silver table."""
+    return f"{silver}/_removed/orders/run={run}"
+
+
+def _delivery_path(silver: str, run: int) -> str:
+    """The customers that a run has processed."""
+    return f"{silver}/_deliveries/customers/run={run}"
+
+
 def _order_versions(
     spark: SparkSession, good: DataFrame, now_ts, silver: str, date: str | None
 ) -> DataFrame:
     """The newest version of each landed order with ``_invalid``, older than no void version.
 
-    An invalid newest version leaves no silver row, so its key and time are kept in ``_void``:
-    an older version that lands later must not come back.  Days can then be run one by one,
-    again, or in any order, and end in the table of one run over all of them.
+    An invalid newest version leaves no silver row, so its key and time are kept in ``_void`` by
+    the date they landed on: an older version that lands later must not come back.  Days can then be
+    run one by one, again, or in any order, and end in the table of one run over all of them.
+    A date that is delivered anew replaces its voids, also when it has none any more.
     """
     newest = materialize(S.order_versions(good, now_ts), "order-versions")
     void, key = f"{silver}/_void/orders", ("order_id", "updated_at")
-    landed = F.lit("all" if date is None else str(date)).alias("landed")
-    bad = newest.filter("_invalid and order_id is not null").select(*key, landed)
-    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("landed").parquet(void))
-    if not has_table(spark, void):
-        return newest
+    landed = F.coalesce(F.col("date").cast("string"), F.lit("none")).alias("landed")
+    replace_dates(newest.filter("_invalid and order_id is not null").select(*key, landed), void, "landed", "parquet", date)
     known = spark.read.schema("order_id string, updated_at timestamp, landed string").parquet(void)
     last = known.groupBy("order_id").agg(F.max("updated_at").alias("_void"))
     older = (F.col("_void") > F.col("updated_at")) | (F.col("updated_at").isNull() & F.col("_void").isNotNull())
     kept = newest.join(last, "order_id", "left").filter(~F.coalesce(older, F.lit(False)) | F.col("_invalid"))
-    return kept.drop("_void")
+    return kept.drop("_void", "date")
 
 
 def pass_rate(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
@@ -157,30 +173,32 @@ VERSIONED = ("snapshot_customers", "dim_customers", "dim_promotions", "dim_date"
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A stored silver or gold table."""
     path = f"{root}/{name}"
-    return read_version(spark, path) if name in VERSIONED else spark.read.parquet(path)
+    return read_version(spark, path) if name in VERSIONED else read_stored(spark, path)
 
 
 def _tables(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
     return [read_table(spark, root, n) for n in names]
 
 
-def delivered_customers(customers: DataFrame) -> DataFrame:
-    """The customers of the last delivery: those that the last run has processed.
+def build_customer_history(spark: SparkSession, silver: str, gold_root: str) -> None:
+    """Put the customer deliveries that are not in it yet into the stored history, in the order they were run.
 
-    The silver table keeps every customer it has ever seen; a customer that the last delivery
-    lacks is gone.
+    A delivery counts from the clock of its silver run, so one that is run late, with an earlier
+    clock, takes its place in between.  A customer that a delivery lacks is gone from there on.
+    The versions of the history and its ledger are written one after the other; a run that
+    stops between them is put in again, which changes nothing.
     """
-    last = customers.agg(F.max("_processed_ts").alias("_last"))
-    return customers.join(last, F.col("_processed_ts") == F.col("_last"), "left_semi")
-
-
-def build_customer_history(spark: SparkSession, silver: str, gold_root: str, now_ts) -> None:
-    """Merge the delivered customers into the stored history, as a new version of it."""
-    path = f"{gold_root}/snapshot_customers"
-    known = read_version(spark, path) if current_path(spark, path) else None
-    (customers,) = _tables(spark, silver, "customers")
-    history = snapshot_customers(known, delivered_customers(customers), now_ts)
-    write_version(history, path, ("customer_id", "_valid_from"))
+    path, table = f"{gold_root}/snapshot_customers", "snapshot_customers"
+    seen = ledger.last(spark, gold_root, table) or {"source_run": 0, "times": []}
+    times = seen["times"]
+    for run in ledger.since(spark, silver, "customers", seen["source_run"]):
+        known = read_version(spark, path) if current_path(spark, path) else None
+        customers = spark.read.parquet(_delivery_path(silver, run["run"]))
+        history = snapshot_customers(known, customers, run["now"], deliveries=times)
+        write_version(history, path, ("customer_id", "_valid_from"))
+        times = sorted({*times, run["now"]})
+        ledger.commit(spark, gold_root, table, ledger.begin(spark, gold_root, table),
+                      source_run=run["run"], times=times)
 
 
 def build_dimensions(spark: SparkSession, silver: str, gold_root: str, as_of, now_ts) -> None:
@@ -193,19 +211,51 @@ def build_dimensions(spark: SparkSession, silver: str, gold_root: str, as_of, no
     write_version(dim_date(spark), f"{gold_root}/dim_date", ("full_date",))
 
 
-def build_facts(spark: SparkSession, silver: str, gold_root: str, now_ts) -> None:
-    """Add or replace the orders processed since the last run; rebuild the review fact."""
-    orders, reviews = _tables(spark, silver, "orders", "reviews")
+def build_order_fact(
+    spark: SparkSession, silver: str, gold_root: str, now_ts, lookback_runs: int = 0
+) -> None:
+    """Bring the orders of the silver runs since the last committed one into the order fact.
+
+    What is new is told by run numbers: the mark is in the fact's ledger, which is written after
+    the merge, and rows of a silver run that is not committed wait.  A merge that fails half-way, or a silver
+    run with an earlier clock, is thus never passed over.  Orders that these runs have taken
+    out of the silver table leave the fact too.  ``lookback_runs`` merges as many earlier runs again.
+    """
+    path, table = f"{gold_root}/fact_orders", "fact_orders"
+    orders = read_table(spark, silver, "orders")
     dims = _tables(spark, gold_root, "dim_customers", "dim_date", "dim_promotions")
-    path = f"{gold_root}/fact_orders"
-    if has_table(spark, path):
-        fresh = incremental_rows(orders, spark.read.parquet(path))
-        merge_into_table(
-            spark, path, gold.fact_orders(fresh, *dims, now_ts), "order_sk", FACT_PARTITIONS,
-            sort_by=FACT_SORT)
+    number = ledger.begin(spark, gold_root, table)
+    upto = (ledger.last(spark, silver, "orders") or {"run": 0})["run"]
+    mark = (ledger.last(spark, gold_root, table) or {"source_run": 0})["source_run"]
+    if has_rows(spark, path):
+        start = max(0, mark - lookback_runs)
+        fresh = ledger.between(orders, start, upto)
+        rows = gold.fact_orders(fresh.drop("_run"), *dims, now_ts).withColumn("_gone", F.lit(False))
+        removed = _removed_orders(spark, silver, start, upto, fresh)
+        if removed is not None:
+            rows = rows.unionByName(removed, allowMissingColumns=True)
+        merge_into_table(spark, path, rows, "order_sk", FACT_PARTITIONS, sort_by=FACT_SORT, gone="_gone")
     else:
-        write_partitioned(
-            gold.fact_orders(orders, *dims, now_ts), path, FACT_PARTITIONS, FACT_SORT)
+        rows = gold.fact_orders(ledger.between(orders, 0, upto).drop("_run"), *dims, now_ts)
+        write_partitioned(rows, path, FACT_PARTITIONS, FACT_SORT)
+    ledger.commit(spark, gold_root, table, number, source_run=upto, now=str(now_ts))
+
+
+def _removed_orders(spark: SparkSession, silver: str, start: int, upto: int, fresh: DataFrame) -> DataFrame | None:
+    """order_sk and ``_gone`` of the orders taken out by the runs after ``start`` and not back by ``upto``."""
+    runs = [r["run"] for r in ledger.since(spark, silver, "orders", start) if r["run"] <= upto]
+    paths = [p for p in (_removed_path(silver, n) for n in runs) if has_rows(spark, p)]
+    if not paths:
+        return None
+    keys = spark.read.schema("order_id string").parquet(*paths).distinct()
+    return keys.join(fresh.select("order_id"), "order_id", "left_anti").select(
+        surrogate_key("order_id").alias("order_sk"), F.lit(True).alias("_gone"))
+
+
+def build_facts(spark: SparkSession, silver: str, gold_root: str, now_ts, lookback_runs: int = 0) -> None:
+    """Add, replace or remove the orders of the silver runs since the last one; rebuild the review fact."""
+    build_order_fact(spark, silver, gold_root, now_ts, lookback_runs)
+    (reviews,) = _tables(spark, silver, "reviews")
     write_version(gold.fact_reviews(S.silver_reviews(reviews)), f"{gold_root}/fact_reviews",
                   ("product_sku", "review_id"))
 
@@ -264,12 +314,12 @@ def store_failures(spark: SparkSession, silver: str, gold_root: str, now_ts, res
 
 
 def run_gold(
-    spark: SparkSession, silver: str, gold_root: str, as_of, now_ts, environment: str = "dev"
+    spark: SparkSession, silver: str, gold_root: str, as_of, now_ts, environment: str = "dev", lookback_runs: int = 0
 ) -> DataFrame:
     """History, dimensions, facts, features, checks and their failing rows; returns the stored results."""
-    build_customer_history(spark, silver, gold_root, now_ts)
+    build_customer_history(spark, silver, gold_root)
     build_dimensions(spark, silver, gold_root, as_of, now_ts)
-    build_facts(spark, silver, gold_root, now_ts)
+    build_facts(spark, silver, gold_root, now_ts, lookback_runs)
     build_features(spark, silver, gold_root, as_of, now_ts, environment)
     results = check_tables(spark, silver, gold_root, now_ts).withColumn("checked_at", F.lit(str(now_ts)))
     write_partitioned(results, f"{gold_root}/quality_results", ("checked_at",))
