@@ -68,6 +68,30 @@ def test_nulls_repeats_extra_columns_and_empty_tables(docs_of, spark):
     assert near_duplicates(docs.limit(0)).count() == 0 == one_of_each(docs.limit(0)).count()
 
 
+def test_rows_that_share_an_id_but_not_a_text_stay(docs_of):
+    one, two = (" ".join(f"{c}{k}" for k in range(20)) for c in "xy")
+    docs = docs_of([(1, one), (1, two), (2, one), (3, two + " z"), (4, ""), (4, "")])
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True)]
+    assert sorted(r["text"] for r in one_of_each(docs).collect()) == ["", "", one, two]
+
+
+def test_one_edit_that_many_copies_share(docs_of):
+    """Each copy has the words ``hot pair`` in another place, and changes of its own."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(300):
+        own = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            own[rng.randrange(60)] = f"own{rng.randrange(200)}"
+        at = rng.randrange(50)
+        own[at : at + 2] = ["hot", "pair"]
+        rows.append((k, " ".join(own)))
+    got = near_duplicates(docs_of(rows), words=2).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute(rows, 2)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, 100 + k) for k in range(1, 200)] + [(7, 7)]
     random.Random(1).shuffle(links)

@@ -20,11 +20,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from tillroll.llm.common import extend, fresh, mix, shingles, text_bytes, word_hashes
+from tillroll.llm.common import SPACES, extend, fresh, mix, shingles, text_bytes, word_hashes
 from tillroll.session import materialize
 
 BANDS, ROWS = 32, 4
@@ -49,7 +49,7 @@ def _minima(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, hashes: int) -> DataFrame:
-    """doc_id, n_shingles, two digest halves (d1, d2), and the signature (null for no words)."""
+    """doc_id, print, n_shingles, two digest halves (d1, d2), and the signature (null for no words)."""
 
     def compute(batch: pa.RecordBatch) -> list:
         a, b = _universal(hashes)
@@ -62,8 +62,8 @@ def signatures(docs: DataFrame, words: int, hashes: int) -> DataFrame:
             signed.append(_minima(found, a, b).tobytes() if len(found) else None)
         return [sizes, first, second, signed]
 
-    return extend(docs.select("doc_id", "text"), "n_shingles long, d1 long, d2 long, sig binary",
-                  compute, keep=["doc_id"])
+    return extend(docs.select("doc_id", "text", "print"), "n_shingles long, d1 long, d2 long, sig binary",
+                  compute, keep=["doc_id", "print"])
 
 
 def _buckets(reps: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -138,9 +138,11 @@ def _candidates_by_difference(pairs: DataFrame, texts: DataFrame, words: int, pe
     and y has |D(x)| + |D(y)| - 2 |D(x) & D(y)| elements, and x and y are linked if that is at most
     r (|x| + |y|), r = (100 - percent) / (100 + percent).  For an astray x, |D(x)| > r (|x| + |c|), so a
     linked y shares more than (|D(y)| + r (|c| - |y|)) / 2 elements of its D with it.  By the prefix
-    principle one of them is among the first of D(y) in any fixed order; elements outside
-    c come first, as each of those is in few texts.  So no link is lost, and copies of a hub that
-    differ from each other are never paired although they share a bucket.
+    principle one of them is among the first of D(y) in any fixed order.  The order is by the number of
+    the hub's members that have the element in their D, rarest first.  Elements of one member alone take
+    the first places and meet nobody; one that many members add or lack comes last and falls
+    out of the prefixes.  So no link is lost, and copies of a hub that differ from each other, or
+    share an edit, are not paired all with all although they share a bucket.
     """
     r = (100 - percent) / (100 + percent)
 
@@ -168,15 +170,25 @@ def _candidates_by_difference(pairs: DataFrame, texts: DataFrame, words: int, pe
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "component", "astray", "ta", "tb")
     told = materialize(extend(both, "size int, d array<long>, as_member int, as_astray int", compute,
                               keep=["a", "b", "component", "astray"]), "differences")
+    each = told.select("a", "b", "component", "astray", "size", "as_member", "as_astray", F.size("d").alias("n_d"),
+                       F.explode("d").alias("e"))
+    several = each.groupBy("a", "e").agg(F.count("*").alias("members")).filter("members > 1")
+    held = each.join(several, ["a", "e"])
+    member = Window.partitionBy("a", "b")
+    # elements of this member alone stand before its first shared one
+    place = F.col("n_d") - F.count("*").over(member) + F.row_number().over(member.orderBy("members", "e")) - 1
+    placed = held.withColumn("place", place).filter(F.col("place") < F.greatest(
+        F.col("as_member"), F.when(F.col("astray"), F.col("as_astray")).otherwise(0)))
+    placed = materialize(placed.drop("members"), "prefixes")
 
     def spread(part: str, rows: DataFrame, first: str) -> DataFrame:
-        own = [F.col("b").alias(part), F.col("component").alias(f"c{part}"), F.col("size").alias(f"n{part}"),
-               F.size("d").alias(f"d{part}")]
-        prefix = F.slice("d", 1, F.greatest(F.col(first), F.lit(0)))
-        return rows.select(F.col("a").alias(f"a{part}"), *own, F.posexplode(prefix).alias(f"p{part}", f"e{part}"))
+        return rows.filter(F.col("place") < F.col(first)).select(
+            F.col("a").alias(f"a{part}"), F.col("b").alias(part), F.col("component").alias(f"c{part}"),
+            F.col("size").alias(f"n{part}"), F.col("n_d").alias(f"d{part}"), F.col("place").alias(f"p{part}"),
+            F.col("e").alias(f"e{part}"))
 
-    x = spread("x", told.filter("astray"), "as_astray")
-    y = spread("y", told, "as_member")
+    x = spread("x", placed.filter("astray"), "as_astray")
+    y = spread("y", placed, "as_member")
     # what the two can still share from here on must reach what they have to share
     left = F.least(F.col("dx") - F.col("px"), F.col("dy") - F.col("py"))
     enough = 2 * left * (100 + percent) >= (F.col("dx") + F.col("dy")) * (100 + percent) - (
@@ -228,25 +240,25 @@ def components(links: DataFrame) -> DataFrame:
         last = now
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept (the smallest doc_id of its component) per row of ``docs``.
+def _text_digest(docs: DataFrame) -> Column:
+    """64 bits that tell apart the texts of rows with one doc_id."""
+    return F.xxhash64(docs["text"].cast("string"))
 
-    Sets of ``words``-word shingles over ``[^\\x20\\x09-\\x0D]+`` words, A-Z lower-cased; a pair is
-    linked if 100 * intersection >= percent * union.  A text with fewer words is one shingle; a
-    null or empty one has none and is linked with nothing.  A null doc_id is linked with
-    nothing, its component is null and it is kept.  Rows that repeat a doc_id are judged by
-    their own texts.  Further columns are ignored.
+
+def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, print (of the text), n_shingles, component (null without shingles or doc_id), component_id.
+
+    A node is a set of shingles, numbered when the sets are written; documents come in again at the end.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       _text_digest(docs).alias("print"))
     hashes = bands * rows
     sets = materialize(signatures(base, words, hashes), "sets")
     digest = ["n_shingles", "d1", "d2"]
     # equal sets have equal signatures, so any one serves
-    reps = materialize(
-        sets.filter("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(
-            F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "representatives")
+    classes = sets.filter("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(
+        F.min(F.struct("doc_id", "print")).alias("lead"), F.first("sig").alias("sig"))
+    reps = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "representatives")
 
     cells = _buckets(reps, bands, rows)
     sizes = cells.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
@@ -257,9 +269,10 @@ def near_duplicates(
     central = central.select("bucket", (-F.col("best.less")).alias("a"))
     members = shared.select("bucket", F.col("node").alias("b")).join(central, "bucket").filter("a <> b")
     members = materialize(members.select("a", "b").distinct(), "members")
+    asked = reps.join(shared.select("node").distinct(), "node", "left_semi")
+    asked = asked.select("node", F.col("lead.doc_id").alias("doc_id"), F.col("lead.print").alias("print"))
     texts = materialize(
-        base.filter("doc_id is not null").withColumnRenamed("doc_id", "node")
-        .join(shared.select("node").distinct(), "node", "left_semi"), "candidates")
+        base.join(asked, ["doc_id", "print"]).groupBy("node").agg(F.first("text").alias("text")), "candidates")
     links = materialize(
         _confirmed(_alike(members, reps, percent, hashes), texts, words, percent), "star-links")
 
@@ -277,24 +290,49 @@ def near_duplicates(
     more = _confirmed(rest, texts, words, percent)
     group = components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more))
 
-    # no shingles, no component but the document itself
-    placed = sets.join(reps.select(*digest, "node"), digest, "left").join(group, "node", "left")
-    mine = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "node", "doc_id"))
-    return placed.select(
-        "doc_id", "n_shingles", mine.alias("component_id"),
-        F.coalesce(F.col("doc_id") == mine, F.lit(True)).alias("kept"))
+    whole = reps.select(*digest, "node", "lead.doc_id").join(group, "node", "left").select(
+        *digest, F.col("doc_id").alias("first"), F.coalesce("component", "node").alias("component"))
+    named = whole.groupBy("component").agg(F.min("first").alias("component_id"))
+    return sets.drop("sig").join(whole.drop("first").join(named, "component"), digest, "left").select(
+        "doc_id", "print", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept (the smallest doc_id of its component) per row of ``docs``.
+
+    Sets of ``words``-word shingles over ``[^\\x20\\x09-\\x0D]+`` words, A-Z lower-cased; a pair is
+    linked if 100 * intersection >= percent * union.  A text with fewer words is one shingle; a
+    null or empty one has none and is linked with nothing.  A null doc_id is linked with
+    nothing, its component is null and it is kept.  Rows that repeat a doc_id are judged by
+    their own texts and may be in different components.  Further columns are ignored.
+    """
+    found = _grouped(docs, words, percent, bands, rows)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component; a null doc_id stays.
+def one_of_each(
+    docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component; the same columns.
 
-    The row of the component's smallest doc_id stays; of rows that repeat that doc_id the one
-    with the least text.  Columns are those of ``docs``.
+    The row of the component's smallest doc_id stays; of several such rows one, by its text and its plain
+    columns.  Rows whose texts are not linked stay even if they share a doc_id.  So do rows
+    without a doc_id and rows without a word.
     """
-    kept = near_duplicates(docs, **settings).filter("kept and doc_id is not null").select("doc_id").distinct()
-    turn = fresh(docs, "turn")
+    found = _grouped(docs, words, percent, bands, rows).filter("component is not null")
+    best = found.groupBy("component").agg(F.min(F.struct("doc_id", "print")).alias("best"))
+    best = best.select("component", F.col("best.doc_id").alias("best_doc"), F.col("best.print").alias("best_print"))
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    alone = docs["doc_id"].isNull() | (F.btrim(text, F.lit(SPACES.decode())) == "")
     plain = [f.name for f in docs.schema if f.name not in ("doc_id", "text") and isinstance(f.dataType, AtomicType)]
-    order = Window.partitionBy("doc_id").orderBy("text", *plain)
-    chosen = docs.join(kept, "doc_id", "left_semi").withColumn(turn, F.row_number().over(order))
-    chosen = chosen.filter(F.col(turn) == 1).select(*docs.columns)
-    return chosen.unionByName(docs.filter(F.col("doc_id").isNull()))
+    marks = [fresh(docs, c) for c in ("print", "group", "turn")]
+    named = best.toDF(marks[1], "best_doc", "best_print")
+    said = docs.filter(~alone).withColumn(marks[0], _text_digest(docs))
+    same = (said["doc_id"].cast("long") == named["best_doc"]) & (said[marks[0]] == named["best_print"])
+    order = Window.partitionBy(marks[1]).orderBy("text", *plain)
+    chosen = said.join(named, same).withColumn(marks[2], F.row_number().over(order)).filter(F.col(marks[2]) == 1)
+    return chosen.select(*[said[c] for c in docs.columns]).unionByName(docs.filter(alone))
