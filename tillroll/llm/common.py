@@ -153,6 +153,12 @@ def sampled(df: DataFrame, key: str, rows: int, seed: int = 7) -> DataFrame:
     return known.filter(F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 24) < share)
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per ``key``: the least by its other columns, in their order; repeated keys are combined in the tasks."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_least")).select(key, "_least.*")
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 

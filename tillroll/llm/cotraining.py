@@ -7,11 +7,12 @@ it is surest of, and the *other* view learns them.  Finally each view is calibra
 documents that it has not learnt from, and a third logistic model joins the calibrated views.
 
 Only the labelled rows are a sample: about ``LABELLED`` of them (all, if there are fewer),
-chosen by a hash of doc_id.  All unlabelled documents take part in the exchange.  Their views are
-staged once, as halves of 16 bits.  In each round one pass counts their scores in ``BINS`` bins, which give
+chosen by a hash of doc_id, one row each.  All documents outside the sample take part in the exchange.
+Their views are staged once, as halves of 16 bits, by the tasks that read them: the sampled ids are
+few and are sent to all of them, so nothing is shuffled.  In each round one pass counts their scores in ``BINS`` bins, which give
 the thresholds of the surest ones, and ``REFINE`` passes sum up the slopes of the loss over the
-pseudo-labels.  The driver corrects the fit on the labelled rows by these sums, so it holds no
-unlabelled document.  Every document is then scored in one pass without a shuffle.  The model is
+pseudo-labels.  Tasks add up their sums in ``BRANCHES`` heaps, so what reaches the driver does not grow with
+them.  The driver corrects the fit on the labelled rows by these sums, so it holds no unlabelled document.  Every document is then scored in one pass without a shuffle.  The model is
 about 10 kB.
 """
 
@@ -22,16 +23,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import extend, fresh, sampled, sigmoid
+from tillroll.llm.common import extend, fresh, one_per_key, sampled, sigmoid
 from tillroll.session import materialize, scratch_scope
 
 LABELLED = 4_000
 ROUNDS, SHARE = 4, 0.1         # per round each view hands over the surest tenth of the unlabelled documents
 REFINE, STEPS = 3, 40          # per round: passes over the pseudo-labels, and driver's steps after each
 PSEUDO = 0.5                   # weight of a pseudo-label; more than LABELLED documents share what so many have
+BRANCHES = 64                  # heaps in which the sums of tasks are added up before the driver gets them
 BINS, FAR = 4_096, 32.0        # of raw scores from -FAR to FAR; a threshold is the edge of a bin
 SURE = 0.95                    # and only where it is at least this sure
 KEEP_AT = 0.5                  # of the probability of good quality
@@ -295,22 +298,36 @@ def _read(found: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _total(staged: DataFrame) -> Total:
-    """Sums over all staged documents; a task sends one vector, the driver adds them in the tasks' order."""
+    """Sums over all staged documents: by task, then by heap of tasks, then on the driver; always in one order."""
     def run(f: Callable, history: list, weights: list) -> np.ndarray:
         sent = staged.sparkSession.sparkContext.broadcast((history, weights))
 
         def compute(batches):
             sums = None
             for batch in batches:
-                for at in range(0, batch.num_rows, 2048):
-                    found = f(_read(batch.column(0).slice(at, 2048).to_pylist()), *sent.value).ravel().astype(np.float64)
+                for at in range(0, batch.num_rows, 1024):
+                    found = f(_read(batch.column(0).slice(at, 1024).to_pylist()), *sent.value).ravel().astype(np.float64)
                     sums = found if sums is None else sums + found
             if sums is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+                task = TaskContext.get().partitionId()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([task % BRANCHES], pa.int32()), pa.array([task], pa.int32()),
+                     pa.array([sums.tobytes()], pa.binary())], names=["heap", "task", "sums"])
 
-        rows = staged.select("views").mapInArrow(compute, "sums binary").collect()
+        def add_up(batches):
+            heaps: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for heap, value in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                    found = np.frombuffer(value, np.float64)
+                    heaps[heap] = heaps[heap] + found if heap in heaps else found
+            for heap, sums in heaps.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([heap], pa.int32()), pa.array([sums.tobytes()], pa.binary())], names=["heap", "sums"])
+
+        tasks = staged.select("views").mapInArrow(compute, "heap int, task int, sums binary")
+        heaps = tasks.repartition("heap").sortWithinPartitions("heap", "task").mapInArrow(add_up, "heap int, sums binary")
         out = f(_read([]), history, weights).ravel().astype(np.float64)
-        for r in rows:
+        for r in sorted(heaps.collect(), key=lambda r: r["heap"]):
             out += np.frombuffer(r["sums"], np.float64)
         sent.destroy()
         return out
@@ -319,17 +336,22 @@ def _total(staged: DataFrame) -> Total:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from ``labels`` (doc_id, quality 0/1; nulls are left out) and all unlabelled documents."""
+    """A model from ``labels`` (doc_id, quality 0/1; nulls are left out) and all documents outside the sample.
+
+    Of rows that repeat a sampled doc_id the least is fitted on; the others are left out of the exchange too.
+    """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("string").alias(c) for c in INPUTS])
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = _staged(base.join(sampled(known, "doc_id", LABELLED), "doc_id"), ["doc_id", "quality"]).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    wide, flat = _read([r["views"] for r in rows])
-    y = np.array([r["quality"] for r in rows], int)
     with scratch_scope(docs.sparkSession):
-        rest = _staged(base, ["doc_id"]).join(known.select("doc_id"), "doc_id", "left_anti")
-        staged = materialize(rest.select("views"), "views")
+        chosen = materialize(sampled(known, "doc_id", LABELLED).coalesce(1), "sample")     # about LABELLED ids
+        rows = one_per_key(base.join(F.broadcast(chosen), "doc_id"), "doc_id")
+        rows = _staged(rows, ["doc_id", "quality"]).collect()
+        rows.sort(key=lambda r: r["doc_id"])
+        wide, flat = _read([r["views"] for r in rows])
+        y = np.array([r["quality"] for r in rows], int)
+        rest = base.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
+        staged = materialize(_staged(rest, []), "views")
         return cotrain(wide, flat, y, staged.count(), _total(staged))
 
 
