@@ -77,7 +77,7 @@ def test_equals_brute_force(spark, tokenizers):
 def test_given_documents(spark, tokenizers, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("n_chars < 3000").limit(60).select("doc_id", "text")
     rows = docs.collect()
-    docs = spark.createDataFrame(rows, docs.schema)
+    docs = spark.createDataFrame([tuple(r) for r in rows], docs.schema)
     got = {r.doc_id: tuple(r)[1:] for r in T.alignment(docs).collect()}
     want = brute_force(tokenizers, [r.text for r in rows])
     assert got == {r.doc_id: w for r, w in zip(rows, want, strict=True)}
@@ -85,17 +85,24 @@ def test_given_documents(spark, tokenizers, sf):
 
 def test_units_and_pieces_change_nothing(tokenizers, monkeypatch):
     text = " ".join(f"word{k} it's\n  {k}  Straße" for k in range(400))
-    whole = T.Aligner(tokenizers).align(text)
+    whole = T.Aligner(tokenizers).align([text])[0]
     monkeypatch.setattr(T, "PIECE", 100)
     monkeypatch.setattr(T, "CACHED_UNITS", 20)
-    pieces = T.Aligner(tokenizers).align(text)
+    pieces = T.Aligner(tokenizers).align([text])[0]
     monkeypatch.setattr(tokenizers, "cuttable", False)
-    uncut = T.Aligner(tokenizers).align(text)
+    uncut = T.Aligner(tokenizers).align([text])[0]
     for other in (pieces, uncut):
         assert other[:4] == whole[:4]
         assert np.array_equal(other[4], whole[4]) and np.array_equal(other[5], whole[5])
 
 
+def test_texts_that_share_units(tokenizers):
+    texts = ["", None, "one two", "two one", "x" * 9, "bad \u2581 one", "one"]
+    got = T.Aligner(tokenizers).align(texts)
+    assert [g[:4] for g in got] == [T.Aligner(tokenizers).align([t])[0][:4] for t in texts]
+    assert got[5][:4] == (0, 0, 0, "") and got[6][0] == 1
+
+
 def test_long_chain_is_one_group():
     ends_a = np.array([*range(2, 200_000, 2), 200_001])
     ends_b = np.array([*range(1, 200_000, 2), 200_001])

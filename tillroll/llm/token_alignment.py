@@ -19,8 +19,10 @@ join that is a broadcast only while they are small.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,7 +37,7 @@ FOLDER = "/opt/tokenizers"
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 UNIT_END = re.compile(r"(?<=\S) (?=\S)")
 PIECE = 1 << 19               # characters that are aligned at a time
-CACHED_UNITS, CACHED_CHARS = 150_000, 3 << 20
+CACHED_UNITS, CACHED_CHARS = 250_000, 4 << 20
 
 
 def jump(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,15 +85,16 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=file_b)
         byte = _byte_alphabet()
-        self.bytes_a: dict[int, bytes] = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
+        found = self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(found.values()) + 1)
+        for token, i in found.items():
             known = all(c in byte for c in token)
             self.bytes_a[i] = bytes(byte[c] for c in token) if known else token.encode()
         self.bytes_b = [
             bytes([int(self.b.id_to_piece(i)[1:-1], 16)]) if self.b.is_byte(i)
             else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
         crossing = re.compile(rb"[^\s] ")
-        vocabulary = [b for b in (*self.bytes_a.values(), *self.bytes_b) if b" " in b]
+        vocabulary = [b for b in (*self.bytes_a, *self.bytes_b) if b" " in b]
         # NBSP is white space to the pattern, and a text is not cut next to white space
         self.cuttable = not any(crossing.search(b.replace(b"\xc2\xa0", b" ")) for b in vocabulary)
 
@@ -103,7 +106,48 @@ class Tokenizers:
 
 def vocabulary_sizes(file_a: str, file_b: str) -> tuple[int, int]:
     found = loaded(file_a, file_b).tokenizers
-    return max(found.bytes_a) + 1, len(found.bytes_b)
+    return len(found.bytes_a), len(found.bytes_b)
+
+
+class _Side:
+    """Lengths of one tokenizer's ids, and their decimals with what follows inside and at the end of a group."""
+
+    def __init__(self, known: list[bytes], last: str):
+        self.known = known
+        self.sizes = np.array([len(b) for b in known], np.int64)
+        self.inside = np.array([f"{i}," for i in range(len(known))], object)
+        self.last = np.array([f"{i}{last}" for i in range(len(known))], object)
+
+    def holds(self, ids: list[list[int]], flat: np.ndarray, units: list[bytes]) -> np.ndarray:
+        """Do the tokens of each unit give back its bytes, none of them empty?"""
+        sizes = self.sizes[flat]
+        total = np.bincount(np.repeat(np.arange(len(ids)), [len(i) for i in ids]), sizes, len(ids))
+        if sizes.all() and np.array_equal(total, [len(u) for u in units]) \
+                and b"".join(map(self.known.__getitem__, flat.tolist())) == b"".join(units):
+            return np.ones(len(ids), bool)
+        return np.array([
+            b"".join(map(self.known.__getitem__, i)) == u and all(self.known[k] for k in i)
+            for i, u in zip(ids, units, strict=True)], bool)
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+
+
+class _Growing:
+    """An array that is appended to in place, twice as large whenever it is full."""
+
+    def __init__(self, *shape: int):
+        self.room, self.n = np.zeros((1024, *shape), np.int64), 0
+
+    def append(self, rows: np.ndarray) -> None:
+        need = self.n + len(rows)
+        if need > len(self.room):
+            larger = np.zeros((max(need, 2 * len(self.room)), *self.room.shape[1:]), np.int64)
+            larger[: self.n] = self.room[: self.n]
+            self.room = larger
+        self.room[self.n : need] = rows
+        self.n = need
 
 
 class Aligner:
@@ -112,102 +156,146 @@ class Aligner:
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
         self.width = len(tokenizers.bytes_b)
+        self.side_a, self.side_b = _Side(tokenizers.bytes_a, "|"), _Side(tokenizers.bytes_b, ";")
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.chars = 0
-        self.spelled: list[str] = []                        # "a1,a2|b1;a3|b2" of each unit
-        self.sizes = np.zeros((0, 4), np.int64)             # tokens A and B, groups, does it hold
-        self.starts = np.zeros(1, np.int64)                 # where a unit's pairs begin
-        self.pairs = np.zeros(0, np.int64)
-
-    def _add(self, units: list[str]) -> None:
-        """Align new units, all at once: their bytes stand one behind the other."""
-        bytes_a, bytes_b = self.tokenizers.bytes_a, self.tokenizers.bytes_b
-        ids_a, ids_b, sizes_a, sizes_b, counts, holds = [], [], [], [], [], []
-        for unit, a, b in zip(units, *self.tokenizers.encode(units), strict=True):
-            self.index[unit] = len(self.index)
-            self.chars += len(unit)
-            raw_a, raw_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-            whole = b" " + unit.encode()
-            if b"".join(raw_a) == whole == b"".join(raw_b) and all(raw_a) and all(raw_b):
-                ids_a += a
-                ids_b += b
-                sizes_a += map(len, raw_a)
-                sizes_b += map(len, raw_b)
-                counts.append((len(a), len(b)))
-            holds.append(len(counts))
-        of_a, of_b = jump(np.cumsum(sizes_a, dtype=np.int64), np.cumsum(sizes_b, dtype=np.int64))
+        self.spelled: list[str] = []                        # "a1,a2|b1;a3|b2;" of each unit
+        self.sizes = _Growing(6)                            # tokens A, B, groups, does it hold, first pair, pairs
+        self.pairs = _Growing()
+
+    def add(self, units: Iterable[str]) -> None:
+        """Align the units that are not known yet, all at once: their bytes stand one behind the other."""
+        new = [u for u in dict.fromkeys(units) if u not in self.index]
+        if not new:
+            return
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.chars += sum(map(len, new))
+        ids_a, ids_b = self.tokenizers.encode(new)
+        raw = [b" " + u.encode() for u in new]
+        flat_a, flat_b = _flat(ids_a), _flat(ids_b)
+        holds = self.side_a.holds(ids_a, flat_a, raw) & self.side_b.holds(ids_b, flat_b, raw)
+        if not holds.all():
+            flat_a = _flat([i for i, h in zip(ids_a, holds) if h])
+            flat_b = _flat([i for i, h in zip(ids_b, holds) if h])
+        ends_a, ends_b = np.cumsum(self.side_a.sizes[flat_a]), np.cumsum(self.side_b.sizes[flat_b])
+        of_a, of_b = jump(ends_a, ends_b)
         labels = np.unique(of_b)                            # terminal tokens, in the order of the text
-        cut_a = np.searchsorted(of_a, labels, side="right").tolist()
-        cut_b = np.searchsorted(of_b, labels, side="right").tolist()
-        groups, at_a, at_b = [], 0, 0
-        for to_a, to_b in zip(cut_a, cut_b, strict=True):
-            groups.append(",".join(map(str, ids_a[at_a:to_a])) + "|" + ",".join(map(str, ids_b[at_b:to_b])))
-            at_a, at_b = to_a, to_b
-        x, y = overlaps(np.cumsum(sizes_a, dtype=np.int64), np.cumsum(sizes_b, dtype=np.int64))
-        self.pairs = np.concatenate([
-            self.pairs, np.asarray(ids_a, np.int64)[x] * self.width + np.asarray(ids_b, np.int64)[y]])
+        cut_a, cut_b = np.searchsorted(of_a, labels, side="right"), np.searchsorted(of_b, labels, side="right")
+        x, y = overlaps(ends_a, ends_b)
+
+        # a group's A tokens, then its B tokens
+        group_a, group_b = np.searchsorted(labels, of_a), np.searchsorted(labels, of_b)
+        told = np.empty(len(flat_a) + len(flat_b), object)
+        first_b = np.concatenate([[0], cut_b])
+        for side, flat, at, cut in ((self.side_a, flat_a, np.arange(len(flat_a)) + first_b[group_a], cut_a),
+                                    (self.side_b, flat_b, np.arange(len(flat_b)) + cut_a[group_b], cut_b)):
+            told[at] = side.inside[flat]
+            told[at[cut - 1]] = side.last[flat[cut - 1]]
+
         # each unit ends with a group and with a link
-        tokens = np.asarray(counts, np.int64).reshape(-1, 2)
-        ends = np.cumsum(tokens, axis=0)
-        last_group = np.searchsorted(cut_a, ends[:, 0], side="left") + 1
-        last_link = np.searchsorted(x, ends[:, 0] - 1, side="right")
-        n_groups, n_links = np.diff(last_group, prepend=0), np.diff(last_link, prepend=0)
-        sizes, told, at = np.zeros((len(units), 5), np.int64), last_group.tolist(), 0
-        for k, upto in enumerate(holds):
-            if upto > at:
-                self.spelled.append(";".join(groups[told[at - 1] if at else 0 : told[at]]))
-                sizes[k] = (*tokens[at], n_groups[at], 1, n_links[at])
-                at = upto
-            else:
-                self.spelled.append("")
-        self.sizes = np.concatenate([self.sizes, sizes[:, :4]])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 4])])
-
-    def _linked(self, units: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.zeros((len(new), 6), np.int64)
+        sizes[:, 0], sizes[:, 1] = [len(i) for i in ids_a], [len(i) for i in ids_b]
+        sizes[~holds, :2] = 0
+        to_a, to_b = np.cumsum(sizes[:, 0]), np.cumsum(sizes[:, 1])
+        sizes[:, 2] = np.diff(np.searchsorted(cut_a, to_a, side="right"), prepend=0)
+        sizes[:, 3] = holds
+        links = np.searchsorted(x, to_a - 1, side="right")
+        sizes[:, 5] = np.diff(links, prepend=0)
+        sizes[:, 4] = self.pairs.n + links - sizes[:, 5]
+        parts, at = told.tolist(), 0
+        for end in (to_a + to_b).tolist():
+            self.spelled.append("".join(parts[at:end]))
+            at = end
+        self.sizes.append(sizes)
+        self.pairs.append(flat_a[x] * self.width + flat_b[y])
+
+    def _linked(self, sizes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of the given units, and how often each stands there."""
-        first, last = self.starts[units], self.starts[units + 1]
-        lengths = last - first
-        at = np.repeat(first - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        pairs, place = np.unique(self.pairs[at], return_inverse=True)
-        return pairs, np.bincount(place, np.repeat(times, lengths), len(pairs)).astype(np.int64)
-
-    def _pieces(self, text: str):
-        """A long text in pieces that end where a unit does, so memory does not follow its length."""
+        first, lengths = sizes[:, 4], sizes[:, 5]
+        at = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        pairs = self.pairs.room[at]
+        order = np.argsort(pairs)
+        pairs, times = pairs[order], np.repeat(times, lengths)[order]
+        starts = np.flatnonzero(np.diff(pairs, prepend=-1))
+        return pairs[starts], np.add.reduceat(times, starts)
+
+    def _units(self, text: str) -> Iterator[list[str]]:
+        """The units of a text; a long one in pieces that end where a unit does, so memory does not follow its length."""
+        if not self.tokenizers.cuttable:
+            yield [text]
+            return
         at = 0
         while at < len(text):
-            end = at + PIECE
-            found = UNIT_END.search(text, end) if end < len(text) and self.tokenizers.cuttable else None
-            yield text[at : found.start() if found else len(text)]
-            at = found.end() if found else len(text)
-
-    def align(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray] | None:
-        """Tokens A and B, groups, digest of the groups, distinct id pairs, how often; None without tokens."""
-        if not text:
-            return None
-        total, digest, found = np.zeros(3, np.int64), hashlib.sha256(), []
-        for k, piece in enumerate(self._pieces(text)):
-            if len(self.spelled) > CACHED_UNITS or self.chars > CACHED_CHARS:
-                self.forget()
-            units = UNIT_END.split(piece) if self.tokenizers.cuttable else [piece]
-            new = [u for u in dict.fromkeys(units) if u not in self.index]
-            if new:
-                self._add(new)
-            places = [self.index[u] for u in units]
-            used, times = np.unique(np.asarray(places), return_counts=True)
-            sizes = self.sizes[used]
+            found = UNIT_END.search(text, at + PIECE) if at + PIECE < len(text) else None
+            end = found.start() if found else len(text)
+            yield UNIT_END.split(text[at:end] if at or found else text)
+            at = end + 1
+
+    def align(self, texts: list[str | None]) -> list[tuple]:
+        """Per text: tokens A and B, groups, digest of the groups, distinct id pairs, how often each."""
+        out, short, chars = [], [], 0
+        for text in texts:
+            if text and len(text) > PIECE:
+                out += self._short(short)
+                short, chars = [], 0
+                out.append(self._long(text))
+                continue
+            short.append(text)
+            chars += len(text or "")
+            if chars > PIECE:
+                out += self._short(short)
+                short, chars = [], 0
+        return out + self._short(short)
+
+    def _room(self) -> None:
+        if len(self.spelled) > CACHED_UNITS or self.chars > CACHED_CHARS:
+            self.forget()
+
+    def _short(self, texts: list[str | None]) -> list[tuple]:
+        """Texts whose new units are aligned together."""
+        self._room()
+        units = [next(self._units(t)) if t else [] for t in texts]
+        self.add(itertools.chain.from_iterable(units))
+        out = []
+        for own in units:
+            places, (used, sizes, times) = self._found(own)
+            if not own or not sizes[:, 3].all():
+                out.append(NOTHING)
+                continue
+            spelled = "".join(map(self.spelled.__getitem__, places))
+            counts = times @ sizes[:, :3]
+            out.append((*counts.tolist(), hashlib.sha256(spelled[:-1].encode()).hexdigest(),
+                        *self._linked(sizes, times)))
+        return out
+
+    def _found(self, units: list[str]) -> tuple:
+        places = [self.index[u] for u in units]
+        used, times = np.unique(np.asarray(places, np.int64), return_counts=True)
+        return places, (used, self.sizes.room[used], times)
+
+    def _long(self, text: str) -> tuple:
+        """A text piece by piece."""
+        total, digest, links, last = np.zeros(3, np.int64), hashlib.sha256(), [], ""
+        for units in self._units(text):
+            self._room()
+            self.add(units)
+            places, (used, sizes, times) = self._found(units)
             if not sizes[:, 3].all():
-                return None
-            total += (sizes[:, :3] * times[:, None]).sum(axis=0)
-            digest.update((";" * (k > 0) + ";".join([self.spelled[p] for p in places])).encode())
-            found.append(self._linked(used, times))
-        pairs, counts = found[0]
-        if len(found) > 1:
-            pairs, place = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([f[1] for f in found])).astype(np.int64)
-        return (*total.tolist(), digest.hexdigest(), pairs, counts)
+                return NOTHING
+            total += times @ sizes[:, :3]
+            spelled = last + "".join(map(self.spelled.__getitem__, places))
+            digest.update(spelled[:-1].encode())
+            last = spelled[-1]
+            links.append(self._linked(sizes, times))
+        pairs, place = np.unique(np.concatenate([f[0] for f in links]), return_inverse=True)
+        times = np.bincount(place, np.concatenate([f[1] for f in links])).astype(np.int64)
+        return (*total.tolist(), digest.hexdigest(), pairs, times)
+
+
+NOTHING = (0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 @lru_cache(maxsize=1)
@@ -233,10 +321,7 @@ def aligned(docs: DataFrame, keep: list[str], folder: str = FOLDER) -> DataFrame
     kind = "int" if many * few < 2**31 else "long"
 
     def compute(batch: pa.RecordBatch) -> list:
-        aligner, none = loaded(*files), np.zeros(0, np.int64)
-        rows = []
-        for value in batch.column(batch.num_columns - 1):
-            rows.append(aligner.align(value.as_py()) or (0, 0, 0, "", none, none))
+        rows = loaded(*files).align(batch.column(batch.num_columns - 1).to_pylist())
         a, b, groups, digests, pairs, times = map(list, zip(*rows)) if rows else ([],) * 6
         arrow = pa.int32() if kind == "int" else pa.int64()
         return [a, b, groups, digests, _lists(pairs, arrow), _lists(times, pa.int32())]
