@@ -352,11 +352,12 @@ def alignment(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
     found = materialize(
         aligned(rows, ["doc_id"], folder).withColumn("row", F.monotonically_increasing_id()), "aligned")
     counts = materialize(pair_counts(found, n_b), "pair-counts")
-    links = found.select("row", *own, F.explode_outer(F.arrays_zip("pairs", "times")).alias("link"))
-    links = links.select("row", *own, F.col("link.pairs").alias("pair"), F.col("link.times").cast("long").alias("times"))
-    met = links.join(counts, "pair", "left")
-    return met.groupBy("row", *own).agg(
-        F.coalesce(F.sum("times"), F.lit(0)).alias("n_links"),
-        F.coalesce(F.sum(F.when(F.col("best"), F.col("times"))), F.lit(0)).alias("n_best"),
-        F.coalesce(F.sum(F.col("times") * F.col("n")), F.lit(0)).alias("count_sum"),
-    ).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    # only numbers travel with a link; what else a row has comes in again at the end
+    links = found.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("link"))
+    links = links.select("row", F.col("link.pairs").alias("pair"), F.col("link.times").alias("times"))
+    times = F.col("times").cast("long")
+    sums = links.join(counts, "pair").groupBy("row").agg(
+        F.sum(times).alias("n_links"), F.sum(F.when(F.col("best"), times).otherwise(0)).alias("n_best"),
+        F.sum(times * F.col("n")).alias("count_sum"))
+    told = found.select("row", *own).join(sums, "row", "left").fillna(0, ["n_links", "n_best", "count_sum"])
+    return told.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
