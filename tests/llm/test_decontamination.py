@@ -62,7 +62,7 @@ def test_blocks_give_the_same_result(docs_of, spark, monkeypatch):
     docs = docs_of(rows)
     one = sorted(map(tuple, D.with_leaks(docs, bench, keep=["doc_id"]).collect()))
     monkeypatch.setattr(D, "BLOCK_WORDS", 200)
-    assert len(D.benchmark_blocks(bench)) > 2
+    assert len(list(D.benchmark_blocks(bench))) > 2
     assert sorted(map(tuple, D.with_leaks(docs, bench, keep=["doc_id"]).collect())) == one
 
 
@@ -76,6 +76,45 @@ def test_edge_cases(docs_of, spark):
     docs = docs_of(rows, **clash)
     kept = D.without_leaks(docs, bench)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 5]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5]
+    found = {r["doc_id"]: r["l"] for r in D.with_leaks(docs, bench, "l").filter("doc_id = 3").collect()}
+    assert tuple(found[3]) == (None, 1.0, [], True)
     assert D.without_leaks(docs, bench.limit(0)).count() == 7
     assert D.without_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_every_alignment_over_the_limit_is_found():
+    """Edited copies, common and rare words, against aligning every item with every whole document."""
+    rng = random.Random(4)
+    words = [f"c{k}" for k in range(12)] * 30 + [f"w{k}" for k in range(500)]
+    items = [[rng.choice(words) for _ in range(rng.randrange(4, 30))] for _ in range(25)]
+    docs = []
+    for n in range(300):
+        body = [rng.choice(words) for _ in range(rng.randrange(0, 60))]
+        own, every = list(items[n % 25]), 2 + n % 4
+        if n % 5 < 3:                                     # every second to fifth word replaced
+            own = [rng.choice(words) if k % every == every - 1 else w for k, w in enumerate(own)]
+        elif n % 5 == 3:                                  # dropped, at random
+            own = [w for w in own if rng.random() > 0.2]
+        else:                                             # added
+            own = [x for w in own for x in ([w, rng.choice(words)] if rng.random() < 0.3 else [w])]
+        at = rng.randrange(len(body) + 1)
+        docs.append(body[:at] + own + body[at:])
+    block = D.Block([(k, D.plain_words(" ".join(i))) for k, i in enumerate(items)])
+    hashed = [D.plain_words(" ".join(d)) for d in docs]
+    every = np.concatenate(hashed)
+    block.choose_seeds(np.array([(every == w).sum() for w in block.vocabulary.keys]), len(every), len(docs))
+    over = 0
+    for words in hashed:
+        want = [k for k, i in enumerate(block.words) if D.align(i, [words])[0] >= D.LEAST_SCORE * D.MATCH * len(i)]
+        over += len(want)
+        assert D._best(block, words)["items"] == want
+    assert over > 200
+
+
+def test_every_third_word_replaced_is_found(spark, docs_of):
+    item = [f"i{k}" for k in range(18)]
+    copy = ["x" if k % 3 == 2 else w for k, w in enumerate(item)]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: tuple(r["leak"])[::2] for r in D.with_leaks(docs_of([(1, " ".join(copy)), (2, "i0 i1 x y")]), bench).collect()}
+    assert got[1] == (7, [7]) and got[2][1] == []

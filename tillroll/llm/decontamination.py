@@ -6,13 +6,16 @@ are rare and serve as seeds.  That measure stays low for an item that has leaked
 of all documents, where a plain document count would call its runs common.
 
 A second pass joins the seeds to the n-grams of every document (a hash join whose build side is
-the seeds), and aligns each seeded item with the words around its seeds.  The benchmark is taken
-in blocks of a stated number of words, so what is sent to a task is bounded whatever its size,
-and every item is compared with every document.  No row of the corpus is shuffled.
+the seeds), and aligns each seeded item with the words around its seeds.  A rare run of three words
+is enough; pairs of neighbouring words count together, so that a copy in which every third word is
+replaced is found too.  The benchmark is taken in blocks of a stated number of words, counted and
+chosen one after the other, and every item is compared with every document.  No row of the corpus
+is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -24,6 +27,7 @@ from tillroll.llm.common import extend, fresh, grams, word_hashes
 
 SEED_WORDS = 3                # run of words that seeds an alignment
 CHANCE = 1e-3                 # a rarer run is expected in fewer than this many random documents
+PAIR_CHANCE = 1e-2            # the same for pairs of neighbours that seed together
 MATCH, MISMATCH, GAP = 2, -1, -2
 LEAST_SCORE = 0.5             # of the score of an exact copy
 BLOCK_WORDS = 2_000_000       # benchmark words sent to a task at once, about 100 MB
@@ -56,62 +60,108 @@ class _Lookup:
         return at[good], place[good]
 
 
+class _Seeds:
+    """Hashed runs of item words, and where in which items they stand."""
+
+    def __init__(self, key: np.ndarray, item: np.ndarray, at: np.ndarray):
+        order = np.argsort(key, kind="stable")
+        key, self.item, self.at = key[order], item[order], at[order]
+        self.lookup = _Lookup(np.unique(key))
+        self.first = np.searchsorted(key, self.lookup.keys)
+        self.last = np.searchsorted(key, self.lookup.keys, side="right")
+
+    def hits(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, where the item would start, place in the item) of each run of a document that is a seed."""
+        position, place = self.lookup.find(asked)
+        times = self.last[place] - self.first[place]
+        each = np.repeat(np.arange(len(position)), times)
+        row = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times) + self.first[place][each]
+        return self.item[row], position[each] - self.at[row], self.at[row]
+
+
+def needed_pairs(size: int) -> int:
+    """Neighbouring item words that any alignment with a score over the limit takes over as neighbours.
+
+    With M matches, m replaced, d dropped and i added words the score is 2M - m - 2d - 2i, at least
+    ``LEAST_SCORE`` * 2 * size, and M + m + d <= size.  Each edit breaks at most one pair of matches,
+    so at least M - 1 - m - d - i pairs are left, which is least with replaced words alone.
+    """
+    return int(np.ceil(size * (4 * LEAST_SCORE - 1) / 3 - 1 - 1e-9))
+
+
 class Block:
     """Items of one block with their seeds; sent to the tasks."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
+    def __init__(self, items: list[tuple[int | None, np.ndarray]]):
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
+        self.sizes = np.array([len(w) for _, w in items], np.int64)
         self.vocabulary = _Lookup(np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words])))
-        self.seeds = _Lookup(np.zeros(0, np.uint64))
+        self.widths: list[int] = []
 
     def choose_seeds(self, counts: np.ndarray, total: int, documents: int) -> None:
-        """Rare runs of each item; an item without any, or shorter than a run, gets its rarest."""
+        """Rare runs of each item, one of which is enough, and pairs of neighbours, which count together.
+
+        An item without a rare run, or shorter than a run, gets its rarest.  Of its pairs the common
+        ones are left out, but fewer than ``needed_pairs``: an alignment over the limit then still has
+        ``least`` of the others, so it is found however common the words are.
+        """
         share = np.maximum(counts, 1) / max(total, 1)
-        length = total / max(documents, 1)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        length = np.log(max(total / max(documents, 1), 1))
+        runs, pairs = [], []
+        self.least = np.ones(len(self.words), np.int64)
         for item, words in enumerate(self.words):
             width = min(SEED_WORDS, len(words))
             if not width:
                 continue
             p = np.log(share[np.searchsorted(self.vocabulary.keys, words)])
-            odds = sum(p[k : len(p) - width + 1 + k] for k in range(width)) + np.log(max(length, 1))
+            odds = sum(p[k : len(p) - width + 1 + k] for k in range(width)) + length
             pick = np.flatnonzero(odds <= max(np.log(CHANCE), np.sort(odds)[min(2, len(odds) - 1)]))
-            found.append((grams(words, width)[pick], np.full(len(pick), item), pick, np.full(len(pick), width)))
-        if not found:
-            return
-        key, item, at, width = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(key, kind="stable")
-        key, self.item, self.at = key[order], item[order], at[order]
-        self.widths = sorted(set(width.tolist()))
-        self.seeds = _Lookup(np.unique(key))
-        self.first = np.searchsorted(key, self.seeds.keys)
-        self.last = np.searchsorted(key, self.seeds.keys, side="right")
+            runs.append((grams(words, width)[pick], np.full(len(pick), item), pick, np.full(len(pick), width)))
+            need = needed_pairs(len(words))
+            if need < 1:
+                continue
+            odds = p[:-1] + p[1:] + length
+            by_odds = np.argsort(odds, kind="stable")
+            out = min(need - 1, int((odds > np.log(PAIR_CHANCE)).sum()))
+            pick = np.sort(by_odds[: len(odds) - out])
+            self.least[item] = need - out
+            pairs.append((grams(words, 2)[pick], np.full(len(pick), item), pick))
+        if runs:
+            *parts, width = (np.concatenate(x) for x in zip(*runs, strict=True))
+            self.runs, self.widths = _Seeds(*parts), sorted(set(width.tolist()))
+        self.pairs = _Seeds(*(np.concatenate(x) for x in zip(*pairs, strict=True))) if pairs else None
 
     def windows(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, start, end): the stretches of a document that its seeds point to.
 
-        A seed says where its item would start; starts that differ by less than half an item
+        A seed says where its item would start; starts that differ by at most half an item
         belong to one stretch, which reaches half an item (three words at least) beyond them.
+        No alignment over the limit wanders farther.  A stretch counts if it has a rare run or
+        ``least`` different pairs of the item.
         """
-        hits = []
-        for width in self.widths if len(self.seeds.keys) else []:
-            at, place = self.seeds.find(grams(words, width))
-            for position, p in zip(at.tolist(), place.tolist(), strict=True):
-                hits += [(int(self.item[k]), position - int(self.at[k]))
-                         for k in range(self.first[p], self.last[p])]
-        out: list[tuple[int, int, int]] = []
-        run: tuple[int, int, int] | None = None
-        for item, start in sorted(set(hits)):
-            size = len(self.words[item])
-            if run and run[0] == item and start - run[2] <= size // 2:
-                run = (item, run[1], start)
-                continue
-            out += [run] if run else []
-            run = (item, start, start)
-        out += [run] if run else []
-        return [(i, max(0, a - max(3, len(self.words[i]) // 2)),
-                 min(len(words), b + len(self.words[i]) + max(3, len(self.words[i]) // 2))) for i, a, b in out]
+        found = [(*self.runs.hits(grams(words, width)), True) for width in self.widths]
+        if self.widths and self.pairs is not None:
+            found.append((*self.pairs.hits(grams(words, 2)), False))
+        item, start, place = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in range(3))
+        if not len(item):
+            return []
+        single = np.concatenate([np.full(len(f[0]), f[3]) for f in found])
+        order = np.lexsort((start, item))
+        item, start, place, single = item[order], start[order], place[order], single[order]
+        opens = np.ones(len(item), bool)
+        opens[1:] = (item[1:] != item[:-1]) | (start[1:] - start[:-1] > self.sizes[item[1:]] // 2)
+        stretch = np.cumsum(opens) - 1
+        heads = np.flatnonzero(opens)
+        span = int(self.sizes.max())
+        pairs = np.unique(stretch[~single] * span + place[~single]) // span
+        enough = np.bincount(pairs, minlength=len(heads)) >= self.least[item[heads]]
+        good = np.flatnonzero(enough | np.logical_or.reduceat(single, heads))
+        tails = np.append(heads[1:], len(item))[good] - 1
+        item, first, last = item[heads[good]], start[heads[good]], start[tails]
+        reach = np.maximum(3, self.sizes[item] // 2)
+        begin, end = np.maximum(0, first - reach), np.minimum(len(words), last + self.sizes[item] + reach)
+        return list(zip(item.tolist(), begin.tolist(), end.tolist(), strict=True))
 
 
 def align(item: np.ndarray, stretches: list[np.ndarray]) -> np.ndarray:
@@ -137,54 +187,53 @@ def align(item: np.ndarray, stretches: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _best(block: Block, words: np.ndarray) -> tuple[int | None, float, list[int]]:
-    """The item with the highest score (then the smallest id), that score, and the items found."""
-    best: tuple[float, int] | None = None
-    found, groups = set(), {}
+def _best(block: Block, words: np.ndarray) -> dict:
+    """The item with the highest score (then the smallest id, a null one last), that score, and the items found."""
+    best, named, leaked = (0.0, False, 0), set(), False
+    groups: dict[int, list[np.ndarray]] = {}
     for item, start, end in block.windows(words):
         groups.setdefault(item, []).append(words[start:end])
     for item, stretches in groups.items():
-        whole = MATCH * len(block.words[item])
+        number, whole = block.ids[item], MATCH * len(block.words[item])
         step = max(1, BATCH_CELLS // (2 * len(block.words[item]) + max(map(len, stretches))))
         for at in range(0, len(stretches), step):
             score = float(align(block.words[item], stretches[at : at + step]).max()) / whole
-            best = max(best or (score, -block.ids[item]), (score, -block.ids[item]))
+            best = max(best, (score, number is not None, -(number or 0)))
             if score >= LEAST_SCORE:
-                found.add(block.ids[item])
-    return (None, 0.0, []) if best is None else (-best[1], best[0], sorted(found))
+                leaked = True
+                named |= set() if number is None else {number}
+    return {"item_id": -best[2] if best[1] else None, "score": best[0], "items": sorted(named), "contaminated": leaked}
 
 
-def benchmark_blocks(benchmark: DataFrame) -> list[Block]:
-    """The items, dealt into blocks of about ``BLOCK_WORDS`` words by a hash of their id.
+def benchmark_blocks(benchmark: DataFrame) -> Iterator[Block]:
+    """The items, dealt into blocks of about ``BLOCK_WORDS`` words by a hash; one block is read at a time.
 
-    Rows that repeat an id are one item each; a null id or text is left out.
+    Rows that repeat an id are one item each, and so are those without an id; a null text is left out.
     """
     known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    known = known.filter("item_id is not null and text is not null")
+    known = known.filter("text is not null")
     size = known.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = -(-size // (4 * BLOCK_WORDS))       # a word and its gap take four bytes at least on average
-    out = []
     for k in range(parts):
-        part = known.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k)
+        part = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         rows = part.distinct().orderBy("item_id", "text").collect()
-        out.append(Block([(r["item_id"], plain_words(r["text"])) for r in rows]))
-    return [b for b in out if any(map(len, b.words))]
+        block = Block([(r["item_id"], plain_words(r["text"])) for r in rows])
+        if any(map(len, block.words)):
+            yield block
 
 
-def _count_words(docs: DataFrame, blocks: list[Block]) -> None:
-    """Share of each benchmark word among all words of all documents; one pass."""
-    sizes = [len(b.vocabulary.keys) for b in blocks]
-    ends = np.cumsum([0, *sizes]).tolist()
-    sent = docs.sparkSession.sparkContext.broadcast([b.vocabulary for b in blocks])
+def _count_words(docs: DataFrame, block: Block) -> None:
+    """Share of each word of the block among all words of all documents, and the seeds that follow; one pass."""
+    size = len(block.vocabulary.keys)
+    sent = docs.sparkSession.sparkContext.broadcast(block.vocabulary)
 
     def run(batches):
-        counts, total, documents = np.zeros(ends[-1], np.int64), 0, 0
+        counts, total, documents = np.zeros(size, np.int64), 0, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words = plain_words(text)
                 total, documents = total + len(words), documents + 1
-                for k, vocabulary in enumerate(sent.value):
-                    np.add.at(counts, vocabulary.find(words)[1] + ends[k], 1)
+                np.add.at(counts, sent.value.find(words)[1], 1)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([-2, -1, *some.tolist()], pa.int64()),
@@ -192,36 +241,32 @@ def _count_words(docs: DataFrame, blocks: list[Block]) -> None:
 
     rows = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r["word"]: r["n"] for r in rows}
-    sent.unpersist()
-    for k, block in enumerate(blocks):
-        counts = np.array([found.get(w, 0) for w in range(ends[k], ends[k + 1])])
-        block.choose_seeds(counts, found.get(-1, 0), found.get(-2, 0))
+    sent.destroy()
+    block.choose_seeds(np.array([found.get(w, 0) for w in range(size)]), found.get(-1, 0), found.get(-2, 0))
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leak", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with a struct column: item_id, score (0 to 1, 1 is a whole exact copy), items, contaminated.
 
-    ``item_id`` is the best aligned item, null if no seed of any item occurs; of equal scores the
-    smallest id.  ``items`` lists all with a score of at least ``LEAST_SCORE``.  Null and empty
-    texts, and an empty benchmark, give score 0 and no item.  Words are compared without case
-    and ASCII punctuation.  Repeated rows are judged one by one.
+    ``item_id`` is the best aligned item, null if no seed of any item occurs or it has no id; of equal
+    scores the smallest id.  ``items`` lists the ids of all with a score of at least ``LEAST_SCORE``;
+    items without an id count in ``contaminated`` alone.  Every copy that aligns with such a score is
+    found, but items of up to three words only as their whole run: half of one is a word or two.
+    Null and empty texts, and an empty benchmark, give score 0 and no item.  Words are compared without
+    case and ASCII punctuation.  Repeated rows are judged one by one.
+
+    The driver holds one block at a time; a task's workers hold those of the benchmark side by side.
     """
     place = docs.columns.index("text")
-    blocks = benchmark_blocks(benchmark)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    if blocks:
-        _count_words(texts, blocks)
     kind = "struct<item_id: bigint, score: double, items: array<bigint>, contaminated: boolean>"
     names, out = [], docs.withColumn("text", F.col("text").cast("string"))
-    for block in blocks:
+    for block in benchmark_blocks(benchmark):
+        _count_words(texts, block)
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def compute(batch: pa.RecordBatch, sent=sent) -> list:
-            rows = []
-            for text in batch.column(place).to_pylist():
-                item, score, items = _best(sent.value, plain_words(text))
-                rows.append({"item_id": item, "score": score, "items": items, "contaminated": bool(items)})
-            return [rows]
+            return [[_best(sent.value, plain_words(text)) for text in batch.column(place).to_pylist()]]
 
         names.append(fresh(out, f"block{len(names)}"))
         out = extend(out, f"`{names[-1]}` {kind}", compute)
@@ -236,8 +281,8 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, into: str = "leak", keep:
 
 
 def _merged(a, b):
-    better = (b["score"] > a["score"]) | ((b["score"] == a["score"]) & (b["item_id"] < a["item_id"]))
-    better = a["item_id"].isNull() | F.coalesce(better, F.lit(False))
+    named = b["item_id"].isNotNull() & (a["item_id"].isNull() | (b["item_id"] < a["item_id"]))
+    better = (b["score"] > a["score"]) | ((b["score"] == a["score"]) & F.coalesce(named, F.lit(False)))
     return F.struct(
         F.when(better, b["item_id"]).otherwise(a["item_id"]).alias("item_id"),
         F.greatest(a["score"], b["score"]).alias("score"),
