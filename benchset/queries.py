@@ -1220,6 +1220,42 @@ def stream_stats(spark, d):
     return L.stream_totals(spark.read.parquet(out))
 
 
+def _in_batches(spark, d, topic):
+    return L.read_topics(spark, "parquet", (topic,), path=_messages(spark, d), maxFilesPerTrigger=4)
+
+
+@query
+def stream_two_sinks(spark, d):
+    """Good rows and dead letters of the orders, from one parse of each micro-batch."""
+    out, mark = scratch_path(spark, "batches"), scratch_path(spark, "mark")
+    parsed = L.parse_stream(_in_batches(spark, d, "orders"), V.ORDERS_DDL, X.instant(_CONSUMED))
+    _finish(L.land_batches(parsed, out, mark, _NOW_ONLY))
+    cols = ("_kafka_topic", "_kafka_partition", "_kafka_offset", "_consumed_at")
+    good = L.read_batches(spark, out, "rows").select("order_id", "order_status", "updated_at", F.lit(None).cast("string").alias("_error"), *cols)
+    letters = L.read_batches(spark, out, "letters").select("_error", *cols)
+    return good.unionByName(letters, allowMissingColumns=True)
+
+
+@query
+def stream_late(spark, d):
+    """Each click once: on-time rows of the stream, then the late ones that are new."""
+    out, mark = scratch_path(spark, "batches"), scratch_path(spark, "mark")
+    parsed = L.parse_stream(_in_batches(spark, d, "clickstream"), V.CLICKSTREAM_DDL, X.instant(_CONSUMED))
+    _finish(L.land_batches(parsed.withColumn("event_ts", X.parse_ts("event_ts")), out, mark, _NOW_ONLY, "event_ts", "1 hour"))
+    rows, late = (L.read_batches(spark, out, n).select("event_id", "event_type", "event_ts") for n in ("rows", "late"))
+    once = D.top1_by(rows, "event_id", [F.col("event_ts").asc_nulls_last()])
+    return E.with_late(once, late, "event_id", "event_ts")
+
+
+@query
+def stream_metrics(spark, d):
+    """Counters summed over one line per micro-batch; nothing landed is read again."""
+    out, mark = scratch_path(spark, "batches"), scratch_path(spark, "mark")
+    parsed = L.parse_stream(_in_batches(spark, d, "orders"), V.ORDERS_DDL, X.instant(_CONSUMED))
+    _finish(L.land_batches(parsed, out, mark, _NOW_ONLY))
+    return L.batch_totals(L.read_batches(spark, out, "metrics")).select("consumed", "parse_errors")
+
+
 @query
 def sessionize(spark, d):
     return E.sessionize(_clicks(spark, d), "customer_id", "event_ts")
@@ -1259,15 +1295,10 @@ def inventory_events(spark, d):
 
 @query
 def inventory_events_stream(spark, d):
-    """The stock of ``inventory_events`` kept by a stream; each micro-batch replaces the stored table."""
+    """The stock of ``inventory_events`` kept by a stream that writes what each micro-batch changes."""
     inbox, out, mark = (scratch_path(spark, n) for n in ("stock", "latest", "mark"))
     events = _stock_events(spark, d)
-    events.write.parquet(inbox)
-    stream = spark.readStream.schema(events.schema).parquet(inbox)
-
-    def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{number}")
-
-    running = E.latest_stock(stream).writeStream.foreachBatch(store).outputMode("complete")
-    done = _finish(running.option("checkpointLocation", mark).trigger(availableNow=True).start())
-    return spark.read.parquet(f"{out}/{done.lastProgress['batchId']}")
+    events.repartition(3).write.parquet(inbox)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    _finish(L.land_changes(E.latest_stock(stream), out, mark, _NOW_ONLY))
+    return L.newest_changes(spark.read.parquet(out), "warehouse_id", "product_sku")

@@ -1,4 +1,5 @@
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,30 @@ def test_join_versions(spark):
     assert rows(got) == [("1", "v1"), ("2", "v2"), ("3", None), ("4", None), ("5", None)]
 
 
+def test_join_versions_at_every_moment(spark):
+    """Against a plain loop, with a hot key in pieces, gaps, facts without key or time, and no range test in a join."""
+    rng = random.Random(8)
+    start = datetime(2024, 1, 1)
+    when = lambda: start + timedelta(hours=rng.randrange(400))
+    spans = []
+    for k in "abcd":
+        ends = sorted({when() for _ in range(9)})
+        spans += [(k, f"{k}{n}", f, t) for n, (f, t) in enumerate(zip(ends, ends[1:])) if n % 4 != 2]
+        spans.append((k, f"{k}z", ends[-1], None))
+    spans += [("a", "never", None, None), (None, "nobody", start, None)]
+    facts = [(n, rng.choice(["a"] * 6 + ["b", "c", "d", "e", None]), rng.choice([None] + [when()] * 9)) for n in range(600)]
+    want = [(n, next((v for key, v, f, t in spans if key == k and k and at and f and f <= at and (t is None or at < t)), None))
+            for n, k, at in facts]
+    left = spark.createDataFrame(facts, "id int, k string, at timestamp")
+    right = spark.createDataFrame(spans, "k string, v string, _valid_from timestamp, _valid_to timestamp")
+    for size in (20, 1_000_000):
+        got = J.join_versions(left, right, "k", "at", "id", piece_rows=size)
+        assert got.columns == ["k", "id", "at", "v", "_valid_from", "_valid_to"]
+        assert sorted(map(tuple, got.select("id", "v").collect())) == want
+    joins = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("_valid_from" in line or "_valid_to" in line for line in joins)
+
+
 def test_fk_integrity(spark):
     child = spark.createDataFrame([("a",), ("x",), ("x",), ("-1",), (None,), ("y",)], "k string")
     parent = spark.createDataFrame([("a",), (None,)], "p string")

@@ -163,15 +163,60 @@ def test_dedup_within_the_watermark(spark, tmp_path):
 
 
 def test_latest_stock_as_a_stream(spark, tmp_path):
-    rows = [("w", "p", datetime(2024, 1, 1, h), f"e{h}", 5 - h, 100 - h) for h in range(5)]
+    """Two micro-batches: the second writes only the stock it changes."""
     cols = ("warehouse_id string, product_sku string, event_ts timestamp, event_id string, "
             "quantity_change int, new_quantity int")
-    spark.createDataFrame(rows, cols).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(cols).parquet(str(tmp_path / "in"))
-    query = E.latest_stock(stream).writeStream.format("memory").queryName("stock").outputMode(
-        "complete").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert tuple(spark.table("stock").first())[2:] == (96, datetime(2024, 1, 1, 4), 15, 5)
+    first = [("w", "p", datetime(2024, 1, 1, h), f"e{h}", 5 - h, 100 - h) for h in range(5)] + [
+        ("w", "q", datetime(2024, 1, 1), "f", 1, 7)]
+    out = str(tmp_path / "out")
+    for rows in (first, [("w", "p", datetime(2024, 1, 2), "e9", -6, 90)]):
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(cols).parquet(str(tmp_path / "in"))
+        L.land_changes(E.latest_stock(stream), out, str(tmp_path / "m"), ONCE).awaitTermination()
+    landed = spark.read.parquet(out)
+    assert [tuple(r) for r in landed.groupBy("batch").count().orderBy("batch").collect()] == [(0, 2), (1, 1)]
+    got = {r["product_sku"]: tuple(r)[2:] for r in L.newest_changes(landed, "warehouse_id", "product_sku").collect()}
+    assert got == {"p": (90, datetime(2024, 1, 2), 9, 6), "q": (7, datetime(2024, 1, 1), 1, 1)}
+
+
+def test_batches_keep_late_rows_letters_and_counters(spark, tmp_path):
+    at = lambda i, h: f'{{"id":"{i}","at":"2024-01-05T{h:02d}:00:00"}}'
+    batches = [[at("a", 10), at("b", 12), "no"], [at("c", 9), at("b", 12), at("d", 13)], [at("c", 8), '{"id":"n"}', at("a", 10), "no"]]
+    out, mark, seen = str(tmp_path / "out"), str(tmp_path / "m"), []
+    for n, values in enumerate(batches):
+        messages(tmp_path / "in", [("orders", 10 * n + k, v) for k, v in enumerate(values)], f"m{n}.json")
+        stream = L.read_topics(spark, "json", ("orders",), path=str(tmp_path / "in"))
+        parsed = L.parse_stream(stream, "id string, at timestamp", instant(AT))
+        query = L.land_batches(L.observe_stream(parsed, "seen"), out, mark, ONCE, "at", "1 hour")
+        query.awaitTermination()
+        seen.append([p["observedMetrics"]["seen"] for p in query.recentProgress if p["numInputRows"]])
+    read = lambda name: L.read_batches(spark, out, name)
+    assert sorted((r.id, r.batch) for r in read("rows").collect()) == [("a", 0), ("b", 0), ("b", 1), ("d", 1), ("n", 2)]
+    assert sorted((r.id, r.batch) for r in read("late").collect()) == [("a", 2), ("c", 1), ("c", 2)]
+    assert sorted(r._kafka_offset for r in read("letters").collect()) == [2, 23]
+    assert tuple(L.batch_totals(read("metrics")).first()) == (10, 2, 3)
+    assert [tuple(s[-1]) for s in seen] == [(3, 1), (3, 0), (4, 1)]
+    once = read("rows").dropDuplicates(["id"]).select("id", "at")
+    got = sorted((r.id, r["at"] and r["at"].hour) for r in E.with_late(once, read("late"), "id", "at").collect())
+    assert got == [("a", 10), ("b", 12), ("c", 8), ("d", 13), ("n", None)]
+
+
+def test_a_batch_that_is_run_again_replaces_itself(spark, tmp_path):
+    """The commit of the last batch is lost after its rows were written."""
+    out, mark = str(tmp_path / "out"), tmp_path / "m"
+
+    def run():
+        stream = L.read_topics(spark, "json", ("orders",), path=str(tmp_path / "in"))
+        L.land_batches(L.parse_stream(stream, "id string", instant(AT)), out, str(mark), ONCE).awaitTermination()
+
+    for n in range(2):
+        messages(tmp_path / "in", [("orders", n, '{"id":"x"}')], f"m{n}.json")
+        run()
+    for f in [*mark.glob("commits/1"), *mark.glob("commits/.1.crc")]:
+        f.unlink()
+    run()
+    assert sorted(r._kafka_offset for r in L.read_batches(spark, out, "rows").collect()) == [0, 1]
+    assert L.batch_totals(L.read_batches(spark, out, "metrics")).first()["consumed"] == 2
 
 
 def test_event_date_falls_back_to_arrival(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE_ROWS = 1_000_000   # rows of one key that one task should join
@@ -19,13 +19,34 @@ def hot_keys(df: DataFrame, key: str, piece_rows: int = PIECE_ROWS) -> DataFrame
     return counted.select(key, F.ceil(F.col("_rows") / piece_rows).cast("int").alias("_pieces"))
 
 
+def _salted(
+    left: DataFrame, right: DataFrame, key: str, spread_by: Column | str, piece_rows: int,
+    profile: DataFrame | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Left rows with ``_salt``, and right rows with ``_right_key`` and ``_right_salt``, one copy per piece of a hot key."""
+    hot = hot_keys(left if profile is None else profile, key, piece_rows)
+    hot = hot.withColumnRenamed(key, "_hot_key")
+    pieces = F.coalesce("_pieces", F.lit(1))
+    spread = (
+        left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
+        .drop("_hot_key", "_pieces")
+    )
+    copied = (
+        right.withColumnRenamed(key, "_right_key")
+        .join(F.broadcast(hot), F.col("_right_key") == F.col("_hot_key"), "left")
+        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        .drop("_hot_key", "_pieces")
+    )
+    return spread, copied
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     spread_by: Column | str,
     how: str = "left",
-    extra: Column | None = None,
     piece_rows: int = PIECE_ROWS,
     profile: DataFrame | None = None,
 ) -> DataFrame:
@@ -37,26 +58,11 @@ def spread_join(
     once.  NULL keys match nothing and are spread as well.  The list of hot keys is sent
     to all tasks: it is shorter than rows / piece_rows, about 2 MB for 100 billion rows.
     How the sides then meet is left to adaptive execution, which knows their bytes.
-    ``extra`` is a further join condition over both sides.  ``profile`` may name a cheaper
+    ``profile`` may name a cheaper
     frame with the same keys to count instead of ``left`` (its base table).
     """
-    hot = hot_keys(left if profile is None else profile, key, piece_rows)
-    hot = hot.withColumnRenamed(key, "_hot_key")
-    pieces = F.coalesce("_pieces", F.lit(1))
-    spread = (
-        left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
-        .drop("_hot_key", "_pieces")
-    )
-    copied = (
-        right.withColumnRenamed(key, "_right_key")
-        .join(F.broadcast(hot), F.col("_right_key") == F.col("_hot_key"), "left")
-        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .drop("_hot_key", "_pieces")
-    )
+    spread, copied = _salted(left, right, key, spread_by, piece_rows, profile)
     condition = (F.col(key) == F.col("_right_key")) & (F.col("_salt") == F.col("_right_salt"))
-    if extra is not None:
-        condition = condition & extra
     met = spread.join(copied, condition, how).drop("_salt", "_right_salt", "_right_key")
     return met.select(key, *[c for c in met.columns if c != key])
 
@@ -120,9 +126,28 @@ def join_versions(
 ) -> DataFrame:
     """Left join to the version that was valid at ``ts`` (from inclusive, to exclusive).
 
-    The equality on the key drives a spread shuffle join, and the time range is tested
-    inside it, so at most one version per fact row comes out.
+    Facts and versions are one stream per key, in time order, and each fact takes the last version
+    before it (``last`` without NULLs): a key with F facts and V versions costs F + V rows, where a join
+    on the key alone would meet F * V.  Facts of a hot key are split into pieces, each with a copy of its
+    versions; a key has at most one version per delivery.  Facts without a key or time, or in a
+    gap of the history, get NULLs.  Of overlapping versions the one that began last is looked at.
     """
-    at = F.col(ts)
-    valid = (F.col("_valid_from") <= at) & (F.col("_valid_to").isNull() | (at < F.col("_valid_to")))
-    return spread_join(facts, versions, key, spread_by, extra=valid, piece_rows=piece_rows)
+    spread, copied = _salted(facts, versions, key, spread_by, piece_rows, None)
+    told = [c for c in versions.columns if c != key]
+    version = F.struct(*told)
+    kind = copied.select(version.alias("v")).schema["v"].dataType
+    row = spread.select(F.struct(*facts.columns).alias("v")).schema["v"].dataType
+    events = spread.select(
+        F.col(key).alias("_key"), "_salt", F.col(ts).alias("_at"), F.lit(1).alias("_turn"),
+        F.struct(*facts.columns).alias("_fact"), F.lit(None).cast(kind).alias("_version"),
+    ).unionByName(copied.filter("_right_key is not null and _valid_from is not null").select(
+        F.col("_right_key").alias("_key"), F.col("_right_salt").alias("_salt"), F.col("_valid_from").alias("_at"),
+        F.lit(0).alias("_turn"), F.lit(None).cast(row).alias("_fact"), version.alias("_version")))
+    so_far = Window.partitionBy("_key", "_salt").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    met = events.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).filter("_fact is not null")
+    ends = F.col("_version")["_valid_to"]
+    valid = ends.isNull() | (F.col("_at") < ends)
+    rest = [c for c in facts.columns if c != key]
+    return met.withColumn("_version", F.when(valid, F.col("_version"))).select(
+        F.col("_fact")[key].alias(key), *[F.col("_fact")[c].alias(c) for c in rest],
+        *[F.col("_version")[c].alias(c) for c in told])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.operators.dedup import top1_by
+
 GAP = "30 minutes"
 
 
@@ -13,6 +15,12 @@ def dedup_stream(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") ->
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def with_late(stored: DataFrame, late: DataFrame, key: str, ts: str) -> DataFrame:
+    """The stored events, and of late ones with a new key the first by ``ts``; for the daily merge."""
+    first = top1_by(late, key, [F.col(ts).asc_nulls_last(), F.xxhash64(*stored.columns)])
+    return stored.unionByName(first.join(stored.select(key), key, "left_anti").select(*stored.columns))
+
+
 def sessionize_stream(
     stream: DataFrame, key: str, ts: str, gap: str = GAP, delay: str = "1 hour"
 ) -> DataFrame:

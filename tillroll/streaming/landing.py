@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -177,3 +178,88 @@ def stream_totals(landed: DataFrame) -> DataFrame:
         F.count("*").alias("consumed"),
         F.count_if(F.col("_error").isNotNull()).alias("parse_errors"),
     )
+
+
+def observe_stream(stream: DataFrame, name: str) -> DataFrame:
+    """The parsed stream with its counters in each progress report of the query, under ``name``."""
+    return stream.observe(name, *_counters())
+
+
+def _counters() -> list[Column]:
+    return [F.count(F.lit(1)).alias("consumed"), F.count_if(F.col("_error").isNotNull()).alias("parse_errors")]
+
+
+def _metrics_path(out: str, number: int) -> str:
+    return f"{out}/metrics/batch={number}"
+
+
+def land_batches(
+    parsed: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+    ts: str | None = None, delay: str = "1 hour",
+) -> StreamingQuery:
+    """Good rows, late rows, dead letters and counters of a parsed stream, each message parsed once.
+
+    A micro-batch is kept on the executors' disks while ``rows``, ``late``, ``letters`` and, last,
+    ``metrics`` are written, each under its batch id: a batch that is run again replaces itself, and
+    ``read_batches`` goes by those that are whole.  A row is late if its ``ts`` is more than ``delay``
+    before the newest one of all earlier batches, which the metrics of the last batch tell; a
+    step with state would drop it.  A row without a time is not late.
+    """
+    def put(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        part = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            mark = None
+            if ts is not None and number > 0:
+                mark = spark.read.parquet(_metrics_path(out, number - 1)).first()["newest"]
+            good, letters = split_bad(part)
+            newest = F.lit(mark).cast("timestamp")
+            at = F.lit(None).cast("timestamp") if ts is None else F.col(ts)
+            late = F.coalesce(at < newest - F.expr(f"interval {delay}"), F.lit(False))
+            counted = part.agg(
+                *_counters(), F.count_if(late & F.col("_error").isNull()).alias("late"),
+                F.greatest(F.max(at), newest).alias("newest"))
+            for name, found in (("rows", good.filter(~late)), ("late", good.filter(late)), ("letters", letters)):
+                found.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+            counted.coalesce(1).write.mode("overwrite").parquet(_metrics_path(out, number))
+        finally:
+            part.unpersist()
+
+    return _start_batches(parsed, put, "append", checkpoint, trigger)
+
+
+def _start_batches(rows: DataFrame, put, mode: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    when = trigger or {"processingTime": f"{V.FLUSH_SECONDS} seconds"}
+    writer = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return writer.outputMode(mode).trigger(**when).start()
+
+
+def read_batches(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """``rows``, ``late``, ``letters`` or ``metrics`` of the whole batches, with the column ``batch``."""
+    last = spark.read.parquet(f"{out}/metrics").agg(F.max("batch").alias("n")).first()["n"]
+    return spark.read.parquet(f"{out}/{name}").filter(F.col("batch") <= last)
+
+
+def batch_totals(metrics: DataFrame) -> DataFrame:
+    """One row: messages consumed, parse errors and late rows, summed over one line per micro-batch."""
+    return metrics.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("consumed", "parse_errors", "late")])
+
+
+def land_changes(
+    changes: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write the groups of an aggregate that a micro-batch has changed under its batch id.
+
+    What is written follows the changes, not the table.  ``newest_changes`` gives the table.
+    """
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _start_batches(changes, put, "update", checkpoint, trigger)
+
+
+def newest_changes(changes: DataFrame, *keys: str) -> DataFrame:
+    """The last state of each key of the landed changes; combined before the shuffle."""
+    rest = [c for c in changes.columns if c not in (*keys, "batch")]
+    last = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_state"))
+    return last.select(*keys, "_state.*")
