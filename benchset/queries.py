@@ -1102,6 +1102,23 @@ def dq_verdict(spark, d):
     return a.unionByName(Q.verdict(worse).withColumn("table", F.lit("silver_clickstream")))
 
 
+_SCHEMAS = ("0a1b2c3d-0000-4000-8000-0123456789ab", "7")
+
+
+@query
+def avro_framing(spark, d):
+    """Clicks in the frames of two registries, some with another schema, packed or without a header."""
+    key = F.col("event_key")
+    frame = (F.when(key % 13 == 0, F.lit("7B")).when(key % 11 == 0, F.lit("0305" + "0A1B2C3D0000400080000123456789AB"))
+             .when(key % 7 == 0, F.lit("0000000009")).when(key % 2 == 0, F.lit("0000000007"))
+             .otherwise(F.lit("0300" + "0A1B2C3D0000400080000123456789AB")))
+    framed = T.raw_clicks(spark, d).select(
+        "event_key", F.concat(F.unhex(frame), F.encode(F.col("event_key").cast("string"), "utf-8")).alias("value"))
+    good, letters = readers.unframe_avro(framed, _SCHEMAS)
+    told = good.select("event_key", "_schema_id", F.decode("value", "utf-8").alias("body"), F.lit(None).cast("string").alias("_error"))
+    return told.unionByName(letters.select("event_key", "_schema_id", F.lit(None).cast("string").alias("body"), "_error"))
+
+
 # --- streaming ------------------------------------------------------------------
 
 _CONSUMED = "2024-01-31 13:00:00"

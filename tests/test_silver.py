@@ -173,7 +173,7 @@ def test_landing_report(spark, tmp_path):
     assert not landing.bronze_complete(report, "2024-02-01").first()[0]
 
 
-def test_avro_contract_names_every_field():
+def test_avro_contract_names_every_field(spark):
     contract = json.loads(readers.clickstream_contract())
     assert len(contract["fields"]) == 23
     kinds = {f["name"]: f["type"] for f in contract["fields"]}
@@ -185,3 +185,20 @@ def test_avro_needs_its_package(spark):
     df = spark.range(1).select(F.lit(b"").alias("value"))
     with pytest.raises(RuntimeError, match="spark-avro"):
         readers.decode_avro(df, readers.clickstream_contract())
+
+
+def test_frames_of_avro_messages(spark):
+    uuid = "0a1b2c3d-0000-4000-8000-0123456789ab"
+    head = bytes.fromhex(uuid.replace("-", ""))
+    values = [b"\x03\x00" + head + b"body", b"\x03\x00" + head, b"\x03\x05" + head + b"z", b"\x00\x00\x00\x01\x00x",
+              b"\x00\x00\x00\x00\x09x", b"\x03\x00" + head[:9], b"{}", b"", None]
+    df = spark.createDataFrame(list(enumerate(bytearray(v) if v is not None else None for v in values)), "n int, value binary")
+    good, letters = readers.unframe_avro(df, [uuid, "256"])
+    assert sorted((r.n, r._schema_id, bytes(r.value)) for r in good.collect()) == [
+        (0, uuid, b"body"), (1, uuid, b""), (3, "256", b"x")]
+    found = {r.n: (r._error, r.value if r.value is None else bytes(r.value)) for r in letters.collect()}
+    assert {n: e for n, (e, _) in found.items()} == {
+        2: "compressed", 4: "unknown_schema", 5: "no_header", 6: "no_header", 7: "no_header", 8: "no_header"}
+    assert all(found[n][1] == values[n] for n in found)
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        readers.decode_framed(df, {uuid: readers.clickstream_contract()})

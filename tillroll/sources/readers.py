@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +77,41 @@ def clickstream_contract() -> str:
     )
 
 
+# First bytes of a framed message, by the two usual registries.
+UUID_FRAME, NUMBER_FRAME, PLAIN_BODY = "03", "00", "00"
+
+
+def unframe_avro(df: DataFrame, known: Iterable[str], value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(messages with ``_schema_id`` and the bare Avro body in ``value``, dead letters with ``_error``).
+
+    A registry writes a header before the body: 03, a compression byte and the 16 bytes of a schema
+    version (given back in the form of a UUID), or 00 and the 4 bytes of a schema number (as decimal
+    text).  ``known`` holds the ids with a contract.  What is missing, has no such header, is compressed,
+    or names another schema is a dead letter with its bytes as they came.
+    """
+    body, head = F.col(value), F.hex(F.substring(value, 1, 1))
+    size = F.coalesce(F.octet_length(value), F.lit(0))
+    uuid = F.regexp_replace(F.lower(F.hex(F.substring(value, 3, 16))), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    by_uuid, by_number = (head == UUID_FRAME) & (size >= 18), (head == NUMBER_FRAME) & (size >= 5)
+    told = F.when(by_uuid, uuid).when(by_number, F.conv(F.hex(F.substring(value, 2, 4)), 16, 10))
+    packed = by_uuid & (F.hex(F.substring(value, 2, 1)) != PLAIN_BODY)
+    listed = F.coalesce(F.col("_schema_id").isin(*known), F.lit(False))
+    marked = df.withColumn("_schema_id", told).withColumn("_error", F.when(F.col("_schema_id").isNull(), "no_header").when(
+        packed, "compressed").when(~listed, "unknown_schema"))
+    start = F.when(by_uuid, 19).otherwise(6)
+    bare = F.substring(body, start, F.greatest(size - start + 1, F.lit(0)))
+    good = marked.filter("_error is null").withColumn(value, bare).drop("_error")
+    return good, marked.filter("_error is not null")
+
+
+def decode_framed(df: DataFrame, contracts: dict[str, str], value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(decoded records with their ``_schema_id``, dead letters); ``contracts`` are Avro schemas by id."""
+    good, letters = unframe_avro(df, contracts, value)
+    records = [decode_avro(good.filter(F.col("_schema_id") == i), schema, value).withColumn("_schema_id", F.lit(i))
+               for i, schema in contracts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), records), letters
+
+
 def decode_avro(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Columns of an Avro-encoded ``value`` column.  Needs the spark-avro package."""
     from pyspark.errors import PySparkException
