@@ -293,7 +293,7 @@ def test_staged_tables_of_a_failed_job_stay(spark):
 
 def test_command_line(spark, roots, capsys):
     silver, gold = roots
-    code = main(["gold", "--silver", silver, "--gold", gold, "--as-of", T.AS_OF, "--now", RUN2])
+    code = main(["gold", "--silver", silver, "--gold", gold, "--as-of", T.AS_OF, "--now", RUN2, "--key-buckets", "16"])
     assert code in (0, 1)
     with pytest.raises(SystemExit):
         main(["silver", "--bronze", "b"])

@@ -11,6 +11,8 @@ from tillroll.operators import filters as W
 from tillroll.operators import joins as J
 from tillroll.operators import maintain as M
 from tillroll.operators import quality as Q
+from tillroll.sources import key_index as K
+from tillroll.sources.key_index import KeyIndex
 from tillroll.sources.writers import write_partitioned
 
 
@@ -335,3 +337,70 @@ def test_scratch_is_dropped_but_nothing_else(spark):
     assert other.count() == 1
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(mine)
+
+
+def test_key_index_reads_only_the_buckets_of_the_new_keys(spark, tmp_path):
+    table = spark.range(4000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"),
+                                     (F.col("id") % 7).cast("int").alias("p"))
+    index = KeyIndex(spark, str(tmp_path / "keys"), "k", ["p"], buckets=64)
+    index.ensure(table)
+    asked = spark.createDataFrame([("5", 0), ("11", 0), ("none", 0), (None, 0)], "k string, p int")
+    found = index.entries(asked)
+    assert rows(index.partitions(found, table)) == [(4,), (5,)]
+    scan = next(line for line in plan(found).splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [bucket" in scan and "ReadSchema: struct<digest:bigint,part_p:string>" in scan
+
+
+def test_indexed_merges_end_in_the_table_of_plain_ones(spark, tmp_path):
+    """Keys move at random, to a null partition too, some merges stop before or after their write."""
+    rng, cols = random.Random(3), "k string, v int, p int"
+    plain, fast = str(tmp_path / "plain"), str(tmp_path / "fast")
+    index = KeyIndex(spark, str(tmp_path / "keys"), "k", ["p"], buckets=4)
+    first = spark.createDataFrame([(f"k{i}", 0, i % 5) for i in range(60)], cols)
+    write_partitioned(first, plain, ["p"])
+    write_partitioned(first, fast, ["p"])
+    for turn in range(1, 5):
+        some = rng.sample(range(90), 12)
+        src = spark.createDataFrame([(f"k{i}", turn, rng.choice([0, 1, 2, 3, 4, None])) for i in some], cols)
+        M.merge_into_table(spark, plain, src, "k", ["p"])
+        M.merge_into_table(spark, fast, src, "k", ["p"], index=index)
+        want = rows(spark.read.parquet(plain).select("k", "v", "p"))
+        assert rows(spark.read.parquet(fast).select("k", "v", "p")) == want
+        assert len({r[0] for r in want}) == len(want)
+
+
+@pytest.mark.parametrize("step", ["write_partitioned", "_drop_partitions"])
+def test_an_indexed_merge_that_stops_is_repaired_by_a_rerun(spark, tmp_path, monkeypatch, step):
+    path, cols = str(tmp_path / "t"), "k string, v int, p int"
+    index = KeyIndex(spark, str(tmp_path / "keys"), "k", ["p"], buckets=2)
+    write_partitioned(spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], cols), path, ["p"])
+    moved = spark.createDataFrame([("a", 5, 2), ("c", 6, 1)], cols)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken, pytest.raises(OSError):
+        broken.setattr(M, step, lost)
+        M.merge_into_table(spark, path, moved, "k", ["p"], index=index)
+    M.merge_into_table(spark, path, moved, "k", ["p"], index=index)
+    assert rows(spark.read.parquet(path).select("k", "v", "p")) == [("a", 5, 2), ("b", 2, 2), ("c", 6, 1)]
+    back = spark.createDataFrame([("a", 7, 1)], cols)
+    M.merge_into_table(spark, path, back, "k", ["p"], index=index)
+    assert rows(spark.read.parquet(path).select("k", "v", "p")) == [("a", 7, 1), ("b", 2, 2), ("c", 6, 1)]
+
+
+def test_key_index_gathers_additions_and_can_be_forgotten(spark, tmp_path, monkeypatch):
+    cols = "k string, v int, p int"
+    index = KeyIndex(spark, str(tmp_path / "keys"), "k", ["p"], buckets=2)
+    table = spark.createDataFrame([("a", 1, 1)], cols)
+    index.ensure(table.limit(0))
+    for p in (1, 2, 2):
+        here = spark.createDataFrame([("a", 1, p)], cols)
+        index.add(here, index.entries(here))
+    monkeypatch.setattr(K, "FOLD_AFTER", 2)
+    index.ensure(table)
+    assert index._additions() == [0]
+    assert rows(index.partitions(index.entries(table), table)) == [(1,), (2,)]
+    index.forget()
+    index.ensure(table)
+    assert rows(index.partitions(index.entries(table), table)) == [(1,)]

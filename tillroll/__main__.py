@@ -33,11 +33,13 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--now", required=True, help="time stamp of the run, UTC")
         p.add_argument("--shuffle-gb", type=int, default=50, help="what the widest shuffle of the job moves")
         p.add_argument("--cores", type=int, default=8, help="cores of all executors")
+        p.add_argument("--key-buckets", type=int, default=1024, help="buckets of the key indexes of merged tables")
     args = parser.parse_args(argv)
 
     spark = build_session(f"tillroll-{args.job}")
     for name, value in sizing(args.shuffle_gb << 30, args.cores).items():
         spark.conf.set(name, value)
+    spark.conf.set(daily.KEY_BUCKETS, str(args.key_buckets))
     with scratch_scope(spark):
         if args.job == "silver":
             daily.run_silver(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.expressions import instant
 from tillroll.operators.dedup import top1_by
 from tillroll.session import materialize
+from tillroll.sources.key_index import KeyIndex
 from tillroll.sources.ledger import moment
 from tillroll.sources.writers import write_partitioned
 
@@ -44,14 +45,17 @@ def merge_into_table(
     spark: SparkSession, path: str, src: DataFrame, key: str, partition_cols: Sequence[str],
     order: Sequence[Column] | None = None, follow_moves: bool = True,
     sort_by: Sequence[str] = (), gone: str | None = None, gone_to: str | None = None,
+    index: KeyIndex | None = None,
 ) -> int:
     """Merge ``src`` into a partitioned Parquet table, rewriting only the partitions it meets.
 
     Without ``order`` source rows replace stored rows of the same key; with it the first row
     per key under that order stays, so a late or repeated run cannot bring back an older
     version.  A key may turn up in another partition than before: its old partition is then
-    rewritten too, which takes a look at the key column of the whole table.  Leave that out
-    with ``follow_moves=False`` where the partition is a function of the key.
+    rewritten too.  ``index`` tells where keys may be, and only the buckets of the source's keys
+    are read; the index is built when it is not there yet.  Without it the key column of the
+    whole table is looked at.  Leave both out with ``follow_moves=False`` where the partition
+    is a function of the key.
 
     ``gone`` names a boolean column of ``src``: where it is true the row takes part in the
     choice and then leaves no row; the keys that end so are written to ``gone_to``.
@@ -65,8 +69,12 @@ def merge_into_table(
     parts = list(partition_cols)
     staged = materialize(src, "merge-source").withColumn("_new", F.lit(True))
     target = spark.read.parquet(path).withColumn("_new", F.lit(False))
-    touched = staged.select(*parts)
-    if follow_moves:
+    touched, listed = staged.select(*parts), None
+    if follow_moves and index is not None:
+        index.ensure(target)
+        listed = materialize(index.entries(staged), "merge-keys")
+        touched = touched.unionByName(index.partitions(listed, staged))
+    elif follow_moves:
         touched = touched.unionByName(
             target.select(key, *parts).join(staged.select(key), key, "left_semi").select(*parts))
     touched = materialize(touched.distinct(), "merge-partitions")
@@ -81,6 +89,8 @@ def merge_into_table(
         if gone_to is not None:
             result.filter(gone).select(key).write.mode("overwrite").parquet(gone_to)
         result = result.filter(~F.col(gone)).drop(gone)
+    if listed is not None:
+        index.add(result.filter("_new"), listed)
     write_partitioned(result.drop("_new"), path, parts, sort_by)
     if follow_moves or gone is not None:
         _drop_partitions(spark, path, touched.exceptAll(result.select(*parts).distinct()), parts)

@@ -22,6 +22,7 @@ from tillroll.plans import features, gold, suites
 from tillroll.plans import silver as S
 from tillroll.session import materialize
 from tillroll.sources import landing, ledger, readers
+from tillroll.sources.key_index import BUCKETS, KeyIndex
 from tillroll.sources.versions import current_path, read_version, write_version
 from tillroll.sources.writers import has_rows, read_stored, replace_dates, write_dlq, write_partitioned
 
@@ -89,10 +90,14 @@ def build_silver(
         delivery = _delivery_path(silver, run)
         table.write.mode("overwrite").parquet(delivery)
         table = spark.read.schema(table.schema).parquet(delivery)
+    index = _index(spark, silver, entity, rule[0], parts) if rule is not None and rule[2] else None
     if rule is not None and has_rows(spark, path):
         key, order, moves = rule
-        rows_out = merge_into_table(spark, path, table, key, parts, order, moves, gone=gone, gone_to=gone_to)
+        rows_out = merge_into_table(
+            spark, path, table, key, parts, order, moves, gone=gone, gone_to=gone_to, index=index)
     else:
+        if index is not None:
+            index.forget()
         first = table if gone is None else table.filter(~F.col(gone)).drop(gone)
         rows_out = write_partitioned(first, path, parts)
     if run is not None:
@@ -103,6 +108,14 @@ def build_silver(
 LEDGERED = ("orders", "customers")
 
 
+KEY_BUCKETS = "spark.tillroll.keyBuckets"     # setting: buckets of a key index; another number builds it anew
+
+
+def _index(spark: SparkSession, root: str, table: str, key: str, parts: Sequence[str]) -> KeyIndex:
+    """Which partitions of a merged table a key may be in."""
+    return KeyIndex(spark, f"{root}/_keys/{table}", key, parts, int(spark.conf.get(KEY_BUCKETS, str(BUCKETS))))
+
+
 def _removed_path(silver: str, run: int) -> str:
     """Keys of the orders that a run has taken out of the silver table."""
     return f"{silver}/_removed/orders/run={run}"
@@ -227,6 +240,7 @@ def build_order_fact(
     number = ledger.begin(spark, gold_root, table)
     upto = (ledger.last(spark, silver, "orders") or {"run": 0})["run"]
     mark = (ledger.last(spark, gold_root, table) or {"source_run": 0})["source_run"]
+    index = _index(spark, gold_root, table, "order_sk", FACT_PARTITIONS)
     if has_rows(spark, path):
         start = max(0, mark - lookback_runs)
         fresh = ledger.between(orders, start, upto)
@@ -234,8 +248,10 @@ def build_order_fact(
         removed = _removed_orders(spark, silver, start, upto, fresh)
         if removed is not None:
             rows = rows.unionByName(removed, allowMissingColumns=True)
-        merge_into_table(spark, path, rows, "order_sk", FACT_PARTITIONS, sort_by=FACT_SORT, gone="_gone")
+        merge_into_table(
+            spark, path, rows, "order_sk", FACT_PARTITIONS, sort_by=FACT_SORT, gone="_gone", index=index)
     else:
+        index.forget()
         rows = gold.fact_orders(ledger.between(orders, 0, upto).drop("_run"), *dims, now_ts)
         write_partitioned(rows, path, FACT_PARTITIONS, FACT_SORT)
     ledger.commit(spark, gold_root, table, number, source_run=upto, now=str(now_ts))

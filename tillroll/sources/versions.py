@@ -15,21 +15,21 @@ KEPT = 2
 _DONE = "_SUCCESS"
 
 
-def _folder(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
     """(number, complete) of the version folders of a table, ascending; one listing of few names."""
-    root, files = _folder(spark, path)
+    root, files = folder_of(spark, path)
     if not files.exists(root):
         return []
     found = []
     for status in files.listStatus(root):
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith("v") and name[1:].isdigit():
-            done = _folder(spark, f"{path}/{name}/{_DONE}")[0]
+            done = folder_of(spark, f"{path}/{name}/{_DONE}")[0]
             found.append((int(name[1:]), files.exists(done)))
     return sorted(found)
 
@@ -51,12 +51,12 @@ def read_version(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(found)
 
 
-def write_version(df: DataFrame, path: str, by: Sequence[str]) -> None:
+def write_version(df: DataFrame, path: str, by: Sequence[str], partition_by: Sequence[str] = ()) -> None:
     """A new version whose files hold neighbouring values of ``by``; it may read the one before."""
     spark = df.sparkSession
     numbers = [n for n, _ in versions(spark, path)]
     rows = df.hint("rebalance", by[0]).sortWithinPartitions(*by)
-    (rows.write.mode("errorifexists").option("compression", "snappy")
+    (rows.write.mode("errorifexists").option("compression", "snappy").partitionBy(*partition_by)
         .parquet(version_path(path, max(numbers, default=0) + 1)))
     _drop_old(spark, path)
 
@@ -67,5 +67,5 @@ def _drop_old(spark: SparkSession, path: str) -> None:
     done = [n for n, complete in found if complete][-KEPT:]
     for number, _ in found:
         if number not in done and number < done[-1]:
-            folder, files = _folder(spark, version_path(path, number))
+            folder, files = folder_of(spark, version_path(path, number))
             files.delete(folder, True)
