@@ -57,10 +57,14 @@ def parse_stream(stream: DataFrame, ddl: str, consumed_at: Column | None = None)
 
     Bad is what is no JSON object, and an object with a field that its layout cannot hold
     (such as text in an amount): its columns are NULL and its text is kept.
+
+    The payload comes out of ``explode``, which filters on it are not moved below: they would parse
+    each message once more per mention.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    payload = F.from_json("value", f"{ddl}, {CORRUPT} string", options)
     told = stream.select(
-        F.from_json("value", f"{ddl}, {CORRUPT} string", options).alias("_payload"), "value",
+        F.explode(F.array(payload)).alias("_payload"), "value",
         F.coalesce(F.ltrim("value").startswith("{"), F.lit(False)).alias("_object"),
         *_envelope(F.current_timestamp() if consumed_at is None else consumed_at),
     )
@@ -142,11 +146,15 @@ def gathered(
 
 def land_stream(
     stream: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-    consumed_at: Column | None = None, batch_rows: int = FILE_ROWS,
+    consumed_at: Column | None = None, batch_rows: int = FILE_ROWS, packing: dict | None = None,
 ) -> StreamingQuery:
-    """Write the messages as JSON lines under topic=/date=, one flush per micro-batch."""
+    """Write the messages as JSON lines under topic=/date=, one flush per micro-batch.
+
+    ``packing`` holds options of the text writer, such as ``compression``; a packed file is read by one
+    task, so ``maxRecordsPerFile`` belongs with it.
+    """
     lines = gathered(landed_lines(stream, consumed_at), ("topic", "date"), "offset", batch_rows)
-    writer = lines.drop("offset").writeStream.format("text").partitionBy("topic", "date")
+    writer = lines.drop("offset").writeStream.format("text").options(**(packing or {})).partitionBy("topic", "date")
     return _start(writer, out, checkpoint, trigger)
 
 
