@@ -115,3 +115,37 @@ def test_long_chain_is_one_group():
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string, pairs int, N_A int")
     assert T.alignment(none).collect() == []
+
+
+class Counted:
+    """Tokenizers that count the texts they are given."""
+
+    def __init__(self, tokenizers):
+        self.under, self.texts = tokenizers, []
+        self.bytes_a, self.bytes_b, self.cuttable = tokenizers.bytes_a, tokenizers.bytes_b, tokenizers.cuttable
+
+    def encode(self, units):
+        self.texts += units
+        return self.under.encode(units)
+
+
+def test_new_units_are_encoded_in_runs(tokenizers):
+    counted = Counted(tokenizers)
+    aligner = T.Aligner(counted)
+    texts = [" ".join(f"w{k}" for k in range(1000)), "\n½ cup  of “tea” ﬁne ", " ".join(f"x{k}" for k in range(100))]
+    found = aligner.align(texts)
+    assert len(counted.texts) < 200            # 1,100 plain units, one run that does not hold
+    assert [f[:4] for f in found] == [f[:3] + (f[6],) for f in brute_force(tokenizers, texts)]
+
+
+def test_units_that_come_again_stay_when_the_store_is_full(tokenizers, monkeypatch):
+    monkeypatch.setattr(T, "CACHED_UNITS", 50)
+    monkeypatch.setattr(T, "CACHED_CHARS", 1000)
+    monkeypatch.setattr(T, "PIECE", 10)
+    counted = Counted(tokenizers)
+    aligner = T.Aligner(counted)
+    texts = [f"again and{k}" for k in range(200)]
+    found = aligner.align(texts)
+    assert sum("again" in t.split(" ") for t in counted.texts) == 1
+    assert len(aligner.spelled) <= 60
+    assert [f[:4] for f in found] == [f[:3] + (f[6],) for f in brute_force(tokenizers, texts)]

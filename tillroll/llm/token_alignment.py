@@ -9,7 +9,8 @@ component, which is the group's label.
 A text is aligned in units: runs that end at a single space between two other characters.
 Neither vocabulary has a token that goes on after such a space (this is looked up when the
 vocabularies are loaded; else a text is one unit), so a unit's tokens are those it has within the text.
-Units repeat as words do; a worker keeps those it has aligned, up to a stated size.
+Units repeat as words do; a worker keeps those it has aligned, up to a stated size, and beyond it those
+that have come again.  New units are encoded in runs joined by single spaces, since a call for each costs more.
 
 Links are counted in Spark: distinct id pairs per document, then documents per pair with
 map-side combining.  The counts have at most |A| x |B| rows and come back to the documents by a
@@ -38,6 +39,7 @@ BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 UNIT_END = re.compile(r"(?<=\S) (?=\S)")
 PIECE = 1 << 19               # characters that are aligned at a time
 CACHED_UNITS, CACHED_CHARS = 250_000, 4 << 20
+RUN = 64                      # units that are encoded as one text
 
 
 def jump(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +64,8 @@ def jump(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indices (A, B) of all overlapping tokens: one pair per stretch between neighbouring ends of either."""
-    cuts = np.union1d(ends_a, ends_b)
+    cuts = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")      # two sorted runs are merged
+    cuts = cuts[np.flatnonzero(np.diff(cuts, prepend=-1))]
     return np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
 
 
@@ -115,19 +118,14 @@ class _Side:
     def __init__(self, known: list[bytes], last: str):
         self.known = known
         self.sizes = np.array([len(b) for b in known], np.int64)
+        self.empty = {i for i, b in enumerate(known) if not b}
         self.inside = np.array([f"{i}," for i in range(len(known))], object)
         self.last = np.array([f"{i}{last}" for i in range(len(known))], object)
+        self.digits = np.array([len(t) for t in self.last], np.int64)
 
-    def holds(self, ids: list[list[int]], flat: np.ndarray, units: list[bytes]) -> np.ndarray:
-        """Do the tokens of each unit give back its bytes, none of them empty?"""
-        sizes = self.sizes[flat]
-        total = np.bincount(np.repeat(np.arange(len(ids)), [len(i) for i in ids]), sizes, len(ids))
-        if sizes.all() and np.array_equal(total, [len(u) for u in units]) \
-                and b"".join(map(self.known.__getitem__, flat.tolist())) == b"".join(units):
-            return np.ones(len(ids), bool)
-        return np.array([
-            b"".join(map(self.known.__getitem__, i)) == u and all(self.known[k] for k in i)
-            for i, u in zip(ids, units, strict=True)], bool)
+    def holds(self, ids: list[int], raw: bytes) -> bool:
+        """Do the tokens give back these bytes, none of them empty?"""
+        return b"".join(map(self.known.__getitem__, ids)) == raw and self.empty.isdisjoint(ids)
 
 
 def _flat(ids: list[list[int]]) -> np.ndarray:
@@ -165,58 +163,101 @@ class Aligner:
         self.spelled: list[str] = []                        # "a1,a2|b1;a3|b2;" of each unit
         self.sizes = _Growing(6)                            # tokens A, B, groups, does it hold, first pair, pairs
         self.pairs = _Growing()
+        self.uses = _Growing()                              # texts that held the unit, halved by ``_room``
+
+    def _encoded(self, units: list[str], raw: list[bytes]) -> tuple[list, list, np.ndarray]:
+        """Token ids of A and of B, a list for each of ``units`` or of their runs, and which units hold.
+
+        Units are cut where the vocabularies allow it, so those of a run have the tokens that they have
+        alone.  A run whose bytes do not come back is encoded again unit by unit.
+        """
+        found_a, found_b, holds = [], [], []
+        runs = [(k, min(k + RUN, len(units))) for k in range(0, len(units), RUN)]
+        joined = [" ".join(units[x:y]) for x, y in runs]
+        for (x, y), a, b in zip(runs, *self.tokenizers.encode(joined), strict=True):
+            whole = b"".join(raw[x:y])
+            if self.side_a.holds(a, whole) and self.side_b.holds(b, whole):
+                found_a.append(a)
+                found_b.append(b)
+                holds += [True] * (y - x)
+            else:
+                for part, kept in zip((found_a, found_b, holds), self._alone(units[x:y], raw[x:y]), strict=True):
+                    part += kept
+        return found_a, found_b, holds
+
+    def _alone(self, units: list[str], raw: list[bytes]) -> tuple[list, list, list[bool]]:
+        """The same unit by unit; one that does not hold has no ids."""
+        found = list(zip(*self.tokenizers.encode(units), raw, strict=True)) if units else []
+        holds = [self.side_a.holds(a, u) and self.side_b.holds(b, u) for a, b, u in found]
+        return ([f[0] for f, h in zip(found, holds, strict=True) if h],
+                [f[1] for f, h in zip(found, holds, strict=True) if h], holds)
 
     def add(self, units: Iterable[str]) -> None:
         """Align the units that are not known yet, all at once: their bytes stand one behind the other."""
         new = [u for u in dict.fromkeys(units) if u not in self.index]
         if not new:
             return
+        # white space at an end, as only the ends of a text have it, would make another cut of a run
+        edged = [u for u in new if not u or u[0].isspace() or u[-1].isspace()]
+        if edged or not self.tokenizers.cuttable:
+            aside = set(edged) if self.tokenizers.cuttable else set(new)
+            new = [u for u in new if u not in aside] + [u for u in new if u in aside]
+            split = len(new) - len(aside)
+        else:
+            split = len(new)
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
         self.chars += sum(map(len, new))
-        ids_a, ids_b = self.tokenizers.encode(new)
         raw = [b" " + u.encode() for u in new]
-        flat_a, flat_b = _flat(ids_a), _flat(ids_b)
-        holds = self.side_a.holds(ids_a, flat_a, raw) & self.side_b.holds(ids_b, flat_b, raw)
-        if not holds.all():
-            flat_a = _flat([i for i, h in zip(ids_a, holds) if h])
-            flat_b = _flat([i for i, h in zip(ids_b, holds) if h])
+        ids_a, ids_b, holds = self._encoded(new[:split], raw[:split])
+        for part, more in zip((ids_a, ids_b, holds), self._alone(new[split:], raw[split:]), strict=True):
+            part += more
+        flat_a, flat_b, holds = _flat(ids_a), _flat(ids_b), np.array(holds, bool)
         ends_a, ends_b = np.cumsum(self.side_a.sizes[flat_a]), np.cumsum(self.side_b.sizes[flat_b])
         of_a, of_b = jump(ends_a, ends_b)
-        labels = np.unique(of_b)                            # terminal tokens, in the order of the text
+        turns = np.diff(of_b, prepend=-1) != 0
+        labels = of_b[turns]                                # terminal tokens, in the order of the text
         cut_a, cut_b = np.searchsorted(of_a, labels, side="right"), np.searchsorted(of_b, labels, side="right")
         x, y = overlaps(ends_a, ends_b)
 
         # a group's A tokens, then its B tokens
-        group_a, group_b = np.searchsorted(labels, of_a), np.searchsorted(labels, of_b)
+        group_a, group_b = np.repeat(np.arange(len(labels)), np.diff(cut_a, prepend=0)), np.cumsum(turns) - 1
         told = np.empty(len(flat_a) + len(flat_b), object)
+        letters = np.zeros(len(told), np.int64)
         first_b = np.concatenate([[0], cut_b])
         for side, flat, at, cut in ((self.side_a, flat_a, np.arange(len(flat_a)) + first_b[group_a], cut_a),
                                     (self.side_b, flat_b, np.arange(len(flat_b)) + cut_a[group_b], cut_b)):
             told[at] = side.inside[flat]
             told[at[cut - 1]] = side.last[flat[cut - 1]]
+            letters[at] = side.digits[flat]
 
-        # each unit ends with a group and with a link
+        # each unit ends with a token of either, a group and a link; one that does not hold has no bytes here
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) * holds)
+        to_a, to_b = np.searchsorted(ends_a, ends, side="right"), np.searchsorted(ends_b, ends, side="right")
         sizes = np.zeros((len(new), 6), np.int64)
-        sizes[:, 0], sizes[:, 1] = [len(i) for i in ids_a], [len(i) for i in ids_b]
-        sizes[~holds, :2] = 0
-        to_a, to_b = np.cumsum(sizes[:, 0]), np.cumsum(sizes[:, 1])
+        sizes[:, 0], sizes[:, 1] = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
         sizes[:, 2] = np.diff(np.searchsorted(cut_a, to_a, side="right"), prepend=0)
         sizes[:, 3] = holds
         links = np.searchsorted(x, to_a - 1, side="right")
         sizes[:, 5] = np.diff(links, prepend=0)
         sizes[:, 4] = self.pairs.n + links - sizes[:, 5]
-        parts, at = told.tolist(), 0
-        for end in (to_a + to_b).tolist():
-            self.spelled.append("".join(parts[at:end]))
+        text, at = "".join(told.tolist()), 0
+        for end in np.concatenate([[0], np.cumsum(letters)])[to_a + to_b].tolist():
+            self.spelled.append(text[at:end])
             at = end
         self.sizes.append(sizes)
+        self.uses.append(np.zeros(len(new), np.int64))
         self.pairs.append(flat_a[x] * self.width + flat_b[y])
 
-    def _linked(self, sizes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs of the given units, and how often each stands there."""
+    def _pairs(self, sizes: np.ndarray) -> np.ndarray:
+        """The pairs of the given units, one unit's behind the other's."""
         first, lengths = sizes[:, 4], sizes[:, 5]
         at = np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        pairs = self.pairs.room[at]
+        return self.pairs.room[at]
+
+    def _linked(self, sizes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of the given units, and how often each stands there."""
+        lengths = sizes[:, 5]
+        pairs = self._pairs(sizes)
         order = np.argsort(pairs)
         pairs, times = pairs[order], np.repeat(times, lengths)[order]
         starts = np.flatnonzero(np.diff(pairs, prepend=-1))
@@ -251,8 +292,25 @@ class Aligner:
         return out + self._short(short)
 
     def _room(self) -> None:
-        if len(self.spelled) > CACHED_UNITS or self.chars > CACHED_CHARS:
-            self.forget()
+        """Beyond the stated size only units that have come again stay, the most used ones, up to half of it."""
+        if len(self.spelled) <= CACHED_UNITS and self.chars <= CACHED_CHARS:
+            return
+        units, spelled = list(self.index), self.spelled
+        lengths, least = np.fromiter(map(len, units), np.int64, len(units)), 2
+        kept = np.flatnonzero(self.uses.room[: self.uses.n] >= least)
+        while len(kept) > CACHED_UNITS // 2 or lengths[kept].sum() > CACHED_CHARS // 2:
+            least *= 2
+            kept = kept[self.uses.room[kept] >= least]
+        names, chars = [units[k] for k in kept.tolist()], int(lengths[kept].sum())
+        sizes, uses = self.sizes.room[kept], self.uses.room[kept]
+        pairs = self._pairs(sizes)
+        self.forget()
+        sizes[:, 4] = np.cumsum(sizes[:, 5]) - sizes[:, 5]
+        self.index, self.chars = dict(zip(names, range(len(names)))), chars
+        self.spelled = [spelled[k] for k in kept.tolist()]
+        self.sizes.append(sizes)
+        self.uses.append(uses // 2)
+        self.pairs.append(pairs)
 
     def _short(self, texts: list[str | None]) -> list[tuple]:
         """Texts whose new units are aligned together."""
@@ -272,8 +330,9 @@ class Aligner:
         return out
 
     def _found(self, units: list[str]) -> tuple:
-        places = [self.index[u] for u in units]
+        places = list(map(self.index.__getitem__, units))
         used, times = np.unique(np.asarray(places, np.int64), return_counts=True)
+        self.uses.room[used] += 1
         return places, (used, self.sizes.room[used], times)
 
     def _long(self, text: str) -> tuple:
