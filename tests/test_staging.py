@@ -51,6 +51,13 @@ def test_order_versions_are_dealt_out_before_they_are_widened(spark, given):
     assert text.index("Generate") < text.index("Exchange") and text.count("Exchange") == 1
 
 
+def test_what_the_versions_share_is_made_before_there_are_several(spark, given):
+    text = T.raw_orders(spark, given, T.even).select("items")._jdf.queryExecution().optimizedPlan().toString()
+    # printed from the last step up: nothing is made of the items once the versions are there
+    assert "transform(" not in text[:text.index("Generate explode")]
+    assert "transform(" in text
+
+
 def test_the_window_over_versions_shuffles_no_lines(spark, given):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
