@@ -4,11 +4,14 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from benchset import queries as B
 from benchset import tables as T
 from tillroll import session
 from tillroll.operators import maintain as M
+from tillroll.operators.dedup import dedup_latest
+from tillroll.plans import daily
 from tillroll.sources import writers
 from tillroll.streaming import landing as L
 
@@ -103,3 +106,44 @@ def test_stock_files_grow_with_the_rows_not_the_batches(spark, given, monkeypatc
     assert sum(f.name.startswith("part-") for f in Path(files[0]).iterdir()) == 12
     assert len(list(Path(made[0]).glob("batch=*"))) == 3
     assert sum(r["events"] for r in found) == 40
+
+
+_LANDED = "order_id string, updated_at string, notes string, date string"
+
+
+@pytest.mark.parametrize("most", [100, 0])
+def test_only_orders_that_landed_more_than_once_are_sorted(spark, monkeypatch, most):
+    monkeypatch.setattr(daily, "REPEATED_KEYS", most)
+    once = spark.createDataFrame([("a", "1", "x", "d"), ("b", None, "y", "d"), (None, "3", "z", "d")], _LANDED)
+    assert "Window" not in plan(daily._newest_landed(once))
+    assert sorted(r["order_id"] for r in daily._newest_landed(once).collect()) == ["a", "b"]
+    more = once.unionByName(spark.createDataFrame(
+        [("a", "2", "new", "d"), ("a", None, "none", "d"), ("b", None, "other", "d"), ("b", None, "y", "d")], _LANDED))
+    found = daily._newest_landed(more)
+    assert found.columns == more.columns and "Window" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, dedup_latest(more, "order_id", "updated_at").collect()))
+
+
+def test_a_merge_leaves_a_staged_source_where_it_is(spark, tmp_path, monkeypatch):
+    path, names = f"{tmp_path}/t", []
+    rows = spark.createDataFrame([("a", 1, 1), ("b", 2, 1)], "k string, v int, p int")
+    writers.write_partitioned(rows, path, ["p"])
+    stage = M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name, *a: names.append(name) or stage(df, name, *a))
+    M.merge_into_table(spark, path, rows.filter("k = 'a'").selectExpr("k", "7 as v", "2 as p"), "k", ["p"], restage=False)
+    assert "merge-source" not in names and "merge-result" in names
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 7, 2), ("b", 2, 1)]
+
+
+def test_dated_lines_are_those_that_their_text_tells(spark, given):
+    lines = T.raw_order_lines(spark, given, B._by_order, ("updated_at", "order_date"))
+    both = B._read_back(lines).select(
+        "at", F.get_json_object("value", "$.updated_at").alias("told"), B._on_the_first().alias("moved"),
+        F.regexp_replace("value", r'("order_date":"\d{4}-\d{2})-\d{2}', "$1-01").alias("replaced")).collect()
+    assert len(both) > 6 and any(r["at"] is None for r in both) and any("-01 " in r["moved"] for r in both)
+    assert all(r["at"] == r["told"] and r["moved"] == r["replaced"] for r in both)
+
+
+def test_promotions_need_no_stored_orders(spark, given):
+    assert B._promos(spark, given).count() > 0
+    assert (spark.sparkContext.applicationId, given, "silver_orders") not in B._STAGED
